@@ -61,6 +61,11 @@ def share(flag: Column) -> Column:
     return F.round(ratio(F.count_if(flag), F.count(F.lit(1))), 4)
 
 
+def money(amount: Column) -> Column:
+    """Two places, rounded as a decimal: as a double, 76.835 would round by its last bits."""
+    return F.round(amount.cast("decimal(28,10)"), 2).cast("double")
+
+
 def exact_sum(amount: Column) -> Column:
     """Sum of money that does not depend on row order.
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from growthlake.functions.semantics import (
-    engagement_segment, exact_sum, month_start, ratio, week_start,
+    engagement_segment, exact_sum, money, month_start, ratio, week_start,
 )
 from growthlake.functions.vocabulary import ACTIVATION_SIGNALS, FUNNEL_LABELS, SIGNUP_EVENT
 from growthlake.operators.adjacent import with_neighbour
@@ -98,7 +98,7 @@ def metric_mrr_by_plan(w: Warehouse) -> DataFrame:
     amount = F.col("seats") * F.col("monthly_unit_amount")
     accounts = live.groupBy("mrr_month", "plan_code", "account_id").agg(exact_sum(amount).alias("mrr"))
     return accounts.groupBy("mrr_month", "plan_code").agg(
-        F.round(exact_sum(F.col("mrr")), 2).alias("mrr"), F.count("account_id").alias("paying_accounts"))
+        money(exact_sum(F.col("mrr"))).alias("mrr"), F.count("account_id").alias("paying_accounts"))
 
 
 def metric_engagement_segment(w: Warehouse) -> DataFrame:
@@ -110,8 +110,8 @@ def metric_mrr_by_usage_segment(w: Warehouse) -> DataFrame:
     """Accounts that pay without using the product are in the low segment."""
     segment = engagement_segment(F.coalesce("total_events", F.lit(0))).alias("engagement_segment")
     return w["fct_account_mrr"].join(lifetime_events(w), "account_id", "left").groupBy("mrr_month", segment).agg(
-        F.round(exact_sum(F.col("mrr")), 2).alias("mrr"),
-        F.round(exact_sum(F.col("expansion_mrr")), 2).alias("expansion_mrr"),
+        money(exact_sum(F.col("mrr"))).alias("mrr"),
+        money(exact_sum(F.col("expansion_mrr"))).alias("expansion_mrr"),
         F.count("account_id").alias("paying_accounts"),
     )
 
@@ -130,7 +130,7 @@ def metric_expansion_reason(w: Warehouse) -> DataFrame:
     return (
         changed.where(rise > 0)
         .groupBy(month_start("effective_at").alias("month"), reason.alias("reason"))
-        .agg(F.count(F.lit(1)).alias("changes"), F.round(exact_sum(rise), 2).alias("expansion_mrr"))
+        .agg(F.count(F.lit(1)).alias("changes"), money(exact_sum(rise)).alias("expansion_mrr"))
     )
 
 

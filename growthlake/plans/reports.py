@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from growthlake.functions.semantics import engagement_segment, exact_sum, ratio, share, week_start
+from growthlake.functions.semantics import engagement_segment, exact_sum, money, ratio, share, week_start
 from growthlake.functions.vocabulary import FUNNEL_LABELS, JOURNEY_STEPS
 from growthlake.plans.warehouse import Warehouse
 
@@ -61,7 +61,7 @@ def kpis(w: Warehouse) -> DataFrame:
         "*",
         conversion["accounts"].alias("converted_accounts"),
         conversion["rate"].alias("paid_conversion_rate"),
-        F.round(revenue, 2).alias("latest_month_mrr"),
+        money(revenue).alias("latest_month_mrr"),
         events.alias("total_events"),
         F.round(adoption, 4).alias("avg_feature_adoption"),
     )
@@ -277,9 +277,9 @@ def churn_by_usage(w: Warehouse) -> DataFrame:
 
 def mrr_overview(w: Warehouse) -> DataFrame:
     return w["fct_account_mrr"].groupBy("mrr_month").agg(
-        F.round(exact_sum(F.col("mrr")), 2).alias("total_mrr"),
+        money(exact_sum(F.col("mrr"))).alias("total_mrr"),
         F.count("account_id").alias("paying_accounts"),
-        F.round(exact_sum(F.col("expansion_mrr")), 2).alias("expansion_mrr"),
+        money(exact_sum(F.col("expansion_mrr"))).alias("expansion_mrr"),
     ).orderBy("mrr_month")
 
 
@@ -291,7 +291,7 @@ def _latest_mrr_by(w: Warehouse, attribute: str) -> DataFrame:
     mrr = w["fct_account_mrr"]
     latest = mrr.where(F.col("mrr_month") == mrr.agg(F.max("mrr_month")).scalar())
     return latest.join(w["dim_accounts"].select("account_id", attribute), "account_id").groupBy(attribute).agg(
-        F.round(exact_sum(F.col("mrr")), 2).alias("mrr"),
+        money(exact_sum(F.col("mrr"))).alias("mrr"),
         F.count_distinct("account_id").alias("paying_accounts"),
     ).orderBy(F.desc("mrr"))
 
@@ -305,7 +305,7 @@ def mrr_by_size(w: Warehouse) -> DataFrame:
 
 
 def _rounded_money() -> list[Column]:
-    return [F.round(c, 2).alias(c) for c in ("mrr", "expansion_mrr")]
+    return [money(F.col(c)).alias(c) for c in ("mrr", "expansion_mrr")]
 
 
 def expansion_accounts(w: Warehouse) -> DataFrame:
