@@ -204,28 +204,38 @@ def fct_paid_base_daily(history: DataFrame) -> DataFrame:
             F.max(F.when(F.col("status") == "canceled", end)).alias("churned"),
         )
     )
-    # periods without an account form one group that never meets its own churn
-    last = F.when(F.col("account_id").isNull(), F.col("first_paid")).otherwise(
-        F.greatest("first_paid", "churned"))
-    days = accounts.agg(F.min("first_paid").alias("from"), F.max(last).alias("to")).select(
-        F.explode(day_spine(F.col("from"), F.col("to"))).alias("day_date"))
+    # periods without an account form one group, whose end does not stretch the calendar
     changes = (
         accounts.select(F.inline(F.array(
-            F.struct(F.col("first_paid").alias("day_date"), F.lit(1).alias("converted"), F.lit(0).alias("churned")),
-            F.struct(F.col("churned").alias("day_date"), F.lit(0).alias("converted"), F.lit(1).alias("churned")),
+            F.struct(F.col("first_paid").alias("day"), F.lit(1).alias("converted"), F.lit(0).alias("left"),
+                     F.lit(True).alias("bounding")),
+            F.struct(F.col("churned").alias("day"), F.lit(0).alias("converted"), F.lit(1).alias("left"),
+                     F.col("account_id").isNotNull().alias("bounding")),
         )))
-        .where(F.col("day_date").isNotNull())
-        .groupBy("day_date")
-        .agg(F.sum("converted").alias("converted"), F.sum("churned").alias("churned"))
+        .where(F.col("day").isNotNull())
+        .groupBy("day")
+        .agg(F.sum("converted").alias("converted"), F.sum("left").alias("left"),
+             F.bool_or("bounding").alias("bounding"))
     )
-    # one row per calendar day: small enough for the single task a running total needs
-    to_date = Window.orderBy("day_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # at most one row per calendar day from here on: small enough for one task
+    everything, to_date = Window.partitionBy(F.lit(0)), Window.orderBy("day")
     return (
-        days.join(changes, "day_date", "left")
+        changes
+        .withColumns({
+            "from": F.min(F.when(F.col("converted") > 0, F.col("day"))).over(everything),
+            "to": F.max(F.when(F.col("bounding"), F.col("day"))).over(everything),
+        })
+        .where(F.col("day").between(F.col("from"), F.col("to")))
         .select(
-            "day_date",
-            F.sum(F.coalesce("converted", F.lit(0))).over(to_date).alias("cum_converted"),
-            F.sum(F.coalesce("churned", F.lit(0))).over(to_date).alias("cum_churned"),
+            "day",
+            F.lead("day").over(to_date).alias("next_day"),
+            F.sum("converted").over(to_date).alias("cum_converted"),
+            F.sum("left").over(to_date).alias("cum_churned"),
+        )
+        # a day without changes has the totals of the day before it
+        .select(
+            F.explode(day_spine(F.col("day"), F.coalesce(F.date_sub("next_day", 1), F.col("day")))).alias("day_date"),
+            "cum_converted", "cum_churned",
+            (F.col("cum_converted") - F.col("cum_churned")).alias("paid_accounts"),
         )
-        .withColumn("paid_accounts", F.col("cum_converted") - F.col("cum_churned"))
     )

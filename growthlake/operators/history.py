@@ -15,7 +15,7 @@ def record_versions(loads: list[DataFrame], key: str) -> DataFrame:
     content = [c for c in numbered.columns if c not in ("_load", CURSOR)]
     versions = first_per_key(numbered, [key, CURSOR], [F.desc("_load"), F.xxhash64(*content)]).drop("_load")
     followed = with_neighbour(
-        versions, [key], F.to_date(CURSOR), [CURSOR], [CURSOR], name="next_version", following=True)
+        versions, [key], F.date_trunc("hour", CURSOR), [CURSOR], [CURSOR], name="next_version", following=True)
     return followed.select(
         *content,
         F.col(CURSOR).alias("valid_from"),

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from growthlake.functions.semantics import month_start
+
 CURSOR = "source_updated_at"
 
 
@@ -23,15 +25,21 @@ def updated_since(df: DataFrame, since) -> DataFrame:
     return df.where(F.col(CURSOR) >= _ntz(since))
 
 
+# folder columns of event tables, and the folder a time falls in
+_FOLDERS = {"event_date": F.to_date, "event_month": month_start}
+
+
 def event_range(df: DataFrame, start=None, end=None) -> DataFrame:
-    """Rows with business time in [start, end); prunes folders when the table is split by event_date."""
-    by_date = "event_date" in df.columns
+    """Rows with business time in [start, end); reads the folders of those days or months only."""
+    folders = {c: folder for c, folder in _FOLDERS.items() if c in df.columns}
     if start is not None:
         df = df.where(F.col("event_at") >= _ntz(start))
-        df = df.where(F.col("event_date") >= F.to_date(_ntz(start))) if by_date else df
+        for column, folder in folders.items():
+            df = df.where(F.col(column) >= folder(_ntz(start)))
     if end is not None:
         df = df.where(F.col("event_at") < _ntz(end))
-        df = df.where(F.col("event_date") <= F.to_date(_ntz(end))) if by_date else df
+        for column, folder in folders.items():
+            df = df.where(F.col(column) <= folder(_ntz(end)))
     return df
 
 

@@ -364,7 +364,9 @@ VIEWS: dict[str, str] = {
         SELECT day_date, cum_converted, cum_churned, cum_converted - cum_churned AS paid_accounts
         FROM (SELECT day_date,
                      (SELECT count(*) FROM o_paid_accounts WHERE first_paid <= day_date) AS cum_converted,
-                     (SELECT count(*) FROM o_paid_accounts WHERE left_at <= day_date) AS cum_churned
+                     (SELECT count(*) FROM o_paid_accounts
+                      WHERE left_at <= day_date AND left_at >= (SELECT min(first_paid) FROM o_paid_accounts))
+                       AS cum_churned
               FROM (SELECT CAST(unnest(generate_series(
                              min(first_paid),
                              max(greatest(first_paid, CASE WHEN account_id IS NOT NULL THEN left_at END)),

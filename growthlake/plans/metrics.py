@@ -123,7 +123,7 @@ def metric_expansion_reason(w: Warehouse) -> DataFrame:
         (F.col("seats") * F.col("monthly_unit_amount")).alias("amount"),
     )
     changed = with_neighbour(
-        periods, ["customer_id"], F.to_date("effective_at"), ["effective_at", "subscription_id"],
+        periods, ["customer_id"], F.date_trunc("hour", "effective_at"), ["effective_at", "subscription_id"],
         ["price_id", "amount"], name="before")
     rise = F.col("amount") - F.col("before.amount")
     reason = F.when(F.col("price_id") != F.col("before.price_id"), "upgrade").otherwise("seat_add")

@@ -1,10 +1,11 @@
 """The models of the warehouse, from bronze to marts.
 
-``Warehouse`` composes them lazily: asking for a model gives a DataFrame over
-the bronze tables and runs nothing. ``build`` writes every model to its layer in
-dependency order and carries on from the written tables, which is how a
-scheduled run should do it: the event table is deduplicated once, not once per
-consumer, and a lost executor costs the current model only.
+Without a ``root`` a ``Warehouse`` only composes plans: asking for a model gives
+a DataFrame over the bronze tables and runs nothing. With a ``root`` each model
+is written to its layer when it is first asked for, and read from there by
+whatever needs it. That is the way to run reports at scale: events are
+deduplicated once and not once per consumer, reports read small marts, and a
+lost executor costs the work on the current table only.
 """
 
 from __future__ import annotations
@@ -12,8 +13,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from growthlake.functions.semantics import month_start
 from growthlake.operators import core, dims, facts, staging
 from growthlake.sources.layers import write_table
 
@@ -69,24 +70,35 @@ MONTH_OF = {"stg_product_events": "event_at", "fct_product_events": "event_at"}
 class Warehouse:
     """``bronze`` gives the bronze table of a name; ``as_of`` stands in for today."""
 
-    def __init__(self, spark: SparkSession, bronze: Callable[[str], DataFrame], as_of: str):
+    def __init__(
+        self, spark: SparkSession, bronze: Callable[[str], DataFrame], as_of: str, root: str | None = None
+    ):
         self.spark = spark
         self.as_of = as_of
         self._bronze = bronze
+        self._root = root
         self._frames: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
-            self._frames[name] = MODELS[name](self) if name in MODELS else self._bronze(name)
+            if name not in MODELS:
+                frame = self._bronze(name)
+            else:
+                frame = MODELS[name](self)
+                if self._root is not None:
+                    frame = self._stored(name, frame)
+            self._frames[name] = frame
         return self._frames[name]
 
-    def build(self, root: str) -> Warehouse:
-        """Rebuilds every model as a table under ``root``."""
-        for layer, models in LAYERS.items():
-            for name in models:
-                df, split = self[name], None
-                if name in MONTH_OF:
-                    split = "event_month"
-                    df = df.withColumn(split, F.trunc(F.to_date(MONTH_OF[name]), "MM"))
-                self._frames[name] = write_table(df, root, layer, name, split)
+    def _stored(self, name: str, df: DataFrame) -> DataFrame:
+        layer = next(layer for layer, models in LAYERS.items() if name in models)
+        if name not in MONTH_OF:
+            return write_table(df, self._root, layer, name)
+        by_month = df.withColumn("event_month", month_start(MONTH_OF[name]))
+        return write_table(by_month, self._root, layer, name, "event_month")
+
+    def build(self) -> Warehouse:
+        """Writes every model that is not there yet; the models are listed in dependency order."""
+        for name in MODELS:
+            self[name]
         return self

@@ -21,20 +21,20 @@ from growthlake.streaming import jobs
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """Models composed lazily over the driver tables."""
-    tune(spark)
-    return Warehouse(spark, lambda name: driver_tables.BRONZE[name](spark, sf_dir), AS_OF)
+def _over_driver_tables(spark: SparkSession, sf_dir: str, root: str | None = None) -> Warehouse:
+    return Warehouse(tune(spark), lambda name: driver_tables.BRONZE[name](spark, sf_dir), AS_OF, root)
 
 
 @lru_cache(maxsize=4)
-def _built(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return warehouse(spark, sf_dir).build(new_folder(spark, "warehouse"))
+def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Models composed over the driver tables; plans only, nothing is stored."""
+    return _over_driver_tables(spark, sf_dir)
 
 
-def built_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The warehouse as tables in the shared folder, built once per session; checks of all models read it."""
-    return _built(spark, sf_dir)
+@lru_cache(maxsize=4)
+def stored_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Models as tables in the shared folder, each written once per session when a report first needs it."""
+    return _over_driver_tables(spark, sf_dir, new_folder(spark, "warehouse"))
 
 
 # ingestion
@@ -92,7 +92,7 @@ def ingest_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per table of the built warehouse."""
-    built = built_warehouse(spark, sf_dir)
+    built = stored_warehouse(spark, sf_dir).build()
     counts = [
         built[name].agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
         for name in MODELS
@@ -216,23 +216,23 @@ def dq_accepted_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_generic_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.all_generic_results(built_warehouse(spark, sf_dir), list(STAGING))
+    return quality.all_generic_results(stored_warehouse(spark, sf_dir), list(STAGING))
 
 
 def dq_generic_core(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.all_generic_results(built_warehouse(spark, sf_dir), list(CORE))
+    return quality.all_generic_results(stored_warehouse(spark, sf_dir), list(CORE))
 
 
 def dq_generic_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.all_generic_results(built_warehouse(spark, sf_dir), list(MARTS))
+    return quality.all_generic_results(stored_warehouse(spark, sf_dir), list(MARTS))
 
 
 def dq_grains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.grain_results(built_warehouse(spark, sf_dir))
+    return quality.grain_results(stored_warehouse(spark, sf_dir))
 
 
 def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    built = built_warehouse(spark, sf_dir)
+    built = stored_warehouse(spark, sf_dir)
     return quality.run({name: check(built) for name, check in quality.BUSINESS_CHECKS.items()})
 
 
@@ -255,8 +255,8 @@ def _model_query(name: str) -> Query:
     return lambda spark, sf_dir: warehouse(spark, sf_dir)[name]
 
 
-def _warehouse_query(plan: Callable[[Warehouse], DataFrame]) -> Query:
-    return lambda spark, sf_dir: plan(warehouse(spark, sf_dir))
+def _report_query(plan: Callable[[Warehouse], DataFrame]) -> Query:
+    return lambda spark, sf_dir: plan(stored_warehouse(spark, sf_dir))
 
 
 def _tuned(query: Query) -> Query:
@@ -267,6 +267,6 @@ def all_queries() -> dict[str, Query]:
     named = {f"bronze_{name}": _bronze_query(name) for name in schemas.BRONZE}
     named.update({name: _model_query(name) for name in MODELS})
     for plans in (REPORTS, METRICS, quality.BUSINESS_CHECKS):
-        named.update({name: _warehouse_query(plan) for name, plan in plans.items()})
+        named.update({name: _report_query(plan) for name, plan in plans.items()})
     named.update({f.__name__: _tuned(f) for f in FUNCTIONS})
     return named

@@ -8,7 +8,7 @@ a price, the line items of an order as its invoice. Every row takes part.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from growthlake.operators.ingest import merge_latest, union_evolved
@@ -34,52 +34,48 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(index: Column, values: list[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _pick(index: str, values: list[str]) -> str:
+    """SQL for the value at a position counted from zero."""
+    return f"element_at(array({', '.join(repr(v) for v in values)}), cast({index} + 1 AS int))"
 
 
-def _tag(prefix: str, value) -> Column:
-    return F.concat(F.lit(prefix), F.col(value).cast("string") if isinstance(value, str) else value.cast("string"))
+def _days_after(start: str, days: str) -> str:
+    return f"timestamp_ntz'{start}' + make_dt_interval(cast({days} AS int))"
 
 
-def account_number(user: Column, event_id: Column) -> Column:
-    """Accounts of very different sizes: shared ones, ones with three and ones with ten projects of a user."""
-    return (
-        F.when(user % 5 == 0, user * 10 + event_id % 10)
-        .when(user % 5 == 1, user * 10 + event_id % 3)
-        .otherwise((user - user % 2) * 10)
-    )
+# accounts of very different sizes: shared ones, ones with three and ones with ten projects of a user
+_ACCOUNT = """CASE user_id % 5 WHEN 0 THEN user_id * 10 + event_id % 10
+              WHEN 1 THEN user_id * 10 + event_id % 3 ELSE (user_id - user_id % 2) * 10 END"""
 
+_EVENT_NAME = f"""CASE event_type
+    WHEN 'signup' THEN {_pick('k % 4', ['account_created', 'user_signup', 'membership_invited', 'plan_changed'])}
+    WHEN 'view' THEN if(k % 2 = 0, 'workspace_created', 'task_commented')
+    WHEN 'click' THEN if(k % 2 = 0, 'project_created', 'task_created')
+    WHEN 'purchase' THEN if(k % 3 = 0, 'integration_connected', 'task_completed')
+    ELSE 'task_assigned' END"""
 
-def event_name(event_type: Column, k: Column) -> Column:
-    return (
-        F.when(event_type == "signup",
-               _pick(k % 4, ["account_created", "user_signup", "membership_invited", "plan_changed"]))
-        .when(event_type == "view", F.when(k % 2 == 0, "workspace_created").otherwise("task_commented"))
-        .when(event_type == "click", F.when(k % 2 == 0, "project_created").otherwise("task_created"))
-        .when(event_type == "purchase", F.when(k % 3 == 0, "integration_connected").otherwise("task_completed"))
-        .otherwise("task_assigned")
-    )
-
-
-def _properties(name: Column, k: Column) -> Column:
-    def only_for(names: list[str], value: Column) -> Column:
-        return F.when(name.isin(names), value)
+# property -> events that carry it, and its value
+_PROPERTIES = {
+    "country": ("user_signup account_created", _pick("k % 3", ["US", "CA", "GB"])),
+    "channel": ("user_signup account_created", _pick("k % 3", ["organic", "paid", "referral"])),
+    "workspace_id": ("workspace_created project_created task_created", "'ws_' || k"),
+    "project_id": ("project_created task_created task_completed", "'prj_' || k"),
+    "task_id": ("task_created task_assigned task_commented task_completed", "'tsk_' || k"),
+    "integration_type": ("integration_connected", _pick("k % 2", ["slack", "github"])),
+    "from_plan": ("plan_changed", _pick("k % 3", ["free", "trial", "pro"])),
+    "to_plan": ("plan_changed", _pick("k % 3", ["trial", "pro", "enterprise"])),
+}
+_PROPERTIES_JSON = "to_json(named_struct('k', k, " + ", ".join(
+    f"'{name}', CASE WHEN event_name IN ({', '.join(repr(e) for e in events.split())}) THEN {value} END"
+    for name, (events, value) in _PROPERTIES.items()
+) + "))"
 
-    signup = ["user_signup", "account_created"]
-    in_project = ["project_created", "task_created", "task_completed"]
-    return F.to_json(F.struct(
-        k.alias("k"),
-        only_for(signup, _pick(k % 3, ["US", "CA", "GB"])).alias("country"),
-        only_for(signup, _pick(k % 3, ["organic", "paid", "referral"])).alias("channel"),
-        only_for(["workspace_created", "project_created", "task_created"], _tag("ws_", k)).alias("workspace_id"),
-        only_for(in_project, _tag("prj_", k)).alias("project_id"),
-        only_for(["task_created", "task_assigned", "task_commented", "task_completed"],
-                 _tag("tsk_", k)).alias("task_id"),
-        only_for(["integration_connected"], _pick(k % 2, ["slack", "github"])).alias("integration_type"),
-        only_for(["plan_changed"], _pick(k % 3, ["free", "trial", "pro"])).alias("from_plan"),
-        only_for(["plan_changed"], _pick(k % 3, ["trial", "pro", "enterprise"])).alias("to_plan"),
-    ))
+# a late event takes three days to arrive, others a minute; some arrive a second time
+_DELIVERIES = """filter(array(
+    named_struct('source_updated_at', event_at + if(n % 16 = 0, interval 3 days, interval '0 00:01:00' day to second),
+                 'load_id', '0'),
+    if(n % 25 = 0, named_struct('source_updated_at', event_at + interval 4 days, 'load_id', '1'), null)
+  ), delivery -> delivery IS NOT NULL)"""
 
 
 def events_from(raw: DataFrame) -> DataFrame:
@@ -88,32 +84,20 @@ def events_from(raw: DataFrame) -> DataFrame:
     The 30 days of the driver are stretched to 120 so that cohorts and months
     have something to show.
     """
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    event_at = F.expr(
-        "timestamp_ntz'2023-09-15 00:00:00' + (ts - timestamp_ntz'2024-01-01 00:00:00') * 4"
-    )
-    named = raw.select(
-        F.col("event_id").alias("n"),
-        _tag("evt_", "event_id").alias("event_id"),
-        event_name(F.col("event_type"), k).alias("event_name"),
-        _tag("usr_", "user_id").alias("distinct_id"),
-        _tag("acc_", account_number(F.col("user_id"), F.col("event_id"))).alias("account_id"),
-        event_at.alias("event_at"),
-        k.alias("k"),
-    )
-    delay = F.when(F.col("n") % 16 == 0, F.expr("interval 3 days")).otherwise(F.expr("interval 1 minute"))
-    first = F.struct((F.col("event_at") + delay).alias("source_updated_at"), F.lit("0").alias("load_id"))
-    again = F.struct(
-        (F.col("event_at") + F.expr("interval 4 days")).alias("source_updated_at"), F.lit("1").alias("load_id")
-    )
-    deliveries = F.when(F.col("n") % 25 == 0, F.array(first, again)).otherwise(F.array(first))
-    return named.select(
-        "event_id", "event_name", "distinct_id", "account_id", "event_at",
-        _properties(F.col("event_name"), F.col("k")).alias("properties"),
-        F.inline(deliveries),
-    ).select(
-        "event_id", "event_name", "distinct_id", "account_id", "event_at",
-        "source_updated_at", "properties", "load_id",
+    event = ["event_id", "event_name", "distinct_id", "account_id", "event_at"]
+    return (
+        raw.selectExpr("*", "cast(get_json_object(props, '$.k') AS bigint) AS k")
+        .selectExpr(
+            "event_id AS n",
+            "'evt_' || event_id AS event_id",
+            f"{_EVENT_NAME} AS event_name",
+            "'usr_' || user_id AS distinct_id",
+            f"'acc_' || {_ACCOUNT} AS account_id",
+            "timestamp_ntz'2023-09-15 00:00:00' + (ts - timestamp_ntz'2024-01-01 00:00:00') * 4 AS event_at",
+            "k",
+        )
+        .selectExpr(*event, f"{_PROPERTIES_JSON} AS properties", f"inline({_DELIVERIES})")
+        .select(*event, "source_updated_at", "properties", "load_id")
     )
 
 
@@ -121,120 +105,101 @@ def product_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_from(table(spark, sf_dir, "events"))
 
 
-def _after(base: str, days) -> Column:
-    return F.lit(base).cast("timestamp_ntz") + F.make_dt_interval(days=days.cast("int"))
-
-
-_STAGES = ["subscriber", "lead", "mql", "sql", "customer", "churned"]
+_STAGE = _pick("c_custkey % 6", ["subscriber", "lead", "mql", "sql", "customer", "churned"])
 
 
 def company_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """First load and a later one in which some companies have churned."""
-    key, nation, balance = F.col("c_custkey"), F.col("c_nationkey"), F.col("c_acctbal")
-    country = (
-        F.when(nation == 24, "Germany")
-        .when(nation % 3 == 0, _pick(key % 3, ["US", "USA", "United States"]))
-        .when(nation % 3 == 1, _pick(key % 3, ["CA", "Canada", "CAN"]))
-        .otherwise(_pick(key % 3, ["GB", "UK", "United Kingdom"]))
-    )
-    size = (
-        F.when(balance < 1000, "1-10").when(balance < 3000, "11-50").when(balance < 5000, "51-200")
-        .when(balance < 8000, "201-1000").otherwise("1000+")
-    )
-    first = table(spark, sf_dir, "customer").select(
-        _tag("cmp_", "c_custkey").alias("company_id"),
-        F.when(key % 19 != 0, _tag("acc_", "c_custkey")).alias("account_ref"),
-        F.col("c_name").alias("name"),
-        F.col("c_mktsegment").alias("industry"),
-        size.alias("company_size"),
-        country.alias("country"),
-        _pick(key % 5, ["organic", "paid", "referral", "partner", "outbound"]).alias("lead_source"),
-        _pick(key % 6, _STAGES).alias("lifecycle_stage"),
-        _after("2023-09-01", key % 90).alias("source_updated_at"),
-        key.alias("k"),
-    )
-    second = first.where(F.col("k") % 10 == 0).withColumns({
-        "lifecycle_stage": F.lit("churned"),
-        "source_updated_at": F.lit("2024-01-15").cast("timestamp_ntz"),
-    })
-    return [first.drop("k"), second.drop("k")]
+    spellings = ["US", "USA", "United States", "CA", "Canada", "CAN", "GB", "UK", "United Kingdom"]
+    country = f"if(c_nationkey = 24, 'Germany', {_pick('c_nationkey % 3 * 3 + c_custkey % 3', spellings)})"
+    size = """CASE WHEN c_acctbal < 1000 THEN '1-10' WHEN c_acctbal < 3000 THEN '11-50'
+              WHEN c_acctbal < 5000 THEN '51-200' WHEN c_acctbal < 8000 THEN '201-1000' ELSE '1000+' END"""
+    source = _pick("c_custkey % 5", ["organic", "paid", "referral", "partner", "outbound"])
+
+    def load(rows: DataFrame, stage: str, updated: str) -> DataFrame:
+        return rows.selectExpr(
+            "'cmp_' || c_custkey AS company_id",
+            "if(c_custkey % 19 = 0, null, 'acc_' || c_custkey) AS account_ref",
+            "c_name AS name", "c_mktsegment AS industry",
+            f"{size} AS company_size", f"{country} AS country", f"{source} AS lead_source",
+            f"{stage} AS lifecycle_stage", f"{updated} AS source_updated_at",
+        )
+
+    customers = table(spark, sf_dir, "customer")
+    return [
+        load(customers, _STAGE, _days_after("2023-09-01", "c_custkey % 90")),
+        load(customers.where("c_custkey % 10 = 0"), "'churned'", "timestamp_ntz'2024-01-15'"),
+    ]
 
 
 def contact_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Contacts, some without a company; a later load links half of those."""
-    key = F.col("c_custkey")
-    first = table(spark, sf_dir, "customer").select(
-        _tag("ctc_", "c_custkey").alias("contact_id"),
-        F.when(key % 9 != 0, _tag("cmp_", "c_custkey")).alias("company_id"),
-        F.concat(F.lit("user"), key.cast("string"), F.lit("@example.com")).alias("email"),
-        F.when(key % 7 != 0, F.lit("Contact")).alias("first_name"),
-        F.col("c_name").alias("last_name"),
-        _pick(key % 6, _STAGES).alias("lifecycle_stage"),
-        _after("2023-09-02", key % 90).alias("source_updated_at"),
-        key.alias("k"),
-    )
-    second = first.where(F.col("k") % 18 == 0).withColumns({
-        "company_id": _tag("cmp_", "k"),
-        "source_updated_at": F.lit("2024-01-16").cast("timestamp_ntz"),
-    })
-    return [first.drop("k"), second.drop("k")]
+    def load(rows: DataFrame, company: str, updated: str) -> DataFrame:
+        return rows.selectExpr(
+            "'ctc_' || c_custkey AS contact_id", f"{company} AS company_id",
+            "'user' || c_custkey || '@example.com' AS email",
+            "if(c_custkey % 7 = 0, null, 'Contact') AS first_name", "c_name AS last_name",
+            f"{_STAGE} AS lifecycle_stage", f"{updated} AS source_updated_at",
+        )
+
+    customers = table(spark, sf_dir, "customer")
+    return [
+        load(customers, "if(c_custkey % 9 = 0, null, 'cmp_' || c_custkey)",
+             _days_after("2023-09-02", "c_custkey % 90")),
+        load(customers.where("c_custkey % 18 = 0"), "'cmp_' || c_custkey", "timestamp_ntz'2024-01-16'"),
+    ]
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with a start day inside a 140-day span."""
-    offset = F.datediff(F.to_date("o_orderdate"), F.lit("1995-01-01").cast("date")) % 140
-    return table(spark, sf_dir, "orders").withColumn("day", offset.cast("int"))
+    return table(spark, sf_dir, "orders").selectExpr(
+        "*", "cast(datediff(to_date(o_orderdate), date'1995-01-01') % 140 AS int) AS day")
 
 
 def deals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    status = F.col("o_orderstatus")
-    stage = F.when(status == "F", "closed_won").when(status == "O", "new").otherwise("trial")
-    return _orders(spark, sf_dir).select(
-        _tag("deal_", "o_orderkey").alias("deal_id"),
-        _tag("cmp_", "o_custkey").alias("company_id"),
-        stage.alias("deal_stage"),
-        F.col("o_totalprice").alias("amount"),
-        F.when(status != "P", _after("2023-10-01 12:00:00", F.col("day"))).alias("close_date"),
-        _after("2023-09-01 06:00:00", F.col("day")).alias("source_updated_at"),
+    return _orders(spark, sf_dir).selectExpr(
+        "'deal_' || o_orderkey AS deal_id", "'cmp_' || o_custkey AS company_id",
+        "CASE o_orderstatus WHEN 'F' THEN 'closed_won' WHEN 'O' THEN 'new' ELSE 'trial' END AS deal_stage",
+        "o_totalprice AS amount",
+        f"if(o_orderstatus = 'P', null, {_days_after('2023-10-01 12:00:00', 'day')}) AS close_date",
+        f"{_days_after('2023-09-01 06:00:00', 'day')} AS source_updated_at",
     )
 
 
 def billing_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").select(
-        _tag("cus_", "c_custkey").alias("customer_id"),
-        F.when(key % 17 != 0, _tag("acc_", "c_custkey")).alias("account_ref"),
-        F.concat(F.lit("billing"), key.cast("string"), F.lit("@example.com")).alias("email"),
-        F.col("c_name").alias("name"),
-        _after("2023-09-01", key % 60).alias("source_updated_at"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "'cus_' || c_custkey AS customer_id",
+        "if(c_custkey % 17 = 0, null, 'acc_' || c_custkey) AS account_ref",
+        "'billing' || c_custkey || '@example.com' AS email", "c_name AS name",
+        f"{_days_after('2023-09-01', 'c_custkey % 60')} AS source_updated_at",
     )
 
 
 def price_shapes(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Prices before and after ``plan_code`` came in; the older shape lacks the column."""
-    key = F.col("p_partkey")
-    spelling = F.when(key % 50 == 49, "Legacy").otherwise(_pick(key % 5 * 3 + key % 3, [
+    spellings = [
         "Free", "FREE", "free", "Trial", "TRIAL", "trial", "Pro", "PRO", "pro",
         "Enterprise", "ENT", "enterprise", "Pro", "PRO", "pro",
-    ]))
-    amount = F.when(key % 5 < 2, 0.0).otherwise(F.floor("p_retailprice").cast("double") / 100)
-    frequency = F.when(key % 5 == 4, _pick(key % 3, ["annual", "Annual", "year"])).otherwise(
-        _pick(key % 3, ["monthly", "Monthly", "month"]))
-    both = table(spark, sf_dir, "part").select(
-        _tag("prc_", "p_partkey").alias("price_id"),
-        F.col("p_brand").alias("product_id"),
-        spelling.alias("plan"),
-        F.when(key % 50 == 49, "legacy").otherwise(
-            _pick(key % 5, ["free", "trial", "pro", "enterprise", "pro"])).alias("plan_code"),
-        amount.alias("unit_amount"),
-        F.lit("usd").alias("currency"),
-        frequency.alias("billing_frequency"),
-        _after("2023-08-01", key % 2 * 60).alias("source_updated_at"),
-        key.alias("k"),
-    )
-    old = both.where(F.col("k") % 2 == 0).drop("k", "plan_code")
-    new = both.where(F.col("k") % 2 == 1).drop("k")
-    return [old, new]
+    ]
+    plan = f"if(p_partkey % 50 = 49, 'Legacy', {_pick('p_partkey % 5 * 3 + p_partkey % 3', spellings)})"
+    codes = _pick("p_partkey % 5", ["free", "trial", "pro", "enterprise", "pro"])
+    frequency = _pick("if(p_partkey % 5 = 4, 3, 0) + p_partkey % 3",
+                      ["monthly", "Monthly", "month", "annual", "Annual", "year"])
+    amount = "if(p_partkey % 5 < 2, 0.0D, cast(floor(p_retailprice) AS double) / 100)"
+
+    def shape(rows: DataFrame, updated: str, *more: str) -> DataFrame:
+        return rows.selectExpr(
+            "'prc_' || p_partkey AS price_id", "p_brand AS product_id", f"{plan} AS plan", *more,
+            f"{amount} AS unit_amount", "'usd' AS currency", f"{frequency} AS billing_frequency",
+            f"timestamp_ntz'{updated}' AS source_updated_at",
+        )
+
+    parts = table(spark, sf_dir, "part")
+    return [
+        shape(parts.where("p_partkey % 2 = 0"), "2023-08-01"),
+        shape(parts.where("p_partkey % 2 = 1"), "2023-09-30",
+              f"if(p_partkey % 50 = 49, 'legacy', {codes}) AS plan_code"),
+    ]
 
 
 def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -244,58 +209,41 @@ def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     so a customer with very many orders never becomes one task.
     """
     orders = _orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "day")
-    days = orders.select("o_custkey", "day").distinct()
-    following = days.withColumn("next_day", F.lead("day").over(Window.partitionBy("o_custkey").orderBy("day")))
-    key, last = F.col("o_orderkey"), F.col("next_day").isNull()
-    canceled = last & (F.col("o_orderstatus") == "F")
-    priority = F.substring("o_orderpriority", 1, 1)
-    status = (
-        F.when(canceled, "canceled")
-        .when(~last, F.when(key % 7 == 0, "canceled").otherwise("superseded"))
-        .when(priority == "4", "trialing")
-        .when((priority == "5") & (F.col("o_orderstatus") == "P"), "past_due")
-        .otherwise("active")
-    )
-    start = _after("2023-09-01", F.col("day") + F.when(key % 97 == 0, 365).otherwise(0)) \
-        + F.make_dt_interval(hours=(key % 24).cast("int"))
-    end = F.when(~last, _after("2023-09-01", F.col("next_day"))).when(
-        canceled, _after("2023-09-16", F.col("day")))
-    recorded = F.col("start_date") - F.when(key % 10 == 0, F.expr("interval 2 days")).otherwise(
-        F.expr("interval 0 days"))
+    following = orders.select("o_custkey", "day").distinct().selectExpr(
+        "*", "lead(day) OVER (PARTITION BY o_custkey ORDER BY day) AS next_day")
+    status = """CASE WHEN next_day IS NOT NULL THEN if(o_orderkey % 7 = 0, 'canceled', 'superseded')
+                     WHEN o_orderstatus = 'F' THEN 'canceled'
+                     WHEN o_orderpriority LIKE '4%' THEN 'trialing'
+                     WHEN o_orderpriority LIKE '5%' AND o_orderstatus = 'P' THEN 'past_due'
+                     ELSE 'active' END"""
+    start = ("timestamp_ntz'2023-09-01' + make_dt_interval("
+             "day + if(o_orderkey % 97 = 0, 365, 0), cast(o_orderkey % 24 AS int))")
+    end = f"""CASE WHEN next_day IS NOT NULL THEN {_days_after('2023-09-01', 'next_day')}
+                   WHEN o_orderstatus = 'F' THEN {_days_after('2023-09-16', 'day')} END"""
     return (
         orders.join(following, ["o_custkey", "day"])
-        .withColumns({"status": status, "start_date": start, "ended_at": end})
-        .withColumn("recorded_at", recorded)
-        .select(
-            _tag("sub_", "o_orderkey").alias("subscription_id"),
-            _tag("cus_", "o_custkey").alias("customer_id"),
-            _tag("prc_", key % 89).alias("price_id"),
-            "status",
-            (key % 10 + 1).cast("int").alias("seats"),
-            "start_date", "ended_at", "recorded_at",
-            F.col("start_date").alias("effective_at"),
-            (F.col("recorded_at") + F.expr("interval 1 hour")).alias("source_updated_at"),
+        .selectExpr("*", f"{status} AS status", f"{start} AS start_date", f"{end} AS ended_at")
+        .selectExpr("*", "start_date - make_dt_interval(if(o_orderkey % 10 = 0, 2, 0)) AS recorded_at")
+        .selectExpr(
+            "'sub_' || o_orderkey AS subscription_id", "'cus_' || o_custkey AS customer_id",
+            "'prc_' || (o_orderkey % 89) AS price_id", "status",
+            "cast(o_orderkey % 10 + 1 AS int) AS seats", "start_date", "ended_at", "recorded_at",
+            "start_date AS effective_at", "recorded_at + make_dt_interval(0, 1) AS source_updated_at",
         )
     )
 
 
 def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One invoice per order with line items; the amount is summed exactly."""
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    discount = F.col("l_discount").cast("decimal(4,2)")
-    amounts = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
-        F.sum(price * (1 - discount)).cast("double").alias("amount_due"))
-    status = F.when(F.col("o_orderstatus") == "F", "paid").when(
-        F.col("o_orderstatus") == "O", "open").otherwise("void")
-    created = _after("2023-09-01", F.col("day"))
-    return _orders(spark, sf_dir).join(amounts, F.col("o_orderkey") == F.col("l_orderkey")).select(
-        _tag("inv_", "o_orderkey").alias("invoice_id"),
-        _tag("cus_", "o_custkey").alias("customer_id"),
-        _tag("sub_", "o_orderkey").alias("subscription_id"),
-        "amount_due",
-        status.alias("status"),
-        created.alias("created_at"),
-        (created + F.expr("interval 1 day")).alias("source_updated_at"),
+    net = "cast(l_extendedprice AS decimal(12,2)) * (1 - cast(l_discount AS decimal(4,2)))"
+    amounts = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.expr(f"cast(sum({net}) AS double)").alias("amount_due"))
+    return _orders(spark, sf_dir).join(amounts, "o_orderkey").selectExpr(
+        "'inv_' || o_orderkey AS invoice_id", "'cus_' || o_custkey AS customer_id",
+        "'sub_' || o_orderkey AS subscription_id", "amount_due",
+        "CASE o_orderstatus WHEN 'F' THEN 'paid' WHEN 'O' THEN 'open' ELSE 'void' END AS status",
+        f"{_days_after('2023-09-01', 'day')} AS created_at",
+        f"{_days_after('2023-09-02', 'day')} AS source_updated_at",
     )
 
 
