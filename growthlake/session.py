@@ -45,14 +45,14 @@ def shared_root(spark: SparkSession) -> str:
 
     Only a local master may go without the setting; it then gets a fresh temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="growthlake-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if root is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="growthlake-"))
+        root = context.getCheckpointDir()
+    return root.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
