@@ -11,9 +11,10 @@ from growthlake.operators.ingest import first_per_key
 
 
 def flatten_properties(events: DataFrame) -> DataFrame:
-    """The common properties as columns, in place of the JSON text."""
-    return events.withColumns({
-        name: F.get_json_object("properties", f"$.{name}") for name in FLATTENED_PROPERTIES
+    """The common properties as columns, in place of the JSON text, which is parsed once for all of them."""
+    parsed = F.from_json("properties", ", ".join(f"{name} string" for name in FLATTENED_PROPERTIES))
+    return events.withColumn("properties", parsed).withColumns({
+        name: F.col(f"properties.{name}") for name in FLATTENED_PROPERTIES
     }).drop("properties")
 
 

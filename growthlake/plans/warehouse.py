@@ -11,6 +11,7 @@ lost executor costs the work on the current table only.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +64,15 @@ MARTS: dict[str, Model] = {
 LAYERS = {"staging": STAGING, "core": CORE, "marts": MARTS}
 MODELS: dict[str, Model] = {**STAGING, **CORE, **MARTS}
 
+# the models of a wave need those of earlier waves only, so they can be written side by side
+_LATE = ["int_account_usage", "fct_retention", "fct_usage_expansion", "fct_paid_base_daily"]
+WAVES = [
+    list(STAGING),
+    [name for name in CORE if name not in _LATE],
+    ["int_account_usage", *[name for name in MARTS if name not in _LATE]],
+    _LATE[1:],
+]
+
 # tables that grow without bound are split by the month their queries filter on
 MONTH_OF = {"stg_product_events": "event_at", "fct_product_events": "event_at"}
 
@@ -97,8 +107,9 @@ class Warehouse:
         by_month = df.withColumn("event_month", month_start(MONTH_OF[name]))
         return write_table(by_month, self._root, layer, name, "event_month")
 
-    def build(self) -> Warehouse:
-        """Writes every model that is not there yet; the models are listed in dependency order."""
-        for name in MODELS:
-            self[name]
+    def build(self, threads: int = 4) -> Warehouse:
+        """Writes every model that is not there yet, a few at a time."""
+        with ThreadPoolExecutor(threads) as pool:
+            for wave in WAVES:
+                list(pool.map(self.__getitem__, wave))
         return self
