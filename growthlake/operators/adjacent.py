@@ -21,23 +21,15 @@ def with_neighbour(
         return [F.desc(c) if following else F.asc(c) for c in cols]
 
     edge = F.min_by if following else F.max_by
-    df = df.withColumn("_bucket", bucket)
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(*sorting(order))
-    local = df.withColumns({
-        name: F.lag(F.struct(*values)).over(inside),
-        "_first": F.row_number().over(inside) == 1,
-    })
-    edges = df.groupBy(*keys, "_bucket").agg(edge(F.struct(*values), F.struct(*order)).alias("_edge"))
+    rows = df.withColumns({"_bucket": bucket, "_values": F.struct(*values), "_is_row": F.lit(1)})
+    edges = rows.groupBy(*keys, "_bucket").agg(edge("_values", F.struct(*order)).alias("_edge"))
     across = Window.partitionBy(*keys).orderBy(*sorting(["_bucket"]))
-    carried = edges.select(
-        *[F.col(k).alias(f"_key_{k}") for k in keys],
-        F.col("_bucket").alias("_key_bucket"),
-        F.lag("_edge").over(across).alias("_carried"),
+    # the edge of the bucket before goes into the bucket as a row of its own, ahead of the others
+    carried = edges.select(*keys, "_bucket", F.lag("_edge").over(across).alias("_values"), F.lit(0).alias("_is_row"))
+    inside = Window.partitionBy(*keys, "_bucket").orderBy("_is_row", *sorting(order))
+    return (
+        rows.unionByName(carried, allowMissingColumns=True)
+        .withColumn(name, F.lag("_values").over(inside))
+        .where(F.col("_is_row") == 1)
+        .drop("_bucket", "_values", "_is_row")
     )
-    same = F.col("_bucket").eqNullSafe(F.col("_key_bucket"))
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
-    joined = local.join(carried, same & F.col("_first"), "left")
-    value = F.when(F.col("_first"), F.col("_carried")).otherwise(F.col(name))
-    helper = ["_bucket", "_first", "_carried", "_key_bucket", *[f"_key_{k}" for k in keys]]
-    return joined.withColumn(name, value).drop(*helper)

@@ -252,7 +252,8 @@ def _bronze_query(name: str) -> Query:
 
 
 def _model_query(name: str) -> Query:
-    return lambda spark, sf_dir: warehouse(spark, sf_dir)[name]
+    # a new DataFrame on the same plan: one that has run would hold on to its shuffle files
+    return lambda spark, sf_dir: warehouse(spark, sf_dir)[name].select("*")
 
 
 def _report_query(plan: Callable[[Warehouse], DataFrame]) -> Query:

@@ -18,7 +18,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    return df.select("*")._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("following", [False, True])
