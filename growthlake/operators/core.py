@@ -103,17 +103,23 @@ def int_user_activation(events: DataFrame) -> DataFrame:
     means nothing; reports look at activated accounts only.
     """
     signups = first_signups(events)
-    signals = (
-        events.where(F.col("event_name").isin(list(ACTIVATION_SIGNALS.values())))
-        .select("account_id", "event_name", "event_at")
-        .join(signups, "account_id")
-        .where(F.col("event_at") <= window_end(F.col("signup_at")))
-        .groupBy("account_id")
-        .agg(*[
-            F.max(F.when(F.col("event_name") == event, F.col("event_at"))).alias(column)
-            for column, event in ACTIVATION_SIGNALS.items()
-        ])
+    signals = events.where(F.col("event_name").isin(list(ACTIVATION_SIGNALS.values()))).select(
+        "account_id", F.date_trunc("hour", "event_at").alias("hour"),
+        *[F.when(F.col("event_name") == event, F.col("event_at")).alias(c) for c, event in ACTIVATION_SIGNALS.items()],
     )
+    last_times = [F.max(c).alias(c) for c in ACTIVATION_SIGNALS]
+    end = window_end(F.col("signup_at"))
+    end_hour = F.date_trunc("hour", end)
+    # Events meet the signups either as one row per hour, or by account and hour:
+    # an account with very many events never brings them all to one task.
+    whole_hours = (
+        signals.groupBy("account_id", "hour").agg(*last_times)
+        .join(signups, "account_id").where(F.col("hour") < end_hour)
+        .select("account_id", *ACTIVATION_SIGNALS)
+    )
+    in_end_hour = signals.join(signups.withColumn("hour", end_hour), ["account_id", "hour"]).select(
+        "account_id", *[F.when(F.col(c) <= end, F.col(c)).alias(c) for c in ACTIVATION_SIGNALS])
+    signals = whole_hours.unionByName(in_end_hour).groupBy("account_id").agg(*last_times)
     times = [F.col(c) for c in ACTIVATION_SIGNALS]
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return (

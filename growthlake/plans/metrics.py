@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from growthlake.functions.semantics import (
-    engagement_segment, exact_sum, money, month_start, ratio, week_start,
+    day_spine, engagement_segment, exact_sum, money, month_start, ratio, week_start,
 )
 from growthlake.functions.vocabulary import ACTIVATION_SIGNALS, FUNNEL_LABELS, SIGNUP_EVENT
 from growthlake.operators.adjacent import with_neighbour
@@ -58,10 +58,12 @@ def metric_funnel_in_window(w: Warehouse) -> DataFrame:
     signups = first_signups(events)
     week = week_start("signup_at").alias("signup_week")
     steps = list(ACTIVATION_SIGNALS.values())
+    # one row per day of the window, so that the events of a hot account are joined day by day
+    days = day_spine(F.to_date("signup_at"), F.to_date(window_end(F.col("signup_at"))))
     reached = (
         events.where(F.col("event_name").isin(steps))
-        .select("account_id", "event_name", "event_at")
-        .join(signups, "account_id")
+        .select("account_id", "event_name", "event_at", F.to_date("event_at").alias("day"))
+        .join(signups.withColumn("day", F.explode(days)), ["account_id", "day"])
         .where((F.col("event_at") >= F.col("signup_at")) & (F.col("event_at") <= window_end(F.col("signup_at"))))
         .groupBy("account_id", week)
         .agg(*[F.bool_or(F.col("event_name") == s).alias(s) for s in steps])

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from growthlake.operators.adjacent import with_neighbour
 from growthlake.operators.core import int_user_activation, int_user_activity
-from growthlake.operators.staging import stg_product_events
+from growthlake.operators.facts import fct_product_events
+from growthlake.operators.staging import flatten_properties, stg_product_events
 from growthlake.plans import reports
 from growthlake.registry import all_queries
+from growthlake.session import new_folder
 from growthlake.sources import driver_tables
 
 SF = "/root/testdata/sf0.001"
@@ -71,6 +73,46 @@ def test_one_account_and_one_event_with_a_third_of_all_rows(spark):
         assert rest.exceptAll(model(plain)).count() == 0 and rest.count() == model(plain).count()
 
 
+def test_a_hot_account_is_split_over_tasks(spark):
+    """With thresholds low enough for test data, AQE splits the hot side, and the result stays the same."""
+    events = driver_tables.product_events(spark, "/root/testdata/sf0.01")
+    hot = events.where("event_id LIKE '%1' OR event_id LIKE '%2' OR event_id LIKE '%3' OR event_id LIKE '%4'")
+    skewed = events.unionByName(hot.withColumns({
+        "account_id": F.lit("acc_hot"), "event_id": F.concat(F.lit("hot_"), F.col("event_id"))}))
+    path = new_folder(spark, "skew")
+    skewed.repartition(16).write.parquet(path)
+    stored = spark.read.parquet(path)
+    identity = stored.select("account_id").distinct().withColumns({
+        "company_id": F.concat(F.lit("cmp_"), F.col("account_id")), "customer_id": F.lit(None).cast("string")})
+    identity.write.parquet(f"{path}-identity")
+    identity = spark.read.parquet(f"{path}-identity")
+    staged = flatten_properties(stored)
+    expected = sorted(map(repr, fct_product_events(staged, identity).collect()))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.files.maxPartitionBytes": "32k",
+        "spark.sql.files.openCostInBytes": "32k",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        df = fct_product_events(staged, identity)
+        got = sorted(map(repr, df.collect()))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert got == expected
+    assert "skew=true" in plan
+
+
 def test_dedup_cuts_rows_before_the_shuffle(spark):
     plan = plan_of(all_queries()["int_user_activity"](spark, SF))
     assert plan.count("WindowGroupLimit") == 2 and plan.count("Exchange hashpartitioning") == 2
