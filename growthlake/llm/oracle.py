@@ -1,7 +1,5 @@
 """DuckDB SQL for the queries that SQL can express on whole tables."""
 
-_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
-
 ORACLE: dict[str, str] = {
     # every window as a list of words, found by an equality join
     "op9_decontamination": r"""
@@ -29,4 +27,19 @@ ORACLE: dict[str, str] = {
                CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AS contaminated
         FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    # all windows of 50 words as strings
+    "op8_substring_dedup": r"""
+        WITH doc AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+             win AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS key FROM
+                     (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM doc WHERE len(w) >= 50)),
+             marked AS (SELECT doc_id, i FROM
+                        (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY key) AS earliest FROM win)
+                        WHERE doc_id > earliest),
+             gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS k FROM marked),
+             word AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS k, unnest(w) AS word FROM doc),
+             kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY k) AS text
+                      FROM word ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(text, '')) AS kept_sha256
+        FROM doc LEFT JOIN kept USING (doc_id)""",
 }

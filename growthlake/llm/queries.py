@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from growthlake.llm import decontamination, simhash, token_files
+from growthlake.llm import decontamination, mixing, simhash, substrings, token_files
 from growthlake.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -22,11 +22,20 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_table(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digest(substrings.without_repeats(table(spark, sf_dir, "documents")))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontamination.digest(found)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op2_token_files, op9_decontamination)
+    f.__name__: f for f in (
+        op1_simhash_near_dedup, op2_token_files, op4_mixing, op8_substring_dedup, op9_decontamination)
 }
