@@ -36,7 +36,7 @@ FLOOR = (0.5, 0.4, 0.7, 0.7, 0.06)
 HALF = 0.75
 STEPS = 3
 PRIOR = 30.0
-REJECT = 1e-7
+REJECT = 1e-6
 
 
 def chi2_cdf(x: float, k: int) -> float:
