@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from growthlake.llm.common import small_batches
@@ -35,6 +35,8 @@ PERIOD = 31
 # fixed values: a perfect difference cover of the residues modulo 31
 COVER = (0, 1, 3, 8, 12, 18)
 LAST_ID = (1 << 63) - 1
+# a spot is the number of a row among those of its doc_id, and the word's place below it
+ROW_SHIFT = 40
 
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -89,11 +91,18 @@ def anchor_places(n: int, length: int, cover: tuple[int, ...], period: int) -> n
     return places[places + length <= n]
 
 
-def _rows(batch: pa.RecordBatch, counts: list[int], **values: np.ndarray) -> pa.RecordBatch:
-    """``doc`` and ``row`` of the batch, each as often as counted, with other columns."""
-    at = pa.array(np.repeat(np.arange(len(counts)), counts))
-    columns = {"doc": batch.column("doc").take(at), "row": batch.column("row").take(at)}
-    return pa.RecordBatch.from_pydict(columns | {name: pa.array(x) for name, x in values.items()})
+def _rows(batch: pa.RecordBatch, counts: list[int], place: list[np.ndarray], **values: np.ndarray) -> pa.RecordBatch:
+    """The batch's ``doc``, each as often as counted, with the spots of the places and other columns."""
+    doc = batch.column("doc").take(pa.array(np.repeat(np.arange(len(counts)), counts)))
+    row = np.repeat(batch.column("row").to_numpy().astype(np.int64), counts)
+    spot = (row << ROW_SHIFT) + _joined(place, np.int64)
+    return pa.RecordBatch.from_pydict({"doc": doc, "spot": pa.array(spot)} | {n: pa.array(x) for n, x in values.items()})
+
+
+def _places(row: int, spots: list[int] | None) -> np.ndarray:
+    """Places of the document's row among its spots."""
+    spots = np.array(spots or [], np.int64)
+    return spots[spots >> ROW_SHIFT == row] & ((1 << ROW_SHIFT) - 1)
 
 
 def _joined(parts: list[np.ndarray], kind: type) -> np.ndarray:
@@ -110,38 +119,37 @@ def _anchors(batches: Iterator[pa.RecordBatch], length: int, window: int) -> Ite
             if len(places):
                 place.append(places)
                 key.append(window_hashes(word_hashes(words), length, places).view(np.int64))
-        yield _rows(batch, counts, place=_joined(place, np.int32), key=_joined(key, np.int64))
+        yield _rows(batch, counts, place, key=_joined(key, np.int64))
 
 
 def _windows(batches: Iterator[pa.RecordBatch], length: int, window: int) -> Iterator[pa.RecordBatch]:
     """Hashes of the windows that hold one of the row's repeated anchors."""
     for batch in small_batches(batches, "text", 1 << 20):
         counts, place, keys = [], [], ([], [])
-        for text, anchors in zip(batch.column("text").to_pylist(), batch.column("places").to_pylist()):
+        for text, row, spots in zip(*(batch.column(c).to_pylist() for c in ("text", "row", "spots"))):
             hashes = word_hashes(split_words(text))
-            near = np.array(anchors)[:, None] - np.arange(window - length + 1)[None, :]
+            near = _places(row, spots)[:, None] - np.arange(window - length + 1)[None, :]
             places = np.unique(near[(near >= 0) & (near <= len(hashes) - window)])
             counts.append(len(places))
             place.append(places)
             for which in (0, 1):
                 keys[which].append(window_hashes(hashes, window, places, which).view(np.int64))
-        yield _rows(batch, counts, place=_joined(place, np.int32), k1=_joined(keys[0], np.int64),
-                    k2=_joined(keys[1], np.int64))
+        yield _rows(batch, counts, place, k1=_joined(keys[0], np.int64), k2=_joined(keys[1], np.int64))
 
 
 def _kept(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     for batch in small_batches(batches, "text"):
         n, removed, kept = [], [], []
-        for text, places, copy in zip(*(batch.column(c).to_pylist() for c in ("text", "places", "copy"))):
+        for text, row, spots, copy in zip(*(batch.column(c).to_pylist() for c in ("text", "row", "spots", "copy"))):
             words = split_words(text)
+            places = _places(row, spots)
             n.append(len(words))
             if copy and len(words) >= window:
                 words = []
-            elif places:
+            elif len(places):
                 change = np.zeros(len(words) + 1, np.int32)
-                change[places] = 1
-                ends = np.array(places) + window
-                change -= np.bincount(ends, minlength=len(change)).astype(np.int32) > 0
+                change[places] += 1
+                change[places + window] -= 1
                 keep = np.cumsum(change[:-1]) == 0
                 words = [w for w, k in zip(words, keep.tolist()) if k]
             removed.append(n[-1] - len(words))
@@ -165,31 +173,34 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     length = window - PERIOD + 1
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     narrow = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc"), text.alias("text"))
-    narrow = narrow.withColumn("row", F.xxhash64("text"))
-    texts = narrow.repartition("doc", "row")
-    id_of_text = narrow.select("doc", "row", F.xxhash64(F.lit(1), "text").alias("row2"))
-    first = id_of_text.groupBy("row", "row2").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
+    same_doc = Window.partitionBy("doc").orderBy(F.xxhash64("text"), "text")
+    texts = narrow.repartition("doc").withColumn("row", F.row_number().over(same_doc) - 1)
+
+    hashes = narrow.select("doc", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"))
+    first = hashes.groupBy("h1", "h2").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
     copies = (
-        id_of_text.join(first, ["row", "row2"]).where("doc > low").select("doc", "row").distinct()
-        .withColumn("copy", F.lit(True))
-    )
-    anchors = texts.join(copies, ["doc", "row"], "left_anti").select("doc", "row", "text").mapInArrow(
-        lambda b: _anchors(b, length, window), "doc long, row long, place int, key long")
-    shared = (
-        anchors.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
-        .where("low < high").select("key")
+        hashes.join(first, ["h1", "h2"]).where("doc > low")
+        .groupBy("doc").agg(F.collect_set(F.struct("h1", "h2")).alias("copied"))
     )
-    repeated = anchors.join(shared, "key").groupBy("doc", "row").agg(F.collect_set("place").alias("places"))
-    windows = texts.join(repeated, ["doc", "row"]).select("doc", "row", "text", "places").mapInArrow(
-        lambda b: _windows(b, length, window), "doc long, row long, place int, k1 long, k2 long")
+    is_copy = F.array_contains("copied", F.struct(
+        F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2")))
+    # an outer join, as an anti join would be pushed below the exchange, which then isn't the same any more
+    marked = texts.join(copies, "doc", "left").select("doc", "text", "row", F.coalesce(is_copy, F.lit(False)).alias("copy"))
+
+    anchors = marked.where("NOT copy").select("doc", "text", "row").mapInArrow(
+        lambda b: _anchors(b, length, window), "doc long, spot long, key long")
+    # those of one document alone also count here; the windows will tell
+    shared = anchors.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    repeated = anchors.join(shared, "key").groupBy("doc").agg(F.collect_set("spot").alias("spots"))
+    windows = texts.join(repeated, "doc").select("doc", "text", "row", "spots").mapInArrow(
+        lambda b: _windows(b, length, window), "doc long, spot long, k1 long, k2 long")
     earliest = (
-        windows.groupBy("k1", "k2").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
-        .where("low < high").select("k1", "k2", "low")
+        windows.groupBy("k1", "k2").agg(F.min("doc").alias("low"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1").select("k1", "k2", "low")
     )
     later = windows.join(earliest, ["k1", "k2"]).where("doc > low")
-    places = later.groupBy("doc", "row").agg(F.sort_array(F.collect_set("place")).alias("places"))
-    marked = texts.join(places, ["doc", "row"], "left").join(copies, ["doc", "row"], "left")
-    return marked.select("doc", "text", "places", "copy").mapInArrow(
+    spots = later.groupBy("doc").agg(F.collect_set("spot").alias("spots"))
+    return marked.join(spots, "doc", "left").select("doc", "text", "row", "copy", "spots").mapInArrow(
         lambda b: _kept(b, window), "doc_id long, n_words long, n_removed long, kept_text string")
 
 
