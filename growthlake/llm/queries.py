@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from growthlake.llm import decontamination, mixing, quality_outliers, simhash, substrings, token_files
+from growthlake.llm import decontamination, mixing, personal_data, quality_outliers, simhash, substrings, token_files
 from growthlake.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -30,6 +30,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_outliers.quality(table(spark, sf_dir, "documents")).drop("distance")
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.digest(personal_data.personal_spans(table(spark, sf_dir, "documents")))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(substrings.without_repeats(table(spark, sf_dir, "documents")))
 
@@ -41,6 +45,6 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_simhash_near_dedup, op2_token_files, op4_mixing, op6_quality_rules, op8_substring_dedup,
+        op1_simhash_near_dedup, op2_token_files, op4_mixing, op6_quality_rules, op7_personal_data, op8_substring_dedup,
         op9_decontamination)
 }
