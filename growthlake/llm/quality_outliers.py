@@ -92,7 +92,8 @@ def with_statistics(docs: DataFrame) -> DataFrame:
         F.regexp_count("__text", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
-    return ordered.select(*[docs[c] for c in docs.columns], stats.alias("__stats"))
+    # exploding an array of one keeps the optimizer from repeating all this for every use of a statistic
+    return ordered.select(*[docs[c] for c in docs.columns], F.explode(F.array(stats)).alias("__stats"))
 
 
 def base_failed() -> Column:
