@@ -42,4 +42,24 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
                sha256(coalesce(text, '')) AS kept_sha256
         FROM doc LEFT JOIN kept USING (doc_id)""",
+    "op10_chat_perspectives": """
+        WITH turns AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
+                              coalesce(turn // 1024, -1) AS part FROM conversations),
+             speakers AS (SELECT DISTINCT conv_id, role AS perspective FROM turns WHERE role <> 'system'),
+             segments AS (SELECT conv_id, perspective, part, turn, role, text, role = perspective AS mine,
+                                 '<|' || CASE WHEN role = 'system' THEN 'system' WHEN role = perspective THEN 'assistant'
+                                         ELSE 'user name=' || role END || '|>' || chr(10) || text || '<|end|>' || chr(10)
+                                 AS segment
+                          FROM turns JOIN speakers USING (conv_id)),
+             placed AS (SELECT *, sum(length(segment)) OVER (PARTITION BY conv_id, perspective, part
+                                                             ORDER BY turn NULLS FIRST, role, text) AS stop
+                        FROM segments)
+        SELECT conv_id, perspective, CAST(part AS BIGINT) AS part, count(*) AS n_turns,
+               string_agg(segment, '' ORDER BY turn NULLS FIRST, role, text) AS rendered,
+               coalesce(string_agg(CASE WHEN mine THEN CAST(stop - length(text) - 8 AS VARCHAR) || ':' ||
+                                        CAST(stop - 1 AS VARCHAR) END, ',' ORDER BY turn NULLS FIRST, role, text), '') AS spans,
+               CAST(sum(CASE WHEN mine THEN length(text) + 7 ELSE 0 END) AS BIGINT) AS n_trained,
+               CAST(coalesce(sum(sum(length(segment))) OVER (PARTITION BY conv_id, perspective ORDER BY part
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+        FROM placed GROUP BY conv_id, perspective, part""",
 }

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from growthlake.llm import decontamination, mixing, personal_data, quality_outliers, simhash, substrings, token_files
+from growthlake.llm import (
+    chat, decontamination, lines, mixing, personal_data, quality_outliers, simhash, substrings, token_files,
+)
 from growthlake.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,6 +28,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.removal_counts(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_outliers.quality(table(spark, sf_dir, "documents")).drop("distance")
 
@@ -43,8 +49,12 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(found)
 
 
+def op10_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.perspectives(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_simhash_near_dedup, op2_token_files, op4_mixing, op6_quality_rules, op7_personal_data, op8_substring_dedup,
-        op9_decontamination)
+        op1_simhash_near_dedup, op2_token_files, op4_mixing, op5_line_dedup, op6_quality_rules, op7_personal_data,
+        op8_substring_dedup, op9_decontamination, op10_chat_perspectives)
 }
