@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from growthlake.llm import (
-    chat, decontamination, lines, mixing, personal_data, quality_outliers, simhash, substrings, token_files,
+    chat, decontamination, lines, mixing, personal_data, quality_outliers, secret_scan, simhash, substrings,
+    token_files,
 )
 from growthlake.llm.common import table
 
@@ -24,6 +25,10 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_table(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.secrets(table(spark, sf_dir, "documents")))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
@@ -55,6 +60,6 @@ def op10_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_simhash_near_dedup, op2_token_files, op4_mixing, op5_line_dedup, op6_quality_rules, op7_personal_data,
-        op8_substring_dedup, op9_decontamination, op10_chat_perspectives)
+        op1_simhash_near_dedup, op2_token_files, op3_secret_scan, op4_mixing, op5_line_dedup, op6_quality_rules,
+        op7_personal_data, op8_substring_dedup, op9_decontamination, op10_chat_perspectives)
 }
