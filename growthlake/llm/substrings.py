@@ -10,7 +10,7 @@ could hold them are hashed in full and compared.
 
 An anchor and a window shrink to their least documents before the shuffle, and
 occurrences meet those by a join whose hot keys AQE splits; pairs of documents
-are never made. Windows are told apart by 128 bits.
+are never made. Windows are told apart by 96 bits of two hashes.
 
 Cases: null and empty texts have no words; a document of fewer than 50 words
 loses none; of rows with equal doc_id, one text's windows are not earlier than
@@ -37,6 +37,7 @@ COVER = (0, 1, 3, 8, 12, 18)
 LAST_ID = (1 << 63) - 1
 # a spot is the number of a row among those of its doc_id, and the word's place below it
 ROW_SHIFT = 40
+ANCHOR_BITS = 48
 
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -118,7 +119,8 @@ def _anchors(batches: Iterator[pa.RecordBatch], length: int, window: int) -> Ite
             counts.append(len(places))
             if len(places):
                 place.append(places)
-                key.append(window_hashes(word_hashes(words), length, places).view(np.int64))
+                # a shorter key is enough for a filter; what it finds too much, the windows sort out
+                key.append((window_hashes(word_hashes(words), length, places) >> np.uint64(64 - ANCHOR_BITS)).view(np.int64))
         yield _rows(batch, counts, place, key=_joined(key, np.int64))
 
 
@@ -132,9 +134,9 @@ def _windows(batches: Iterator[pa.RecordBatch], length: int, window: int) -> Ite
             places = np.unique(near[(near >= 0) & (near <= len(hashes) - window)])
             counts.append(len(places))
             place.append(places)
-            for which in (0, 1):
-                keys[which].append(window_hashes(hashes, window, places, which).view(np.int64))
-        yield _rows(batch, counts, place, k1=_joined(keys[0], np.int64), k2=_joined(keys[1], np.int64))
+            keys[0].append(window_hashes(hashes, window, places, 0).view(np.int64))
+            keys[1].append((window_hashes(hashes, window, places, 1) >> np.uint64(32)).astype(np.uint32).view(np.int32))
+        yield _rows(batch, counts, place, k1=_joined(keys[0], np.int64), k2=_joined(keys[1], np.int32))
 
 
 def _kept(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -193,7 +195,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     shared = anchors.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     repeated = anchors.join(shared, "key").groupBy("doc").agg(F.collect_set("spot").alias("spots"))
     windows = texts.join(repeated, "doc").select("doc", "text", "row", "spots").mapInArrow(
-        lambda b: _windows(b, length, window), "doc long, spot long, k1 long, k2 long")
+        lambda b: _windows(b, length, window), "doc long, spot long, k1 long, k2 int")
     earliest = (
         windows.groupBy("k1", "k2").agg(F.min("doc").alias("low"), F.count(F.lit(1)).alias("n"))
         .where("n > 1").select("k1", "k2", "low")
