@@ -93,6 +93,16 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
+def delivery_content() -> Column:
+    """Tells deliveries of an event apart that share cursor and load."""
+    return F.xxhash64("account_id", "distinct_id", "event_name", "event_at", "properties")
+
+
+def delivery_order(content: Column | None = None) -> list[Column]:
+    """The order in which the first delivery of an event is the one that counts, in batches and streams alike."""
+    return [F.asc(CURSOR), F.asc("load_id"), delivery_content() if content is None else content]
+
+
 def merge_latest(loads: list[DataFrame], key: str) -> DataFrame:
     """Current row per key over all loads: the newest write, of the later load on a tie."""
     numbered = union_evolved([df.withColumn("_load", F.lit(i)) for i, df in enumerate(loads)])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from growthlake.functions.standardise import standard_country, standard_frequency, standard_plan
 from growthlake.functions.vocabulary import FLATTENED_PROPERTIES
-from growthlake.operators.ingest import first_per_key
+from growthlake.operators.ingest import delivery_content, delivery_order, first_per_key
 
 
 def flatten_properties(events: DataFrame) -> DataFrame:
@@ -20,11 +20,8 @@ def flatten_properties(events: DataFrame) -> DataFrame:
 
 def stg_product_events(events: DataFrame) -> DataFrame:
     """First delivery of each event. Flattened before the shuffle, so unused properties are pruned away."""
-    flat = flatten_properties(events)
-    unique = first_per_key(flat, ["event_id"], [
-        F.asc("source_updated_at"), F.asc("load_id"),
-        F.xxhash64("account_id", "distinct_id", "event_name", "event_at"),
-    ])
+    flat = flatten_properties(events.withColumn("_content", delivery_content()))
+    unique = first_per_key(flat, ["event_id"], delivery_order(F.col("_content")))
     return unique.select(
         "event_id", "event_name", "distinct_id", "account_id", "event_at", "source_updated_at",
         *FLATTENED_PROPERTIES,

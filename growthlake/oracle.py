@@ -155,7 +155,8 @@ VIEWS: dict[str, str] = {
         FROM (SELECT *, start_date - CASE WHEN o_orderkey % 10 = 0 THEN INTERVAL 2 DAY ELSE INTERVAL 0 DAY END
                         AS recorded_at
               FROM (SELECT o_orderkey, 'sub_' || o_orderkey AS subscription_id, 'cus_' || o_custkey AS customer_id,
-                           'prc_' || (o_orderkey % 89) AS price_id,
+                           'prc_' || coalesce((SELECT min(l_partkey) FROM lineitem WHERE l_orderkey = o_orderkey),
+                                              o_custkey) AS price_id,
                            CASE WHEN next_day IS NULL AND o_orderstatus = 'F' THEN 'canceled'
                                 WHEN next_day IS NOT NULL AND o_orderkey % 7 = 0 THEN 'canceled'
                                 WHEN next_day IS NOT NULL THEN 'superseded'
@@ -168,6 +169,7 @@ VIEWS: dict[str, str] = {
                              + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS start_date,
                            CASE WHEN next_day IS NOT NULL THEN TIMESTAMP '2023-09-01 00:00:00' + to_days(next_day)
                                 WHEN o_orderstatus = 'F' THEN TIMESTAMP '2023-09-16 00:00:00' + to_days(day)
+                                WHEN o_orderkey % 13 = 0 THEN TIMESTAMP '2024-06-01 00:00:00'
                            END AS ended_at
                     FROM o_periods))""",
     "bronze_billing_invoices": """
@@ -713,8 +715,6 @@ ANSWERS: dict[str, str] = {
     "stream_dedup_events": """
         SELECT * FROM bronze_product_events
         QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY source_updated_at, load_id) = 1""",
-    "stream_dedup_within_horizon":
-        "SELECT DISTINCT event_id, event_name, distinct_id, account_id, event_at FROM bronze_product_events",
     "stream_upsert_entities": "SELECT * FROM bronze_crm_companies",
     "stream_daily_activity": "SELECT * FROM int_user_activity",
 

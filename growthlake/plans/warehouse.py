@@ -6,10 +6,18 @@ is written to its layer when it is first asked for, and read from there by
 whatever needs it. That is the way to run reports at scale: events are
 deduplicated once and not once per consumer, reports read small marts, and a
 lost executor costs the work on the current table only.
+
+A build writes to a folder of its own, ``<root>/build-<id>``, and names it in a
+pointer file when all tables are there. Other jobs attach with
+``Warehouse.open``, which only reads; they keep what they opened while the next
+build goes on, and a build that fails leaves the last one in place.
 """
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -77,6 +85,13 @@ WAVES = [
 MONTH_OF = {"stg_product_events": "event_at", "fct_product_events": "event_at"}
 
 
+POINTER = "current-"
+
+
+def _layer_of(name: str) -> str:
+    return next(layer for layer, models in LAYERS.items() if name in models)
+
+
 class Warehouse:
     """``bronze`` gives the bronze table of a name; ``as_of`` stands in for today."""
 
@@ -87,12 +102,32 @@ class Warehouse:
         self.as_of = as_of
         self._bronze = bronze
         self._root = root
+        self._folder = f"{root}/build-{uuid.uuid4().hex}" if root is not None else None
+        self._attached = False
         self._frames: dict[str, DataFrame] = {}
 
+    @classmethod
+    def open(cls, spark: SparkSession, root: str, bronze: Callable[[str], DataFrame] | None = None) -> Warehouse:
+        """The last finished build, to read from; nothing is computed or written."""
+        def missing(name: str) -> DataFrame:
+            raise KeyError(f"{name} is no table of the warehouse")
+
+        folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+        names = [f.getPath().getName() for f in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
+        pointers = sorted(n for n in names if n.startswith(POINTER))
+        if not pointers:
+            raise FileNotFoundError(f"no finished build under {root}")
+        built = json.loads(spark.read.text(f"{root}/{pointers[-1]}").first().value)
+        warehouse = cls(spark, bronze or missing, built["as_of"], root)
+        warehouse._folder, warehouse._attached = f"{root}/{built['folder']}", True
+        return warehouse
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
             if name not in MODELS:
                 frame = self._bronze(name)
+            elif self._attached:
+                frame = self.spark.read.parquet(f"{self._folder}/{_layer_of(name)}/{name}")
             else:
                 frame = MODELS[name](self)
                 if self._root is not None:
@@ -101,15 +136,26 @@ class Warehouse:
         return self._frames[name]
 
     def _stored(self, name: str, df: DataFrame) -> DataFrame:
-        layer = next(layer for layer, models in LAYERS.items() if name in models)
         if name not in MONTH_OF:
-            return write_table(df, self._root, layer, name)
+            return write_table(df, self._folder, _layer_of(name), name)
         by_month = df.withColumn("event_month", month_start(MONTH_OF[name]))
-        return write_table(by_month, self._root, layer, name, "event_month")
+        return write_table(by_month, self._folder, _layer_of(name), name, "event_month")
 
     def build(self, threads: int = 4) -> Warehouse:
         """Writes every model that is not there yet, a few at a time."""
         with ThreadPoolExecutor(threads) as pool:
             for wave in WAVES:
                 list(pool.map(self.__getitem__, wave))
+        if self._root is not None and not self._attached:
+            self._publish()
         return self
+
+    def _publish(self) -> None:
+        """Names the finished build; the pointer appears whole, by a rename, and the last one counts."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        store = path(self._root).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        temporary = path(f"{self._root}/_{uuid.uuid4().hex}")
+        out = store.create(temporary)
+        out.write(json.dumps({"folder": self._folder.rpartition("/")[2], "as_of": self.as_of}).encode())
+        out.close()
+        store.rename(temporary, path(f"{self._root}/{POINTER}{time.time_ns():020d}"))

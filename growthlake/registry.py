@@ -108,25 +108,25 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return driver_tables.events_from(jobs.read_stream(spark, path, driver_tables.SCHEMAS["events"]))
 
 
+def _events_in_batches(spark: SparkSession, sf_dir: str, job: Callable[[DataFrame, str, str], None], name: str) -> str:
+    """Runs the job over three landings in turn; deliveries of an event fall into different ones, late ones first."""
+    path = new_folder(spark, name)
+    events = driver_tables.product_events(spark, sf_dir)
+    for part in (2, 0, 1):
+        landing_part = F.pmod(F.xxhash64("event_id", "load_id", "source_updated_at"), F.lit(3)) == part
+        events.where(landing_part).write.mode("append").parquet(f"{path}/landed")
+        job(jobs.read_stream(spark, f"{path}/landed", schemas.PRODUCT_EVENTS), f"{path}/table", f"{path}/checkpoint")
+    return f"{path}/table"
+
+
 def stream_bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "stream-bronze")
     jobs.append_events(_event_stream(spark, sf_dir), f"{path}/table", f"{path}/checkpoint")
-    return spark.read.parquet(f"{path}/table").drop("event_date")
-
-
-def stream_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = new_folder(spark, "stream-dedup")
-    jobs.dedup_events(_event_stream(spark, sf_dir), f"{path}/table", f"{path}/checkpoint")
     return spark.read.parquet(f"{path}/table").drop("event_date", "batch_id")
 
 
-def stream_dedup_within_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stateful way. Which delivery comes first within a batch is open, so delivery columns are left out."""
-    path = new_folder(spark, "stream-dedup-state")
-    jobs.append_events(
-        jobs.dedup_within_horizon(_event_stream(spark, sf_dir)), f"{path}/table", f"{path}/checkpoint")
-    return spark.read.parquet(f"{path}/table").select(
-        "event_id", "event_name", "distinct_id", "account_id", "event_at")
+def stream_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.resolved_events(spark, _events_in_batches(spark, sf_dir, jobs.dedup_events, "stream-dedup"))
 
 
 def stream_upsert_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,9 +140,7 @@ def stream_upsert_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_daily_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = new_folder(spark, "stream-activity")
-    jobs.daily_activity(_event_stream(spark, sf_dir), path, f"{path}/checkpoint")
-    return jobs.current_activity(spark, path)
+    return jobs.current_activity(spark, _events_in_batches(spark, sf_dir, jobs.dedup_events, "stream-activity"))
 
 
 # scalar rules
@@ -239,7 +237,7 @@ def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 FUNCTIONS: list[Query] = [
     ingest_envelope, ingest_updated_since, ingest_event_range, ingest_keyset_page, ingest_append_watermark,
     ingest_merge_latest, ingest_schema_evolution, ingest_flatten_props, ingest_backfill, write_layer,
-    stream_bronze_events, stream_dedup_events, stream_dedup_within_horizon, stream_upsert_entities,
+    stream_bronze_events, stream_dedup_events, stream_upsert_entities,
     stream_daily_activity,
     std_country, std_plan, std_frequency, date_year_of, date_month_of, date_trunc_to_month, week_start,
     scd2_companies, dim_features, dq_unique, dq_not_null, dq_accepted_range,

@@ -206,8 +206,12 @@ def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One period per order; a customer's next start day ends it.
 
     The next day is looked up among the customer's distinct days (140 at most),
-    so a customer with very many orders never becomes one task.
+    so a customer with very many orders never becomes one task. The price is
+    that of the order's first part (of a part numbered like the customer, if an
+    order has no lines). Some live periods are known to end after ``AS_OF``.
     """
+    first_part = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.min("l_partkey").alias("first_part"))
     orders = _orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "day")
     following = orders.select("o_custkey", "day").distinct().selectExpr(
         "*", "lead(day) OVER (PARTITION BY o_custkey ORDER BY day) AS next_day")
@@ -219,14 +223,15 @@ def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = ("timestamp_ntz'2023-09-01' + make_dt_interval("
              "day + if(o_orderkey % 97 = 0, 365, 0), cast(o_orderkey % 24 AS int))")
     end = f"""CASE WHEN next_day IS NOT NULL THEN {_days_after('2023-09-01', 'next_day')}
-                   WHEN o_orderstatus = 'F' THEN {_days_after('2023-09-16', 'day')} END"""
+                   WHEN o_orderstatus = 'F' THEN {_days_after('2023-09-16', 'day')}
+                   WHEN o_orderkey % 13 = 0 THEN timestamp_ntz'2024-06-01' END"""
     return (
-        orders.join(following, ["o_custkey", "day"])
+        orders.join(following, ["o_custkey", "day"]).join(first_part, "o_orderkey", "left")
         .selectExpr("*", f"{status} AS status", f"{start} AS start_date", f"{end} AS ended_at")
         .selectExpr("*", "start_date - make_dt_interval(if(o_orderkey % 10 = 0, 2, 0)) AS recorded_at")
         .selectExpr(
             "'sub_' || o_orderkey AS subscription_id", "'cus_' || o_custkey AS customer_id",
-            "'prc_' || (o_orderkey % 89) AS price_id", "status",
+            "'prc_' || coalesce(first_part, o_custkey) AS price_id", "status",
             "cast(o_orderkey % 10 + 1 AS int) AS seats", "start_date", "ended_at", "recorded_at",
             "start_date AS effective_at", "recorded_at + make_dt_interval(0, 1) AS source_updated_at",
         )

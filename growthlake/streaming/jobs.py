@@ -1,8 +1,12 @@
 """Incremental jobs: each run takes what has landed since the last one, and stops.
 
 Every job works in micro-batches under a checkpoint. Batch N writes the folder
-``batch_id=N`` of its table, replacing it on a retry, and reads only earlier
-folders. So a batch that is repeated after a failure leaves the same table.
+``batch_id=N`` of its table, replacing it on a retry, and reads no other. So a
+batch that is repeated after a failure leaves the same table. What spans
+batches (which delivery of an event was first, which write of a record last)
+is settled when the table is read, over all its folders, and a compaction folds
+them into one. A new checkpoint over a table that has folders is refused, as its
+batch 0 would replace rows whose source files may be gone.
 """
 
 from __future__ import annotations
@@ -12,19 +16,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from growthlake.functions.vocabulary import ACTIVITY_EVENTS
-from growthlake.operators.ingest import first_per_key, merge_latest
+from growthlake.operators.core import int_user_activity
+from growthlake.operators.ingest import delivery_order, first_per_key, merge_latest
+from growthlake.operators.staging import stg_product_events
 
-# longest time between two deliveries of an event, with a margin
-REPEAT_HORIZON = "10 days"
 
+def read_stream(spark: SparkSession, path: str, schema: str, max_files: int | None = None) -> DataFrame:
+    """A stream of the Parquet files at the path; ``max_files`` bounds a micro-batch, so a backlog is many of them."""
+    reader = spark.readStream.schema(schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(path)
 
-def read_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A stream of the Parquet files at the path."""
-    return spark.readStream.schema(schema).parquet(path)
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
-def run_available(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None]) -> None:
+
+def run_available(stream: DataFrame, table: str, checkpoint: str, handle: Callable[[DataFrame, int], None]) -> None:
+    spark = stream.sparkSession
+    if _exists(spark, table) and not _exists(spark, checkpoint):
+        raise ValueError(f"{table} has batches of another checkpoint than {checkpoint}")
     query = (
         stream.writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
@@ -34,33 +47,8 @@ def run_available(stream: DataFrame, checkpoint: str, handle: Callable[[DataFram
     query.awaitTermination()
 
 
-def append_events(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Bronze: every delivery, exactly once, in folders by day of the event."""
-    query = (
-        stream.withColumn("event_date", F.to_date("event_at"))
-        .writeStream.format("parquet").partitionBy("event_date")
-        .option("path", path).option("checkpointLocation", checkpoint)
-        .outputMode("append").trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-
-
-def dedup_within_horizon(stream: DataFrame, horizon: str = REPEAT_HORIZON) -> DataFrame:
-    """First delivery of each event, with state kept for the horizon only.
-
-    The watermark follows the arrival time, which grows with the stream, so an
-    event that happened long ago is not dropped as late. It suits a feed that is
-    read in order of arrival; where older loads may come in between,
-    ``dedup_events`` loses nothing.
-    """
-    arrival = F.col("source_updated_at").cast("timestamp")
-    return (
-        stream.withColumn("_arrival", arrival).withWatermark("_arrival", horizon)
-        .dropDuplicatesWithinWatermark(["event_id"]).drop("_arrival")
-    )
-
-
 def _write_batch(df: DataFrame, path: str, batch_id: int, partition_by: str | None = None) -> None:
+    # dealt out by the folders, so a batch writes a few files a day and not one per task and day
     writer = df.hint("rebalance", partition_by) if partition_by else df
     writer = writer.write.mode("overwrite")
     if partition_by:
@@ -73,31 +61,37 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _new_events(batch: DataFrame, batch_id: int, path: str) -> DataFrame:
-    """Events of the batch that no earlier batch has.
+def append_events(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Bronze: every delivery, exactly once, in folders by day of the event."""
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        _write_batch(batch.withColumn("event_date", F.to_date("event_at")), path, batch_id, "event_date")
 
-    All deliveries of an event carry the same time, hence the same day, so only
-    the stored days that occur in the batch are read, and only their ids.
-    """
-    spark = batch.sparkSession
-    first = first_per_key(
-        batch.withColumn("event_date", F.to_date("event_at")), ["event_id"],
-        [F.asc("source_updated_at"), F.asc("load_id")])
-    if batch_id == 0:
-        return first
-    # the calendar days of one batch: a short list, whatever its rows
-    days = [r.event_date for r in batch.select(F.to_date("event_at").alias("event_date")).distinct().collect()]
-    stored = read_log(spark, path).where(
-        (F.col("batch_id") < batch_id) & F.col("event_date").isin(days)).select("event_id")
-    return first.join(stored, "event_id", "left_anti").select(*first.columns)
+    run_available(stream, path, checkpoint, handle)
 
 
 def dedup_events(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """First delivery of each event, however long ago it was; no state but the table itself."""
+    """Keeps each batch's first delivery of each event; ``resolved_events`` reads the first of all.
+
+    A batch looks nothing up, so it makes no difference when and in which order
+    deliveries land, nor on which day an event says it happened.
+    """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(_new_events(batch, batch_id, path), path, batch_id, "event_date")
+        first = first_per_key(batch, ["event_id"], delivery_order())
+        _write_batch(first.withColumn("event_date", F.to_date("event_at")), path, batch_id, "event_date")
+
+    run_available(stream, path, checkpoint, handle)
+
+
+def resolved_events(spark: SparkSession, path: str) -> DataFrame:
+    """The first delivery of each event over all batches."""
+    log = read_log(spark, path).drop("batch_id", "event_date")
+    return first_per_key(log, ["event_id"], delivery_order())
+
 
-    run_available(stream, checkpoint, handle)
+def compact_events(spark: SparkSession, path: str, into: str) -> DataFrame:
+    """Writes the resolved events as batch 0 of a new table, by day; its readers are the same functions."""
+    _write_batch(resolved_events(spark, path).withColumn("event_date", F.to_date("event_at")), into, 0, "event_date")
+    return resolved_events(spark, into)
 
 
 def upsert_entities(stream: DataFrame, key: str, path: str, checkpoint: str) -> None:
@@ -105,7 +99,7 @@ def upsert_entities(stream: DataFrame, key: str, path: str, checkpoint: str) ->
     def handle(batch: DataFrame, batch_id: int) -> None:
         _write_batch(merge_latest([batch], key), path, batch_id)
 
-    run_available(stream, checkpoint, handle)
+    run_available(stream, path, checkpoint, handle)
 
 
 def current_entities(spark: SparkSession, path: str, key: str) -> DataFrame:
@@ -116,31 +110,6 @@ def current_entities(spark: SparkSession, path: str, key: str) -> DataFrame:
     return first_per_key(log, [key], order).drop("batch_id")
 
 
-def daily_activity(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Keeps activity per user, account and day up to date; late events land on their own day.
-
-    A batch stores counts per event name. Those add up over batches, so nothing
-    has to be recomputed and no event is too late; ``current_activity`` adds them.
-    """
-    events, counts = f"{path}/events", f"{path}/counts"
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(_new_events(batch, batch_id, events), events, batch_id, "event_date")
-        fresh = read_log(batch.sparkSession, events).where(F.col("batch_id") == batch_id)
-        counted = (
-            fresh.where(F.col("event_name").isin(ACTIVITY_EVENTS))
-            .groupBy(F.col("distinct_id").alias("user_id"), "account_id",
-                     F.to_date("event_at").alias("activity_date"), "event_name")
-            .agg(F.count(F.lit(1)).alias("event_count"))
-        )
-        _write_batch(counted, counts, batch_id)
-
-    run_available(stream, checkpoint, handle)
-
-
 def current_activity(spark: SparkSession, path: str) -> DataFrame:
-    """User x account x day: the grain and columns of ``int_user_activity``."""
-    per_name = read_log(spark, f"{path}/counts").groupBy(
-        "user_id", "account_id", "activity_date", "event_name").agg(F.sum("event_count").alias("event_count"))
-    return per_name.groupBy("user_id", "account_id", "activity_date").agg(
-        F.sum("event_count").alias("event_count"), F.count("event_name").alias("distinct_features"))
+    """User x account x day over the table of ``dedup_events``: late and repeated events count once, on their own day."""
+    return int_user_activity(stg_product_events(resolved_events(spark, path)))

@@ -4,9 +4,12 @@ import pytest
 
 import __spark_entry__ as driver
 from compare import differences, duck_connection
+from growthlake.oracle import oracle_queries
+from growthlake.registry import all_queries
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+# the text queries, where installed, are tested with their subpackage
+QUERIES, SQL = all_queries(), oracle_queries()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +19,7 @@ def duck():
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(driver.queries()) and set(SQL) <= set(driver.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
