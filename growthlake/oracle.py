@@ -8,11 +8,63 @@ from __future__ import annotations
 
 import re
 
-from growthlake.operators.quality import GRAINS, NOT_NULL, UNIQUE
 from growthlake.plans.warehouse import CORE, MARTS, MODELS, STAGING
 from growthlake.sources.schemas import BRONZE
 
 
+# fixed values, written out here too: a test that gets lost on the Spark side must show
+_UNIQUE = dict(item.split(".") for item in """
+    stg_product_events.event_id stg_crm_contacts.contact_id stg_crm_companies.company_id
+    stg_crm_deals.deal_id stg_billing_customers.customer_id stg_billing_prices.price_id
+    stg_billing_invoices.invoice_id int_identity_mapping.account_id int_user_activation.account_id
+    dim_accounts.account_id dim_plans.price_id dim_features.feature_code
+    dim_dates.day_date fct_product_events.event_id fct_user_activation.account_id
+    fct_user_journey.account_id fct_paid_conversion.account_id fct_paid_base_daily.day_date
+""".split())
+_NOT_NULL = {
+    "stg_product_events": "event_id event_name distinct_id account_id event_at".split(),
+    "stg_crm_contacts": "contact_id email".split(),
+    "stg_crm_companies": "company_id country".split(),
+    "stg_crm_deals": "deal_id company_id".split(),
+    "stg_billing_customers": "customer_id".split(),
+    "stg_billing_prices": "price_id plan_code".split(),
+    "stg_billing_subscriptions": "subscription_id customer_id".split(),
+    "stg_billing_invoices": "invoice_id".split(),
+    "int_identity_mapping": "account_id".split(),
+    "int_user_activity": "user_id activity_date".split(),
+    "int_user_activation": "account_id is_activated".split(),
+    "int_feature_usage": "account_id feature_code".split(),
+    "int_subscription_history": "subscription_id customer_id".split(),
+    "int_account_usage": "account_id usage_month".split(),
+    "dim_accounts": "account_id company_id customer_id".split(),
+    "dim_plans": "price_id plan_code".split(),
+    "dim_features": "feature_code".split(),
+    "dim_dates": "day_date".split(),
+    "fct_product_events": "event_id account_id event_at".split(),
+    "fct_user_activation": "account_id is_activated".split(),
+    "fct_user_daily_activity": "user_id activity_date".split(),
+    "fct_feature_adoption": "feature_code week adoption_rate".split(),
+    "fct_user_journey": "account_id".split(),
+    "fct_subscription_history": "subscription_id effective_at".split(),
+    "fct_account_mrr": "account_id mrr_month mrr".split(),
+    "fct_paid_conversion": "account_id".split(),
+    "fct_retention": "cohort_week week_offset retention_rate".split(),
+    "fct_churn": "month churn_rate".split(),
+    "fct_usage_expansion": "account_id month".split(),
+    "fct_paid_base_daily": "day_date cum_converted cum_churned paid_accounts".split(),
+}
+_GRAINS = {
+    "int_user_activity": "user_id account_id activity_date".split(),
+    "int_account_usage": "account_id usage_month".split(),
+    "int_feature_usage": "account_id feature_code usage_week".split(),
+    "fct_feature_adoption": "feature_code week".split(),
+    "fct_account_mrr": "account_id mrr_month".split(),
+    "fct_retention": "cohort_week week_offset".split(),
+    "fct_churn": "month".split(),
+    "fct_usage_expansion": "account_id month".split(),
+}
+
+
 def _week(value: str) -> str:
     return f"(CAST({value} AS DATE) - CAST(dayofweek({value}) AS INTEGER))"
 
@@ -488,12 +540,12 @@ def _dims(name: str) -> str:
 def _generic(tables: list[str]) -> str:
     parts = []
     for name in tables:
-        for column in NOT_NULL[name]:
+        for column in _NOT_NULL[name]:
             parts.append(
                 f"SELECT '{name}' AS table_name, 'not_null' AS test, '{column}' AS column_name, "
                 f"count(*) - count({column}) AS violations FROM {_dims(name)}")
-        if name in UNIQUE:
-            key = UNIQUE[name]
+        if name in _UNIQUE:
+            key = _UNIQUE[name]
             parts.append(
                 f"SELECT '{name}', 'unique', '{key}', count(*) FROM (SELECT {key} FROM {_dims(name)} "
                 f"WHERE {key} IS NOT NULL GROUP BY {key} HAVING count(*) > 1)")
@@ -756,7 +808,7 @@ ANSWERS: dict[str, str] = {
     "dq_grains": " UNION ALL ".join(
         f"SELECT '{name}' AS check_name, count(*) AS violations FROM (SELECT 1 FROM {name} "
         f"WHERE {' AND '.join(f'{k} IS NOT NULL' for k in keys)} GROUP BY {', '.join(keys)} HAVING count(*) > 1)"
-        for name, keys in GRAINS.items()),
+        for name, keys in _GRAINS.items()),
     "dq_summary": " UNION ALL ".join(
         f"SELECT '{name}' AS check_name, count(*) AS violations FROM ({sql})" for name, sql in DQ.items()),
 }

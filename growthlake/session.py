@@ -21,9 +21,17 @@ RUNTIME_SETTINGS = {
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
+PARTITION_BYTES = 128 << 20
+
+
+def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+    """Applies the settings. ``input_bytes`` sizes the shuffles: AQE merges small partitions but never adds any,
+    so a job over very much data should start with one per ``PARTITION_BYTES`` of it."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    if input_bytes is not None:
+        partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes // PARTITION_BYTES))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
     return spark
 
 
