@@ -107,7 +107,11 @@ def _near(a: Column, b: Column, limit: int) -> Column:
 
 
 def _cells(nodes: DataFrame, tables: list[int]) -> DataFrame:
-    """A row per node and table; the cell is a hash of the table and of its coordinates there."""
+    """A row per node and table; the cell is a hash of the table and of its coordinates there.
+
+    Spark's size estimate leaves the tables out of account, so joins of cells
+    ask for a merge: else a side many times the limit would be broadcast.
+    """
     def cell(mask: Column) -> Column:
         return F.xxhash64(mask, *(F.bit_count(F.col("fp").bitwiseXOR(F.lit(p)).bitwiseAND(mask)) for p in pivots()))
 
@@ -128,7 +132,7 @@ def link_components(nodes: DataFrame, tables: list[int], limit: int,
         .where("first.node < last").select("cell", F.col("first.node").alias("a"), F.col("first.fp").alias("a_fp"))
     )
     stars = (
-        cells.join(firsts, "cell").where((F.col("node") != F.col("a")) & _near(F.col("fp"), F.col("a_fp"), limit))
+        cells.join(firsts.hint("merge"), "cell").where((F.col("node") != F.col("a")) & _near(F.col("fp"), F.col("a_fp"), limit))
         .select("a", F.col("node").alias("b")).distinct()
     )
     first = components(checked(stars))
@@ -138,7 +142,7 @@ def link_components(nodes: DataFrame, tables: list[int], limit: int,
     left = cells.select("cell", F.col("node").alias("a"), F.col("fp").alias("a_fp"), F.col("label").alias("a_label"))
     right = cells.select("cell", F.col("node").alias("b"), F.col("fp").alias("b_fp"), F.col("label").alias("b_label"))
     across = left.join(
-        right, (left["cell"] == right["cell"]) & (F.col("a_label") < F.col("b_label"))
+        right.hint("merge"), (left["cell"] == right["cell"]) & (F.col("a_label") < F.col("b_label"))
         & _near(F.col("a_fp"), F.col("b_fp"), limit))
     pairs = stored(checked(across.select("a", "b").distinct()), "across")
     by_node = labelled.select("node", "label")
