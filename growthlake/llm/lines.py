@@ -168,7 +168,7 @@ def line_classes(lines: DataFrame, edits: int = EDITS) -> DataFrame:
 
     # most keys are one line's alone; the rest is small
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bool_or("index").alias("indexed"))
-    met = stored(keys.join(shared.where("n > 1 AND indexed").select("key"), "key"), "met")
+    met = stored(keys.join(shared.where("n > 1 AND indexed").select("key").hint("merge"), "key"), "met")
     leaders = met.groupBy("key").agg(F.min("id").alias("first"))
     stars = (
         met.join(leaders, "key").where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct())
@@ -177,7 +177,7 @@ def line_classes(lines: DataFrame, edits: int = EDITS) -> DataFrame:
         "key", "index", "id", F.coalesce("component", "id").alias("label")), "labelled")
     owner = labelled.where("index").select("key", F.col("id").alias("a"), F.col("label").alias("a_label"))
     other = labelled.select("key", F.col("id").alias("b"), F.col("label").alias("b_label"))
-    across = owner.join(other, "key").where("a_label <> b_label").select("a", "b").distinct()
+    across = owner.join(other.hint("merge"), "key").where("a_label <> b_label").select("a", "b").distinct()
     rest = verified(across)
     everything = first.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
     return components(everything.union(rest)).withColumnRenamed("node", "id")
