@@ -27,13 +27,17 @@ def not_null(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNull())
 
 
-def accepted_range(df: DataFrame, column: str, minimum=None, maximum=None) -> DataFrame:
-    outside = F.lit(False)
+def outside(column: str, minimum=None, maximum=None) -> Column:
+    found = F.lit(False)
     if minimum is not None:
-        outside = outside | (F.col(column) < minimum)
+        found = found | (F.col(column) < minimum)
     if maximum is not None:
-        outside = outside | (F.col(column) > maximum)
-    return df.where(outside)
+        found = found | (F.col(column) > maximum)
+    return found
+
+
+def accepted_range(df: DataFrame, column: str, minimum=None, maximum=None) -> DataFrame:
+    return df.where(outside(column, minimum, maximum))
 
 
 # fixed values: key column per table that must be unique
@@ -147,12 +151,42 @@ def grain_results(tables: Tables) -> DataFrame:
 
 # business checks
 
-def _outside_unit(df: DataFrame, column: str) -> DataFrame:
-    return accepted_range(df, column, 0, 1)
-
-
-def activation_after_signup(t: Tables) -> DataFrame:
-    return t["fct_user_activation"].where(F.col("is_activated") & (F.col("activation_at") < F.col("signup_at")))
+def _skipped(later: str, earlier: str) -> Column:
+    return F.col(f"reached_{later}") & ~F.col(f"reached_{earlier}")
+
+
+def _plan_missing() -> Column:
+    return F.col("plan_code").isNull() | ~F.col("plan_code").isin(CANONICAL_PLANS)
+
+
+# rows of a table that break a rule: table, and the condition given today's date
+BROKEN_ROWS: dict[str, tuple[str, Callable[[str], Column]]] = {
+    "dq_activation_after_signup": (
+        "fct_user_activation", lambda _: F.col("is_activated") & (F.col("activation_at") < F.col("signup_at"))),
+    "dq_activation_within_window": (
+        "fct_user_activation", lambda _: F.col("is_activated") & (F.col("time_to_activation_days") > 7)),
+    "dq_churn_rate_bounded": ("fct_churn", lambda _: outside("churn_rate", 0, 1)),
+    "dq_country_standardised": ("stg_crm_companies", lambda _: ~F.col("country").isin(CANONICAL_COUNTRIES)),
+    "dq_expansion_non_negative": ("fct_account_mrr", lambda _: outside("expansion_mrr", minimum=0)),
+    "dq_adoption_rate_bounded": ("fct_feature_adoption", lambda _: outside("adoption_rate", 0, 1)),
+    "dq_future_effective": (
+        "fct_account_mrr", lambda as_of: F.col("mrr_month") > F.trunc(F.lit(as_of).cast("date"), "MM")),
+    "dq_journey_monotonic": (
+        "fct_user_journey", lambda _: _skipped("project", "workspace") | _skipped("task_created", "project")
+        | _skipped("task_completed", "task_created")),
+    "dq_mrr_non_negative": ("fct_account_mrr", lambda _: outside("mrr", minimum=0)),
+    "dq_plan_code_populated": ("stg_billing_prices", lambda _: _plan_missing()),
+    "dq_retention_rate_bounded": ("fct_retention", lambda _: outside("retention_rate", 0, 1)),
+    "dq_subscription_dates": ("fct_subscription_history", lambda _: F.col("ended_at") < F.col("start_date")),
+}
+# scenarios that a table must show: one violation if no row does
+MUST_OCCUR: dict[str, tuple[str, Callable[[], Column]]] = {
+    "dq_late_crm_applied": ("stg_crm_companies", lambda: F.col("lifecycle_stage").isin("customer", "churned")),
+    "dq_late_events_backfilled": (
+        "fct_product_events", lambda: F.col("event_at") < F.col("source_updated_at") - F.expr("interval 1 hour")),
+    "dq_lifecycle_transition": ("stg_crm_companies", lambda: F.col("lifecycle_stage") == "churned"),
+    "dq_history_append_only": ("fct_subscription_history", lambda: F.col("status") == "superseded"),
+}
 
 
 def activation_rate_bounded(t: Tables) -> DataFrame:
@@ -162,94 +196,33 @@ def activation_rate_bounded(t: Tables) -> DataFrame:
     return weeks.where((rate < 0) | (rate > 1))
 
 
-def activation_within_window(t: Tables) -> DataFrame:
-    return t["fct_user_activation"].where(F.col("is_activated") & (F.col("time_to_activation_days") > 7))
-
-
-def churn_rate_bounded(t: Tables) -> DataFrame:
-    return _outside_unit(t["fct_churn"], "churn_rate")
-
-
-def country_standardised(t: Tables) -> DataFrame:
-    return t["stg_crm_companies"].where(~F.col("country").isin(CANONICAL_COUNTRIES))
-
-
-def expansion_non_negative(t: Tables) -> DataFrame:
-    return accepted_range(t["fct_account_mrr"], "expansion_mrr", minimum=0)
-
-
-def adoption_rate_bounded(t: Tables) -> DataFrame:
-    return _outside_unit(t["fct_feature_adoption"], "adoption_rate")
-
-
-def future_effective(t: Tables) -> DataFrame:
-    return t["fct_account_mrr"].where(F.col("mrr_month") > F.trunc(F.lit(t.as_of).cast("date"), "MM"))
-
-
-def journey_monotonic(t: Tables) -> DataFrame:
-    def skipped(later: str, earlier: str) -> Column:
-        return F.col(f"reached_{later}") & ~F.col(f"reached_{earlier}")
-
-    return t["fct_user_journey"].where(
-        skipped("project", "workspace") | skipped("task_created", "project")
-        | skipped("task_completed", "task_created"))
-
-
-def _none_found(df: DataFrame, found: Column) -> DataFrame:
-    """One row when the scenario that must exist does not."""
-    return df.agg(F.count_if(found).alias("n")).where(F.col("n") == 0)
-
-
-def late_crm_applied(t: Tables) -> DataFrame:
-    return _none_found(t["stg_crm_companies"], F.col("lifecycle_stage").isin("customer", "churned"))
-
-
-def late_events_backfilled(t: Tables) -> DataFrame:
-    late = F.col("event_at") < F.col("source_updated_at") - F.expr("interval 1 hour")
-    return _none_found(t["fct_product_events"], late)
-
-
-def lifecycle_transition(t: Tables) -> DataFrame:
-    return _none_found(t["stg_crm_companies"], F.col("lifecycle_stage") == "churned")
-
-
 def missing_association(t: Tables) -> DataFrame:
     counts = t["stg_crm_contacts"].agg(F.count("company_id").alias("linked"), F.count(F.lit(1)).alias("total"))
     return counts.where((F.col("linked") == 0) | (ratio(F.col("linked"), F.col("total")) < 0.5))
 
 
-def mrr_non_negative(t: Tables) -> DataFrame:
-    return accepted_range(t["fct_account_mrr"], "mrr", minimum=0)
-
-
 def no_duplicate_events(t: Tables) -> DataFrame:
     return unique(t["fct_product_events"], "event_id")
 
 
-def plan_code_populated(t: Tables) -> DataFrame:
-    plan = F.col("plan_code")
-    return t["stg_billing_prices"].where(plan.isNull() | ~plan.isin(CANONICAL_PLANS))
-
-
-def retention_rate_bounded(t: Tables) -> DataFrame:
-    return _outside_unit(t["fct_retention"], "retention_rate")
+# checks that need the rows of a group or table together
+GROUPED: dict[str, Callable[[Tables], DataFrame]] = {
+    f"dq_{f.__name__}": f for f in (activation_rate_bounded, missing_association, no_duplicate_events)}
 
 
-def subscription_dates(t: Tables) -> DataFrame:
-    return t["fct_subscription_history"].where(F.col("ended_at") < F.col("start_date"))
+def _row_check(table: str, condition: Callable[[str], Column]) -> Callable[[Tables], DataFrame]:
+    return lambda t: t[table].where(condition(t.as_of))
 
 
-def history_append_only(t: Tables) -> DataFrame:
-    return _none_found(t["fct_subscription_history"], F.col("status") == "superseded")
+def _scenario_check(table: str, found: Callable[[], Column]) -> Callable[[Tables], DataFrame]:
+    return lambda t: t[table].agg(F.count_if(found()).alias("n")).where(F.col("n") == 0)
 
 
-BUSINESS_CHECKS: dict[str, Callable[[Tables], DataFrame]] = {f"dq_{f.__name__}": f for f in (
-    activation_after_signup, activation_rate_bounded, activation_within_window, churn_rate_bounded,
-    country_standardised, expansion_non_negative, adoption_rate_bounded, future_effective,
-    journey_monotonic, late_crm_applied, late_events_backfilled, lifecycle_transition,
-    missing_association, mrr_non_negative, no_duplicate_events, plan_code_populated,
-    retention_rate_bounded, subscription_dates, history_append_only,
-)}
+BUSINESS_CHECKS: dict[str, Callable[[Tables], DataFrame]] = {
+    **{name: _row_check(*check) for name, check in BROKEN_ROWS.items()},
+    **{name: _scenario_check(*check) for name, check in MUST_OCCUR.items()},
+    **GROUPED,
+}
 
 
 def run(checks: Mapping[str, DataFrame]) -> DataFrame:
@@ -259,3 +232,18 @@ def run(checks: Mapping[str, DataFrame]) -> DataFrame:
         for name, df in checks.items()
     ]
     return reduce(DataFrame.unionByName, counted)
+
+
+def summary(t: Tables) -> DataFrame:
+    """Violations per business check: one scan of each table for all its row and scenario checks."""
+    counts: dict[str, dict[str, Column]] = {}
+    for name, (table, condition) in BROKEN_ROWS.items():
+        counts.setdefault(table, {})[name] = F.count_if(condition(t.as_of))
+    for name, (table, found) in MUST_OCCUR.items():
+        counts.setdefault(table, {})[name] = (F.count_if(found()) == 0).cast("bigint")
+    fused = [
+        t[table].agg(F.array(*(
+            F.struct(F.lit(name).alias("check_name"), n.alias("violations")) for name, n in of.items())).alias("results"))
+        .select(F.inline("results")) for table, of in counts.items()
+    ]
+    return reduce(DataFrame.unionByName, [*fused, run({name: check(t) for name, check in GROUPED.items()})])

@@ -230,8 +230,7 @@ def dq_grains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    built = stored_warehouse(spark, sf_dir)
-    return quality.run({name: check(built) for name, check in quality.BUSINESS_CHECKS.items()})
+    return quality.summary(stored_warehouse(spark, sf_dir))
 
 
 FUNCTIONS: list[Query] = [
