@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -10,6 +11,24 @@ import numpy as np
 import xxhash
 
 
+def prose(seed, n):
+    draw = random.Random(seed)
+    return " ".join(draw.choice(["lo", "ra", "mi", "ten", "sol"]) + draw.choice(["ka", "do", "fe", "nu"]) + draw.choice("xyz")
+                    for _ in range(n))
+
+
+def texts():
+    a, b = prose(1, 120), prose(2, 90)
+    return [
+        a, a, a.replace("ka", "KA", 1), b, None, None, "", "", "  \n\t ", "one", "one two three", a + " " + b,
+        prose(3, 60) + " " + b, "x" * 50_000, prose(4, 6_000), "same line here\n" * 40,
+        "Write to ann@mail.example.org or 10.0.0.1, card 4111 1111 1111 1111, phone +1 555 123 4567.\n" + prose(5, 60),
+        "éàü ñ 中文 😀 " * 30, "1 " * 3_000, "a@b" * 2_000, "token = \"8f3a0c9d1b7e4f6a8c2d5e9f0a1b3c4d5e6f7a8b\" " + prose(6, 60),
+        "the quick line with some words 1\nthe quick line with some words 2\nanother thing altogether\n" + prose(7, 55),
+        "the quick line with some words 3\nnothing alike\n" + prose(8, 55), b + ".",
+    ]
+
+
 def words(text):
     return re.findall(r"[^\x20\x09-\x0D]+", text or "")
 

@@ -9,7 +9,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import prose
+from brute import prose
 from growthlake.llm import (
     chat, decontamination, lines, mixing, personal_data, pfor, quality_outliers, secret_scan, simhash, substrings,
     token_files,
