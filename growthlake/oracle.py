@@ -761,6 +761,10 @@ ANSWERS: dict[str, str] = {
                workspace_id, project_id, task_id, integration_type, from_plan, to_plan
         FROM o_delivered""",
     "ingest_backfill": "SELECT * FROM int_user_activity",
+    "ingest_run": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS row_count FROM bronze_{name}" for name in BRONZE),
+    **{f"ingest_merge_{name}": f"SELECT * FROM bronze_{name}" for name in (
+        "crm_deals", "billing_customers", "billing_prices", "billing_subscriptions", "billing_invoices")},
     "write_layer": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {_dims(name)}" for name in MODELS),
     "stream_bronze_events": "SELECT * FROM bronze_product_events",

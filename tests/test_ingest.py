@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import mini
 from growthlake.operators import ingest
 from growthlake.operators.staging import stg_product_events
+from growthlake.plans import ingestion
 from growthlake.sources import landing, layers, schemas
 
 
@@ -120,3 +121,22 @@ def test_bronze_tables_and_views(spark, tmp_path):
     layers.register_views(tables, "bronze_")
     assert spark.sql("SELECT count(*) FROM bronze_product_events").first()[0] == 16
     assert tables["billing_prices"].where("plan_code IS NULL").count() == 2
+
+
+def test_bronze_equals_the_source_after_full_incremental_and_repeated_loads(spark, tmp_path):
+    tables, root = mini.bronze(spark), str(tmp_path)
+    early = F.col("source_updated_at") < F.lit("2024-01-05").cast("timestamp_ntz")
+    ingestion.run(spark, {name: df.where(early) for name, df in tables.items()}, root)
+    for since in ("2024-01-05 00:00:00", "2024-01-05 00:00:00", None):
+        ingestion.run(spark, tables, root, since)
+        for name, df in layers.read_bronze(spark, root).items():
+            expected = tables[name].select(*[c if c in tables[name].columns else F.lit(None).alias(c) for c in df.columns])
+            assert rows(df) == rows(expected), name
+
+
+def test_a_merge_keeps_the_newest_write_of_all_loads(spark, tmp_path):
+    for load in mini.company_loads(spark) + mini.company_loads(spark)[:1]:
+        ingestion.load(spark, "crm_companies", load, str(tmp_path))
+    stored = spark.read.parquet(str(tmp_path / "bronze" / "crm_companies"))
+    merged = ingest.merge_latest(mini.company_loads(spark), "company_id")
+    assert rows(stored.select(*merged.columns)) == rows(merged)
