@@ -33,7 +33,7 @@ from growthlake.session import new_folder
 
 END_ID = 0
 # pieces a worker remembers; more are encoded each time they occur
-CACHE_PIECES = 900_000
+CACHE_PIECES = 800_000
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 # white space other than the space and the line end
 _ODD_SPACES = frozenset(c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace() and c not in " \n")
@@ -161,7 +161,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
         store, root = _filesystem(folder)
         temporary = f"{root}/_{shard:05d}-{uuid.uuid4().hex}"
         try:
-            for batch in small_batches(batches, "text", 16 << 20):
+            for batch in small_batches(batches, "text", 6 << 20):
                 if writer is None:
                     store.create_dir(root, recursive=True)
                     out = store.open_output_stream(temporary)
