@@ -5,7 +5,8 @@ its language and source. Five transformed statistics form a vector. Their
 centre and covariance are minimum-covariance-determinant estimates: from a
 start at medians and absolute deviations, concentration steps re-estimate both
 on the ``HALF`` of each group that lies nearest. A squared Mahalanobis distance
-above the chi-square cutoff rejects.
+of the statistics but the length, above the chi-square cutoff, rejects: a long
+clean text is no outlier, and a short one is a matter of the base rules.
 
 A group's moments are blended with those of its language, and these with those
 of all documents, as ``PRIOR`` pseudo-documents, so a small group needs no rule
@@ -31,12 +32,13 @@ from pyspark.sql import functions as F
 
 from growthlake.llm.common import WORD, stored, words_of
 
-STATISTICS = ("long", "wide", "symbols", "lines", "repeats")
-FLOOR = (0.5, 0.4, 0.7, 0.7, 0.06)
+# the length comes last: it takes part in the estimates, and the verdict's distance ends before it
+STATISTICS = ("wide", "symbols", "lines", "repeats", "long")
+FLOOR = (0.4, 0.7, 0.7, 0.06, 0.5)
 HALF = 0.75
 STEPS = 3
 PRIOR = 30.0
-REJECT = 1e-6
+REJECT = 1e-4
 
 
 def chi2_cdf(x: float, k: int) -> float:
@@ -107,8 +109,8 @@ def _vector() -> list[Column]:
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")}
     n = F.when(~base_failed(), s["n_words"])
     return [
-        F.log(n), s["word_chars"] / n, F.log1p(100 * s["n_symbols"] / n), F.log1p(1000 * s["n_dup_lines"] / n),
-        s["n_repeat_words"] / n]
+        s["word_chars"] / n, F.log1p(100 * s["n_symbols"] / n), F.log1p(1000 * s["n_dup_lines"] / n),
+        s["n_repeat_words"] / n, F.log(n)]
 
 
 def _group(column: str) -> Column:
@@ -125,14 +127,15 @@ def _x(i: int) -> Column:
 
 
 P = len(STATISTICS)
+JUDGED = P - 1
 GROUP = ["__lang", "__source"]
 _LOWER = [(i, j) for i in range(P) for j in range(i + 1)]
 
 
-def distance() -> Column:
-    """Squared Mahalanobis distance from the joined estimates: m0.. the centre, w10.. the inverse Cholesky factor."""
+def distance(first: int = P) -> Column:
+    """Squared Mahalanobis distance of the first statistics: m0.. the joined centre, w10.. the inverse Cholesky factor."""
     rows = []
-    for i in range(P):
+    for i in range(first):
         rows.append(reduce(lambda a, b: a + b, (F.col(f"w{i}{j}") * (_x(j) - F.col(f"m{j}")) for j in range(i + 1))))
     return reduce(lambda a, b: a + b, (r * r for r in rows))
 
@@ -208,9 +211,9 @@ def robust_estimates(vectors: DataFrame) -> DataFrame:
 
 
 def _verdict(docs: DataFrame, estimates: DataFrame) -> DataFrame:
-    cutoff = chi2_quantile(1 - REJECT, P)
+    cutoff = chi2_quantile(1 - REJECT, JUDGED)
     return docs.join(estimates, GROUP, "left").withColumns({
-        "__failed": base_failed(), "__distance": distance()}).withColumn(
+        "__failed": base_failed(), "__distance": distance(JUDGED)}).withColumn(
         "__kept", ~F.col("__failed") & (F.coalesce("__distance", F.lit(0.0)) <= cutoff))
 
 

@@ -15,6 +15,7 @@ from growthlake.llm import (
     token_files,
 )
 from growthlake.llm.common import components
+from pyspark.sql import functions as F
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -203,6 +204,19 @@ def test_quality_rejects_outliers_and_keeps_columns(spark, empty):
     assert rows(quality_outliers.of_quality(empty)) == []
 
 
+def test_quality_of_labelled_rows(spark):
+    """Junk goes, clean documents stay, and a long clean one too."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet") for name in ("documents", "labels"))
+    long = spark.createDataFrame(
+        [(-1, " ".join(f"w{i % 50:02d}{'abcdefgh'[:i % 7]}{i}" for i in range(100_000)), "en", "web")],
+        "doc_id long, text string, lang string, source string")
+    verdicts = quality_outliers.quality(docs.select(long.columns).unionByName(long)).where("NOT base_failed").join(labels, "doc_id", "left")
+    found = {(r.quality, r.kept): r.n for r in verdicts.groupBy("quality", "kept").agg(F.count("*").alias("n")).collect()}
+    assert found.get((0, True), 0) <= 0.01 * found[0, False]
+    assert found.get((1, False), 0) <= 0.01 * found[1, True]
+    assert verdicts.where("doc_id = -1").head().kept
+
+
 def test_chi_square():
     assert quality_outliers.chi2_cdf(quality_outliers.chi2_quantile(0.75, 5), 5) == pytest.approx(0.75)
     assert quality_outliers.chi2_quantile(0.95, 1) == pytest.approx(3.841, abs=1e-3)
