@@ -2,7 +2,8 @@
 
 Candidates are long runs of key characters. Each gets features of its length,
 its character transitions, how much of it dictionary words cover, its path and
-the words beside it. The forest learns from labelled findings and scores every
+the words beside it: of the text, whatever other candidates lie there, as a
+long variable name is one itself. The forest learns from labelled findings and scores every
 candidate of every document.
 
 The dictionary is the corpus's own: words of letters that enough documents
@@ -19,6 +20,7 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml.classification import RandomForestClassifier
@@ -63,12 +65,20 @@ def findings(docs: DataFrame, path: str = "source") -> DataFrame:
             (done["at"] + n["g"] + F.coalesce(n["v"], F.lit(0))).alias("at"),
             F.concat(done["starts"], F.array(done["at"] + n["g"])).alias("starts")),
         lambda done: done["starts"])
-    # neighbours in the order of the candidates: what ends at each, and what begins after it
-    each = F.transform(F.arrays_zip(
-        values.alias("value"), F.slice(placed, F.lit(1), F.size(values)).alias("start"),
-        F.transform(gaps, lambda g: F.right(g, F.lit(BESIDE))).alias("left"),
-        F.slice(F.transform(gaps, lambda g: F.left(g, F.lit(BESIDE))), F.lit(2), F.size(values)).alias("right")),
-        lambda z: F.struct(z["value"], z["start"], z["left"], z["right"]))
+    # a value has 16 characters or more, so three of them and what lies between reach further than BESIDE
+    def near(of: Column, at: Column, cut_to: Callable[[Column, Column], Column]) -> Column:
+        return cut_to(F.get(of, at), F.lit(BESIDE))
+
+    def before(i: Column) -> Column:
+        return F.right(F.concat_ws("", *(
+            near(of, i - k, F.right) for k in (3, 2, 1, 0) for of in ((gaps, values) if k else (gaps,)))), F.lit(BESIDE))
+
+    def after(i: Column) -> Column:
+        return F.left(F.concat_ws("", *(near(of, i + k, F.left) for k in (1, 2, 3) for of in (gaps, values))), F.lit(BESIDE))
+
+    each = F.transform(
+        F.arrays_zip(values.alias("value"), F.slice(placed, F.lit(1), F.size(values)).alias("start")),
+        lambda z, i: F.struct(z["value"], z["start"], before(i).alias("left"), after(i).alias("right")))
     return (
         cut.select("doc_id", "path", F.explode(F.slice(each, F.lit(1), F.size(values))).alias("f"))
         .select("doc_id", "path", F.col("f.start").alias("start"), (F.col("f.start") + F.length("f.value")).alias("end"),
@@ -112,7 +122,7 @@ def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
         "case_change": _share(F.col("shape"), "a(?=A)|A(?=a)", n),
         "covered": F.coalesce(F.col("letters"), F.lit(0)) / n,
         "assigned": flag(F.col("left").rlike(r"[=:]\s*[\"']?$")),
-        "cue": flag(left.rlike(rf"(?:{CUES})[^a-z0-9]*$")), "against": flag(left.rlike(rf"(?:^|[^a-z])(?:{AGAINST})[^a-z0-9]*$")),
+        "cue": flag(left.rlike(rf"(?:{CUES})(?:_[a-z0-9_]*)?[^a-z0-9]*$")), "against": flag(left.rlike(rf"(?:^|[^a-z])(?:{AGAINST})[^a-z0-9]*$")),
         "quoted": flag(F.col("left").rlike("[\"']$") & right.rlike("^[\"']")),
         "number_beside": flag(left.rlike(r"[0-9]\s*$") | right.rlike(r"^\s*[0-9]")),
         "path_for": flag(path.rlike(PATH_FOR)), "path_against": flag(path.rlike(PATH_AGAINST)),

@@ -363,6 +363,23 @@ def test_secret_places(spark):
     assert secret_scan.findings(docs).count() == 3
 
 
+def test_secrets_after_long_names(spark):
+    """A variable name of 16 characters or more is a candidate too, and still the words beside the secret."""
+    draw, texts = random.Random(4), []
+    names = ["AWS_SECRET_ACCESS_KEY=", "GITHUB_ACCESS_TOKEN=", 'DATABASE_PASSWORD: "', "PAYMENT_API_TOKEN_LIVE = '"]
+    for i in range(40):
+        value = "".join(draw.choice("0123456789abcdefghijkLMNOPQRSTUVWXYZ") for _ in range(32))
+        texts.append(f"some words\n{names[i % 4]}{value}\nUNRELATED_IDENTIFIER_OF_LENGTH_{i} 😀 end")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "'app.env' AS source")
+    found = secret_scan.findings(docs).collect()
+    assert len(found) == 120
+    for r in found:
+        text = texts[r.doc_id]
+        assert r.left == text[max(0, r.start - 40):r.start] and r.right == text[r.end:r.end + 40]
+    secrets = {(r.doc_id, r.value[:3]) for r in secret_scan.secrets(docs).collect() if r.is_secret}
+    assert secrets == {(i, t.split("\n")[1][len(names[i % 4]):][:3]) for i, t in enumerate(texts)}
+
+
 def test_forest_on_held_out_findings(spark):
     """Labels that no single feature gives away; the forest is right on findings that it hasn't seen."""
     draw, texts, truth = random.Random(8), [], []
