@@ -7,23 +7,27 @@ Every suffix of every test item is looked up by binary search; the range found
 is all places of a verbatim match, which are then extended to the longest one.
 
 The test items are a query set against all documents, taken in blocks of at
-most ``block_words`` words, so only a bounded block is ever sent to the tasks.
+most ``block_words`` words, so only a bounded block is ever held by the driver
+and sent to the tasks. With several blocks, documents get a row key first and
+each block is a job of its own, whose finds meet by that key: ids may be null
+or repeated.
 
 Cases: null or empty texts have no words, no hits and are clean; an item
-without words matches nothing; equal items are all reported; repeated rows
+without words matches nothing; items of one id are reported once; repeated rows
 each get a row; other columns are ignored; an empty benchmark leaves all clean.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from growthlake.llm.common import small_batches
+from growthlake.llm.common import small_batches, stored
 
 WINDOW = 10
 BLOCK_WORDS = 200_000
@@ -103,6 +107,11 @@ class Shard:
         return int(differ[0]) if len(differ) else len(a)
 
 
+def _ascending(ids: Iterable[int | None]) -> list[int | None]:
+    """Each id once, none first."""
+    return sorted(set(ids), key=lambda i: (i is not None, i or 0))
+
+
 def _search(batches: Iterator[pa.RecordBatch], suffixes: TestSuffixes, spans: bool) -> Iterator[pa.RecordBatch]:
     for batch in small_batches(batches, "text"):
         shard = Shard(batch.column("text").to_pylist(), suffixes)
@@ -140,7 +149,7 @@ def _search(batches: Iterator[pa.RecordBatch], suffixes: TestSuffixes, spans: bo
         n_hit = hit[shard.starts[1:] - 1] - hit[shard.starts[:-1]]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(shard.n_words, pa.int64()), pa.array(n_hit, pa.int64()),
-             pa.array([[suffixes.ids[i] for i in sorted(items.get(d, ()))] for d in range(batch.num_rows)],
+             pa.array([_ascending(suffixes.ids[i] for i in items.get(d, ())) for d in range(batch.num_rows)],
                       pa.list_(pa.int64()))],
             names=["doc_id", "n_words", "n_hit", "items"])
 
@@ -164,20 +173,27 @@ def _narrow(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def _first_blocks(benchmark: DataFrame, block_words: int) -> tuple[list, Iterator[list] | None]:
+    """The first block, and all of them if there are more."""
+    blocks = item_blocks(benchmark, block_words)
+    first, second = next(blocks, []), next(blocks, None)
+    return first, None if second is None else chain([first, second], blocks)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                   block_words: int = BLOCK_WORDS) -> DataFrame:
     """Per document: doc_id, n_words, n_hit (words inside a window of an item), items (ids, ascending).
 
     With one block this is a single pass without a shuffle. With more, hits of a
-    word by several blocks must not count twice, so blocks that follow are
-    joined by their spans.
+    word by several blocks must not count twice, so the spans of all blocks are
+    joined by row.
     """
     schema = "doc_id long, n_words long, n_hit long, items array<long>"
-    blocks = list(item_blocks(benchmark, block_words)) or [[]]
-    if len(blocks) == 1:
-        suffixes = TestSuffixes(blocks[0], window)
+    first, blocks = _first_blocks(benchmark, block_words)
+    if blocks is None:
+        suffixes = TestSuffixes(first, window)
         return _narrow(docs).mapInArrow(lambda batches: _search(batches, suffixes, spans=False), schema)
-    return _from_spans(docs, benchmark, window, block_words)
+    return _from_spans(docs, blocks, window)
 
 
 def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
@@ -187,48 +203,70 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     One row for each maximal match of ``window`` words or more (or of a whole
     shorter item); word numbers count from 0 in the document.
     """
+    return _spans(_narrow(docs), item_blocks(benchmark, block_words), window)
+
+
+def _spans(narrow: DataFrame, blocks: Iterator[list], window: int) -> DataFrame:
+    """The maximal matches, found and written block by block."""
     schema = "doc_id long, item_id long, first_word long, n_words long"
     found = None
-    for block in item_blocks(benchmark, block_words):
+    for block in blocks:
         suffixes = TestSuffixes(block, window)
-        part = _narrow(docs).mapInArrow(
-            lambda batches, suffixes=suffixes: _search(batches, suffixes, spans=True), schema)
+        part = stored(narrow.mapInArrow(
+            lambda batches, suffixes=suffixes: _search(batches, suffixes, spans=True), schema), "spans")
         found = part if found is None else found.union(part)
-    return found if found is not None else docs.sparkSession.createDataFrame([], schema)
+    return found if found is not None else narrow.sparkSession.createDataFrame([], schema)
 
 
-def _from_spans(docs: DataFrame, benchmark: DataFrame, window: int, block_words: int) -> DataFrame:
+def _from_spans(docs: DataFrame, blocks: Iterator[list], window: int) -> DataFrame:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "text"):
+            words = [len(split_words(t)) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), batch.column("doc_id"), pa.array(words, pa.int64())], names=["row", "doc_id", "n_words"])
+
+    # written, so that each pass sees the same keys
+    rows = stored(_narrow(docs).withColumn("row", F.monotonically_increasing_id()), "rows")
     # maximal matches cover just the words that their windows cover
-    spans = longest_matches(docs, benchmark, window, block_words)
-    words = spans.select("doc_id", F.explode(F.expr("sequence(first_word, first_word + n_words - 1)")).alias("w"))
-    hits = words.distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("hit"))
-    items = spans.groupBy("doc_id").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
-    counted = contamination(docs, benchmark.limit(0), window, block_words).select("doc_id", "n_words")
-    found = hits.join(items, "doc_id")
-    return counted.join(found, "doc_id", "left").select(
+    spans = _spans(rows.select(F.col("row").alias("doc_id"), "text"), blocks, window).withColumnRenamed("doc_id", "row")
+    words = spans.select("row", F.explode(F.expr("sequence(first_word, first_word + n_words - 1)")).alias("w"))
+    hits = words.distinct().groupBy("row").agg(F.count(F.lit(1)).alias("hit"))
+    items = spans.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("item_id")))["item_id"].alias("items"))
+    counted = rows.mapInArrow(count, "row long, doc_id long, n_words long")
+    return counted.join(hits.join(items, "row"), "row", "left").select(
         "doc_id", "n_words", F.coalesce("hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<long>")).alias("items"))
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
+                   block_words: int = BLOCK_WORDS) -> DataFrame:
     """The documents without any benchmark window, with all their columns; rows are never joined by id."""
-    blocks = item_blocks(benchmark, BLOCK_WORDS)
+    def clean(batches: Iterator[pa.RecordBatch], suffixes: TestSuffixes) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+        for batch in small_batches(batches, "text"):
+            shard = Shard(batch.column("text").to_pylist(), suffixes)
+            low, high = shard.find(suffixes)
+            keep = np.ones(batch.num_rows, bool)
+            for found in np.flatnonzero(high > low):
+                positions = shard.positions[low[found]:high[found]]
+                keep[np.searchsorted(shard.starts, positions, "right") - 1] = False
+            yield batch, keep
+
+    first, blocks = _first_blocks(benchmark, block_words)
+    if blocks is None:
+        suffixes = TestSuffixes(first, window)
+        return docs.mapInArrow(lambda b: (x.filter(pa.array(k)) for x, k in clean(b, suffixes)), docs.schema)
+    key = "__row"
+    while key in docs.columns:
+        key += "_"
+    rows = stored(docs.withColumn(key, F.monotonically_increasing_id()), "rows")
+    narrow, gone = rows.select(key, F.col("text").cast("string").alias("text")), None
     for block in blocks:
         suffixes = TestSuffixes(block, window)
-        columns = docs.schema
-
-        def clean(batches: Iterator[pa.RecordBatch], suffixes: TestSuffixes = suffixes) -> Iterator[pa.RecordBatch]:
-            for batch in small_batches(batches, "text"):
-                shard = Shard(batch.column("text").to_pylist(), suffixes)
-                low, high = shard.find(suffixes)
-                keep = np.ones(batch.num_rows, bool)
-                for found in np.flatnonzero(high > low):
-                    positions = shard.positions[low[found]:high[found]]
-                    keep[np.searchsorted(shard.starts, positions, "right") - 1] = False
-                yield batch.filter(pa.array(keep))
-
-        docs = docs.mapInArrow(clean, columns)
-    return docs
+        part = stored(narrow.mapInArrow(
+            lambda b, suffixes=suffixes: (x.select([key]).filter(pa.array(~k)) for x, k in clean(b, suffixes)),
+            f"`{key}` long"), "hit")
+        gone = part if gone is None else gone.union(part)
+    return rows.join(gone, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def digest(found: DataFrame) -> DataFrame:

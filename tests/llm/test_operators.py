@@ -341,6 +341,20 @@ def test_decontamination(spark, odd, odd_rows, empty):
     assert rows(decontamination.contamination(empty, benchmark)) == []
 
 
+def test_many_blocks_give_the_rows_of_one(spark):
+    """Null ids and one id with several texts: each row is judged on its own, however the benchmark is cut."""
+    a, b, c = prose(1, 40), prose(2, 40), prose(3, 40)
+    benchmark = spark.createDataFrame(
+        [(1, a[:150]), (2, b[:150]), (2, a[60:200]), (None, b[30:180])], "item_id long, text string")
+    docs = spark.createDataFrame(
+        [(None, a), (None, c), (7, b), (7, c), (7, a + " " + b), (8, None), (9, c), (9, c)], "doc_id long, text string")
+    one = rows(decontamination.contamination(docs, benchmark))
+    assert one == rows(decontamination.contamination(docs, benchmark, block_words=20))
+    assert sum(r[2] > 0 for r in one) == 3 and sum(r[0] is None and r[2] > 0 for r in one) == 1
+    left = rows(decontamination.decontaminated(docs, benchmark))
+    assert left == rows(decontamination.decontaminated(docs, benchmark, block_words=20)) and len(left) == 5
+
+
 def test_longest_matches(spark):
     item = "a b c d e f g h i j k l m n"
     docs = spark.createDataFrame([(1, "z a b c d e f g h i j k l q " + item), (2, "a b c d e f g h i")], "doc_id long, text string")
