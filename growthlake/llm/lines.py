@@ -1,6 +1,8 @@
 """Line dedup with a segment-partition edit join.
 
-Lines that differ by at most ``edits`` edits are near copies. A line is cut
+Lines that differ by at most ``edits`` edits are near copies, if both have at
+least ``SHORTEST`` times as many characters; shorter lines only if equal, as a
+few edits make any short line of any other. A line is cut
 into ``edits + 1`` segments; whatever the edits, one segment stays whole, so a
 near copy holds it, shifted by no more places than the edits can shift it.
 Lines index their segments under (length of the line, number of the segment,
@@ -15,9 +17,8 @@ AQE splits the hot ones. Classes follow links; of each class the first
 occurrence stays (least doc_id, then line number), all others are removed.
 
 Cases: null and empty texts have no lines; lines without a visible character
-are neither counted nor removed; lines no longer than the edits have no whole
-segment and meet under a key of their own; lines are compared by code points
-after trimming; rows with equal doc_id and text count once, other rows with an
+are neither counted nor removed; lines are compared by code points after
+trimming; rows with equal doc_id and text count once, other rows with an
 equal doc_id are told apart by a hash of their text; null ids come last; an
 empty table gives an empty result; other columns are ignored.
 """
@@ -35,6 +36,8 @@ from pyspark.sql import functions as F
 from growthlake.llm.common import components, small_batches, stored
 
 EDITS = 2
+# lines of fewer characters than this many times the edits are copies only if equal
+SHORTEST = 5
 LAST_ID = (1 << 63) - 1
 
 
@@ -130,15 +133,11 @@ def _keys(batches: Iterator[pa.RecordBatch], edits: int) -> Iterator[pa.RecordBa
         counts, keys, index = [], [], []
         for line in batch.column("line").to_pylist():
             n, before = len(line), len(keys)
-            own = {_key(n, k, line[at:at + size]) for k, (at, size) in enumerate(segments(n, edits)) if size}
-            if n <= edits:
-                own = {_key(0, -1, "")}
+            short = max(SHORTEST * edits, 1)
+            own = {_key(n, k, line[at:at + size]) for k, (at, size) in enumerate(segments(n, edits)) if n >= short}
             asked = {
-                _key(length, k, line[at:at + size]) for length in range(max(n - edits, edits + 1), n + 1)
-                for k, at, size in probes(n, length, edits)}
-            if n <= 2 * edits:
-                asked.add(_key(0, -1, ""))
-            asked -= own
+                _key(length, k, line[at:at + size]) for length in range(max(n - edits, short), n + 1)
+                for k, at, size in probes(n, length, edits)} - own
             keys += [*own, *asked]
             index += [True] * len(own) + [False] * len(asked)
             counts.append(len(keys) - before)

@@ -311,6 +311,13 @@ def test_line_dedup(odd, odd_rows, empty):
     assert rows(lines.removal_counts(empty)) == []
 
 
+def test_different_short_lines_stay(spark):
+    short = ["}", "1", "A", "OK", "Item 1", "Item 2", "1998", "1999", "red", "bed", "read on"]
+    texts = ["\n".join(short), "\n".join(["}", "Item 3", "2001", "a line of some length 1", "a line of some length 22"])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert rows(lines.removal_counts(docs)) == [(0, len(short), 0, ""), (1, 5, 2, "0,4")]
+
+
 def test_decontamination(spark, odd, odd_rows, empty):
     items = [(1, prose(1, 120)[:200]), (2, "one two three"), (3, None), (4, "!!"), (5, prose(2, 90)[100:180]), (5, prose(2, 90)[100:180]),
              (6, "中文 words")]
