@@ -18,6 +18,8 @@ table gives an empty result; clashing extra columns are left alone.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -29,6 +31,8 @@ WEIGHTS = (5, 2, 1)
 CAP = 3
 SEED = 17
 KNAPSACK_WORDS = 1 << 14
+# windows for budgets that a narrower one doesn't meet
+WIDER = (1 << 18, 1 << 22)
 PART_ROWS = 1024
 
 
@@ -61,6 +65,10 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
 
 def fit_budget(sizes: list[int], counts: list[int], budget: int, limit: int = KNAPSACK_WORDS) -> list[int]:
     """Documents to take of each size so that their words add up to the budget, or as near below as found."""
+    unit = math.gcd(*sizes) or 1
+    sizes, budget = [s // unit for s in sizes], budget // unit
+    # the largest documents are exchanged too
+    limit = max(limit, 4 * max(sizes, default=0))
     total = sum(s * c for s, c in zip(sizes, counts))
     if budget <= 0 or not total:
         return [0] * len(sizes)
@@ -79,32 +87,55 @@ def fit_budget(sizes: list[int], counts: list[int], budget: int, limit: int = KN
         more = min(counts[i] - take[i], left // sizes[i])
         take[i] += more
         left -= more * sizes[i]
-    # give some back, so that the knapsack has something to exchange
-    for i in descending:
-        if left and sizes[i] <= limit // 4:
-            back = min(take[i], max(0, limit - left) // sizes[i], limit // (4 * sizes[i]) + 1)
-            take[i] -= back
-            left += back * sizes[i]
-    return _knapsack(sizes, counts, take, left) if left <= limit else take
+    # a document that isn't taken didn't fit, so what is left is less than the largest size and than each window
+    best = take
+    for window in (limit, *(w for w in WIDER if w > limit)):
+        if not left:
+            break
+        # give some back, so that the knapsack has something to exchange; all, if a wider window holds the budget
+        given, room = list(take), left
+        for i in descending:
+            back = min(take[i], max(0, window - room) // sizes[i], window // (4 * sizes[i]) + 1)
+            if window > limit and budget <= window:
+                back = take[i]
+            given[i] -= back
+            room += back * sizes[i]
+        best = max(best, _knapsack(sizes, counts, given, room), key=lambda t: sum(s * n for s, n in zip(sizes, t)))
+        if sum(s * n for s, n in zip(sizes, best)) == budget:
+            break
+    return best
 
 
 def _knapsack(sizes: list[int], counts: list[int], take: list[int], left: int) -> list[int]:
     """Bounded knapsack over the documents not taken; bit w of ``reach`` says that w words can be made."""
     mask = (1 << (left + 1)) - 1
-    reach, steps = 1, []
+    steps = []
     for i in sorted(range(len(sizes)), key=lambda i: sizes[i]):
         free, bundle = min(counts[i] - take[i], left // sizes[i]), 1
-        while free and not reach >> left & 1:
+        while free:
             used = min(bundle, free)
-            steps.append((i, used, reach))
-            reach |= reach << used * sizes[i] & mask
+            steps.append((i, used))
             free -= used
             bundle *= 2
+    # states are kept at every so many steps and made again in between: they may be long
+    every = math.isqrt(len(steps)) + 1
+    reach, kept, done = 1, [], 0
+    for done, (i, used) in enumerate(steps):
+        if done % every == 0:
+            kept.append(reach)
+        reach |= reach << used * sizes[i] & mask
+        if reach >> left & 1:
+            break
     best, take = reach.bit_length() - 1, list(take)
-    for i, used, before in reversed(steps):
-        if not before >> best & 1:
-            take[i] += used
-            best -= used * sizes[i]
+    for at in reversed(range(len(kept))):
+        part = steps[at * every:min((at + 1) * every, done + 1)]
+        states = [kept[at]]
+        for i, used in part[:-1]:
+            states.append(states[-1] | states[-1] << used * sizes[i] & mask)
+        for (i, used), before in zip(reversed(part), reversed(states)):
+            if not before >> best & 1:
+                take[i] += used
+                best -= used * sizes[i]
     return take
 
 

@@ -175,6 +175,20 @@ def test_budget_is_met_exactly():
         assert used <= budget and budget - used <= min(sizes)
 
 
+def test_budget_of_long_documents_is_met():
+    assert mixing.fit_budget([9000, 10000, 11000], [1, 1, 1], 20000) == [1, 0, 1]
+    assert mixing.fit_budget([70_001, 80_000, 90_003], [1, 2, 1], 160_004) == [1, 0, 1]
+    draw = random.Random(6)
+    for _ in range(30):
+        sizes = sorted(draw.sample(range(5000, 60_000), 9))
+        made = {0}
+        for s in sizes:
+            made |= {m + s for m in made}
+        budget = draw.randint(0, max(made))
+        used = sum(s * t for s, t in zip(sizes, mixing.fit_budget(sizes, [1] * 9, budget)))
+        assert max(m for m in made if m <= budget) == used
+
+
 def test_a_hot_size_is_ranked_in_parts(spark):
     docs = spark.range(5000).selectExpr("id AS doc_id", "'a b c' AS text", "'s' || id % 2 AS source")
     got = mixing.mixture(docs).groupBy("source_size").sum("taken").collect()
