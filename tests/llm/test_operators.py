@@ -449,3 +449,19 @@ def test_perspectives(spark):
     parts = sorted((r for r in found if (r.conv_id, r.perspective) == (3, "bob")), key=lambda r: r.part)
     assert [r.start for r in parts] == [0, len(parts[0].rendered), len(parts[0].rendered + parts[1].rendered)]
     assert chat.perspectives(docs.limit(0)).collect() == []
+
+
+def test_perspectives_of_a_hot_conversation(spark):
+    """Rows without a conversation or turn, and many rows of few turn numbers: no row has more turns than a part."""
+    turns = [(None, None if i % 2 else i % 7, "ann" if i % 3 else "bob", f"turn {i:03d} é") for i in range(300)]
+    turns += [(1, i % 4, "ann", f"text {i}") for i in range(100)] + [(2, i, "bob", "few") for i in range(20)]
+    docs = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(5)
+    found = chat.perspectives(docs, part_turns=16).collect()
+    assert max(r.n_turns for r in found) == 16
+    for conv, who in ((None, "ann"), (None, "bob"), (1, "ann"), (2, "bob")):
+        mine = sorted((r for r in found if (r.conv_id, r.perspective) == (conv, who)), key=lambda r: (r.part, r.start))
+        whole = "".join(r.rendered for r in mine)
+        own = sorted((t for t in turns if t[0] == conv), key=lambda t: (-1 if t[1] is None else t[1], t[2], t[3]))
+        assert whole == "".join(
+            f"<|{'assistant' if t[2] == who else 'user name=' + t[2]}|>\n{t[3]}<|end|>\n" for t in own)
+        assert all(r.start == sum(len(q.rendered) for q in mine[:k]) for k, r in enumerate(mine))
