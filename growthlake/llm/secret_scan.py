@@ -6,8 +6,8 @@ the words beside it: of the text, whatever other candidates lie there, as a
 long variable name is one itself. The forest learns from labelled findings and scores every
 candidate of every document.
 
-The dictionary is the corpus's own: words of letters that enough documents
-have, counted over all documents. Labelled findings may be given; else clear
+The dictionary is the corpus's own: words of letters outside candidates that a
+share of the distinct texts has, counted over all documents. Labelled findings may be given; else clear
 cases are labelled by rule (``rule_labels``), and the forest decides the rest.
 The forest is fitted on at most ``FIT_ROWS`` of them, those with the least hash
 of each label: a bound on the fit only, all candidates are scored.
@@ -20,6 +20,7 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import reduce
 
@@ -33,7 +34,7 @@ from growthlake.llm.common import stored
 
 CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}"
 BESIDE = 40
-DICTIONARY_DOCS = 20
+DICTIONARY_SHARE = 0.002
 FIT_ROWS = 20_000
 TREES, DEPTH, SEED = 24, 6, 11
 ACCEPT = 0.5
@@ -85,11 +86,19 @@ def findings(docs: DataFrame, path: str = "source") -> DataFrame:
                 F.col("f.value").alias("value"), F.col("f.left").alias("left"), F.col("f.right").alias("right")))
 
 
-def dictionary(docs: DataFrame, documents: int = DICTIONARY_DOCS) -> DataFrame:
-    """Lower-case words of three letters or more that at least so many documents have."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col("text").cast("string")), F.lit(r"\p{L}{3,}+"), F.lit(0)))
-    counted = docs.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return counted.where(F.col("n") >= documents).select("word")
+def dictionary(docs: DataFrame, share: float = DICTIONARY_SHARE) -> DataFrame:
+    """Lower-case words of three letters or more that at least such a share of the distinct texts has, two at least.
+
+    Candidates don't count: a secret in many texts makes no words of its own pieces.
+    """
+    text = F.col("text").cast("string")
+    plain = F.lower(F.regexp_replace(text, CANDIDATE, " "))
+    words = F.array_distinct(F.regexp_extract_all(plain, F.lit(r"\p{L}{3,}+"), F.lit(0)))
+    # texts that differ in their candidates or spaces only are copies here
+    texts = docs.where(text.isNotNull()).select(F.array_sort(words).alias("words"))
+    texts = stored(texts.groupBy(F.xxhash64("words").alias("key")).agg(F.first("words").alias("words")), "words")
+    counted = texts.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return counted.where(F.col("n") >= max(2, math.ceil(share * texts.count()))).select("word")
 
 
 def _share(of: Column, pattern: str, by: Column) -> Column:

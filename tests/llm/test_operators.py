@@ -415,6 +415,17 @@ def test_secrets_after_long_names(spark):
     assert secrets == {(i, t.split("\n")[1][len(names[i % 4]):][:3]) for i, t in enumerate(texts)}
 
 
+def test_dictionary_has_no_pieces_of_candidates(spark):
+    """A secret in many texts, and one text in many copies, make no words; words of a share of the texts do."""
+    draw = random.Random(9)
+    texts = [f"plain word{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]} token=qwe7rty8uio9pas0dfg1 end" for i in range(60)]
+    texts += ["copied letters only"] * 40 + [prose(draw.randrange(1000), 60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = {r.word for r in secret_scan.dictionary(docs).collect()}
+    assert {"plain", "token", "end"} <= found and not found & {"qwe", "rty", "uio", "pas", "dfg", "copied", "letters"}
+    assert {r.word for r in secret_scan.dictionary(docs, 0.99).collect()} == set()
+
+
 def test_forest_on_held_out_findings(spark):
     """Labels that no single feature gives away; the forest is right on findings that it hasn't seen."""
     draw, texts, truth = random.Random(8), [], []
