@@ -48,6 +48,91 @@ def small_batches(batches: Iterator[pa.RecordBatch], text: str, limit: int = 8 <
             start = stop
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Sorted batches cut so that none ends within a group; groups must be of bounded size."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        edge = batch.num_rows - 1
+        last = [batch.column(k)[edge].as_py() for k in keys]
+        starts = np.flatnonzero(changes(batch, keys))
+        # the rows before the last group are whole, if a group starts in this batch at all
+        cut = int(starts[-1]) if len(starts) else 0
+        if held and (cut or [held[-1].column(k)[held[-1].num_rows - 1].as_py() for k in keys] != last):
+            done = pa.Table.from_batches([*held, batch.slice(0, cut)]).combine_chunks()
+            held = []
+        else:
+            done = pa.Table.from_batches([batch.slice(0, cut)]) if cut else None
+        if done is not None and done.num_rows:
+            yield done.combine_chunks().to_batches()[0]
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def changes(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
+    """Per row, except the first, whether a key differs from the row before; null equals null."""
+    out = np.zeros(batch.num_rows, bool)
+    for key in keys:
+        column = batch.column(key)
+        now, before = column.slice(1), column.slice(0, len(column) - 1)
+        differ = pc.fill_null(pc.not_equal(now, before), False).to_numpy(zero_copy_only=False)
+        nulls = pc.is_null(now).to_numpy(zero_copy_only=False) != pc.is_null(before).to_numpy(zero_copy_only=False)
+        out[1:] |= differ | nulls
+    return out
+
+
+def ranked(df: DataFrame, group: list[str], order: list[str], place: str) -> DataFrame:
+    """The rows, stored, with their place (from 0) among those of their group; nulls come first.
+
+    Ranges of (group, order) are sorted in tasks, so a group may be of any size.
+    A row's place in its range is counted on the way; only a range's first group
+    can have begun earlier, so one offset per range completes it. Rows alike in
+    all those columns are dealt by a number of their own.
+    """
+    keys = [F.col(c).asc_nulls_first() for c in [*group, *order]]
+    numbered = df.withColumn("_tie", F.monotonically_increasing_id())
+    in_ranges = numbered.repartitionByRange(*keys, "_tie").sortWithinPartitions(*keys, "_tie").drop("_tie")
+    in_ranges = in_ranges.withColumn("_range", F.spark_partition_id())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, runs, length = None, 0, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            n = batch.num_rows
+            new = changes(batch, group)
+            first = [batch.column(k)[0].as_py() for k in group]
+            if last is not None and first != last:
+                runs, length = runs + 1, 0
+            last = [batch.column(k)[n - 1].as_py() for k in group]
+            at = np.arange(n)
+            start = np.maximum.accumulate(np.where(new, at, 0))
+            number = np.cumsum(new)
+            within = at - start + np.where(number == 0, length, 0)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(within, pa.int64()), pa.array(number + runs, pa.int64())],
+                names=[*batch.schema.names, "_within", "_run"])
+            runs, length = runs + int(number[-1]), int(within[-1]) + 1
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in in_ranges.schema)
+    counted = stored(in_ranges.mapInArrow(run, f"{schema}, _within long, _run long"), "ranges")
+    ends = counted.groupBy("_range").agg(
+        F.min(F.struct("_run", *group)).alias("first"), F.max(F.struct("_run", "_within", *group)).alias("last"))
+    # a row per range, which is a task of the sort: bounded by the number of shuffle partitions
+    offsets, begun, so_far = [], None, 0
+    for r in sorted(ends.collect()):
+        first, final = [r["first"][g] for g in group], [r["last"][g] for g in group]
+        offset = so_far if first == begun else 0
+        offsets.append((r["_range"], offset))
+        begun, so_far = final, r["last"]["_within"] + 1 + (offset if r["last"]["_run"] == 0 else 0)
+    shifts = df.sparkSession.createDataFrame(offsets, "_range int, _offset long")
+    shift = F.when(F.col("_run") == 0, F.col("_offset")).otherwise(F.lit(0))
+    return counted.join(F.broadcast(shifts), "_range").withColumn(place, F.col("_within") + shift).drop(
+        "_range", "_within", "_run", "_offset")
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node that a link names; the component is its smallest node.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -125,3 +126,42 @@ def removed_windows(rows, size=50):
                 gone[k:k + size] = [True] * size
         out.append((w, gone))
     return out
+
+
+def merkle(rows):
+    """Per row (doc_id, source, lang, n_chars, text) the columns of the manifest."""
+    def leaf(row):
+        return sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+    def climb(nodes):
+        """Root, and per node its (run, slot) on every level."""
+        paths, at, hashes = [[] for _ in nodes], list(range(len(nodes))), list(nodes)
+        while len(hashes) > 1:
+            runs = [hashes[i:i + 3] for i in range(0, len(hashes), 3)]
+            for i, k in enumerate(at):
+                paths[i].append((runs[k // 3], k % 3))
+            at, hashes = [k // 3 for k in at], [sha("".join(r)) for r in runs]
+        return hashes[0], paths
+
+    trees = {}
+    for row in rows:
+        trees.setdefault(row[1], []).append(row)
+    order = sorted(trees, key=lambda s: (s is not None, (s or "").encode()))
+    built = {}
+    for s in order:
+        trees[s].sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+        built[s] = climb([leaf(r) for r in trees[s]])
+    root, tops = climb([built[s][0] for s in order])
+    out = []
+    for s, top in zip(order, tops):
+        subroot, paths = built[s]
+        for row, path in zip(trees[s], paths):
+            changed = row
+            if row[0] is not None and zlib.crc32(str(row[0]).encode()) % 2 == 0 and row[4] is not None:
+                changed = (*row[:4], row[4].replace("\n", ""))
+            value, others = leaf(changed), ""
+            for run, slot in path + top:
+                others += "".join(run[:slot] + run[slot + 1:])
+                value = sha("".join([*run[:slot], value, *run[slot + 1:]]))
+            out.append((row[0], leaf(row), subroot, root, sha(others), value, value == root))
+    return out
