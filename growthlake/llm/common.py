@@ -83,9 +83,13 @@ def changes(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
     return out
 
 
-def ranked(df: DataFrame, group: list[str], order: list[str], place: str) -> DataFrame:
+def ranked(
+    df: DataFrame, group: list[str], order: list[str], place: str, drop: tuple[str, ...] = ()
+) -> DataFrame:
     """The rows, stored, with their place (from 0) among those of their group; nulls come first.
 
+    Columns in ``drop`` serve the order only.
+
     Ranges of (group, order) are sorted in tasks, so a group may be of any size.
     A row's place in its range is counted on the way; only a range's first group
     can have begun earlier, so one offset per range completes it. Rows alike in
@@ -93,7 +97,7 @@ def ranked(df: DataFrame, group: list[str], order: list[str], place: str) -> Dat
     """
     keys = [F.col(c).asc_nulls_first() for c in [*group, *order]]
     numbered = df.withColumn("_tie", F.monotonically_increasing_id())
-    in_ranges = numbered.repartitionByRange(*keys, "_tie").sortWithinPartitions(*keys, "_tie").drop("_tie")
+    in_ranges = numbered.repartitionByRange(*keys, "_tie").sortWithinPartitions(*keys, "_tie").drop("_tie", *drop)
     in_ranges = in_ranges.withColumn("_range", F.spark_partition_id())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from growthlake.llm import (
-    chat, decontamination, lines, merkle, mixing, personal_data, quality_outliers, secret_scan, simhash, substrings,
-    token_files,
+    chat, decontamination, lines, merkle, minhash, mixing, personal_data, quality_outliers, secret_scan,
+    simhash, substrings, token_files, trie,
 )
 from growthlake.llm.common import table
 
@@ -58,13 +58,22 @@ def op10_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.perspectives(table(spark, sf_dir, "conversations"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.document_manifest(table(spark, sf_dir, "documents"))
 
 
+def op13_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicate_sets(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash_near_dedup, op2_token_files, op3_secret_scan, op4_mixing, op5_line_dedup, op6_quality_rules,
         op7_personal_data, op8_substring_dedup, op9_decontamination, op10_chat_perspectives,
-        op12_merkle_manifest)
+        op11_prefix_trie, op12_merkle_manifest,
+        op13_minhash_near_dedup)
 }

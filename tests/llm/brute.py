@@ -165,3 +165,65 @@ def merkle(rows):
                 value = sha("".join([*run[:slot], value, *run[slot + 1:]]))
             out.append((row[0], leaf(row), subroot, root, sha(others), value, value == root))
     return out
+
+
+def prefix_trie(rows):
+    """The trie's nodes from rows (conv_id, turn, role, text)."""
+    own = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            own.setdefault(c, []).append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [t[2:] for t in sorted(turns)] for c, turns in own.items()}
+    members = {}
+    for c in sorted(own):
+        skipped = zlib.crc32(str(c).encode()) % 6
+        path = own.get(c - c % 100, [])[:skipped] + own[c][skipped:]
+        for d in range(len(path) + 1):
+            members.setdefault(tuple(path[:d]), []).append((c, d == len(path)))
+    children = Counter(p[:-1] for p in members if p)
+    leaves, saved = Counter(), Counter()
+    for p, m in members.items():
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += not children[p]
+            saved[p[:d]] += (len(m) - 1) * len(p[-1][1]) if p else 0
+    return [(m[0][0], len(p), members[p[:-1]][0][0] if p else None, len(m), children[p], leaves[p], saved[p],
+             sha(",".join(str(c) for c, end in m if end))) for p, m in members.items()]
+
+
+def shingle_set(text, n=2):
+    w = words(fold(text))
+    return {tuple(w[i:i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
+
+
+def similar_sets(rows):
+    """Per row (doc_id, text): doc_id, size of its shingle set, least id reachable over pairs at 0.8 or more."""
+    distinct = {}
+    for i, text in rows:
+        distinct.setdefault(frozenset(shingle_set(text)), []).append(i)
+    sets = [s for s in distinct if s]
+    lists = {}
+    for k, s in enumerate(sets):
+        for x in s:
+            lists.setdefault(x, []).append(k)
+    over = list(range(len(sets)))
+
+    def top(k):
+        while over[k] != k:
+            k = over[k]
+        return k
+
+    for k, s in enumerate(sets):
+        for other, both in Counter(m for x in s for m in lists[x] if m < k).items():
+            if 100 * both >= 80 * (len(s) + len(sets[other]) - both):
+                over[top(k)] = top(other)
+    least = {}
+    for k, s in enumerate(sets):
+        ids = [i for i in distinct[s] if i is not None]
+        least[top(k)] = min([*ids, *([least[top(k)]] if least.get(top(k)) is not None else [])], default=None)
+    component = {s: least[top(k)] for k, s in enumerate(sets)}
+    out = []
+    for i, text in rows:
+        s = frozenset(shingle_set(text))
+        c = component[s] if s else i
+        out.append((i, len(s), c, i == c))
+    return out
