@@ -29,6 +29,21 @@ def week_diff(start: Column, end: Column) -> Column:
     return (F.datediff(end, start) / 7).cast("int")
 
 
+# weeks are numbered from this Sunday on; a bitmap of weeks has a word per 64 of them
+FIRST_SUNDAY = "1970-01-04"
+WEEKS_PER_WORD = 64
+
+
+def week_number(week: Column) -> Column:
+    """Number of a week, by its start."""
+    return F.floor(F.datediff(week, F.lit(FIRST_SUNDAY).cast("date")) / 7).cast("int")
+
+
+def last_week_number(era: Column, weeks: Column) -> Column:
+    """Number of the last week in a word of a week bitmap; ``bin`` writes a set sign bit as the 64th digit."""
+    return era * WEEKS_PER_WORD + F.length(F.bin(weeks)) - 1
+
+
 def iso_day_of_week(c) -> Column:
     """Monday = 1 ... Sunday = 7."""
     return F.weekday(c) + 1

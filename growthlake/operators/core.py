@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from growthlake.functions.semantics import month_start, week_start, when_in
+from growthlake.functions.semantics import WEEKS_PER_WORD, month_start, week_number, week_start, when_in
 from growthlake.functions.vocabulary import (
     ACTIVATION_SIGNALS, ACTIVATION_WINDOW_DAYS, ACTIVITY_EVENTS, FEATURE_OF_EVENT, SIGNUP_EVENT,
 )
@@ -66,6 +66,18 @@ def int_account_usage(activity: DataFrame) -> DataFrame:
     )
 
 
+def int_active_weeks(activity: DataFrame, *also_by: Column) -> DataFrame:
+    """Account x era of 64 weeks: a word with a bit per week with activity.
+
+    Words of one account and era may be joined with ``bit_or``. Activity
+    without a date counts as a week of its own, in no era.
+    """
+    number = week_number(week_start("activity_date"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(number, F.lit(WEEKS_PER_WORD)))
+    return activity.groupBy("account_id", F.floor(number / WEEKS_PER_WORD).alias("era"), *also_by).agg(
+        F.bit_or(F.coalesce(bit, F.lit(1).cast("long"))).alias("weeks"))
+
+
 def feature_code(event_name: Column) -> Column:
     members: dict[str, list[str]] = {}
     for event, feature in FEATURE_OF_EVENT.items():
@@ -101,29 +113,35 @@ def int_user_activation(events: DataFrame) -> DataFrame:
     A signal counts with its last time up to the end of the window, however
     early. Accounts that miss a signal keep a ``time_to_activation_days`` that
     means nothing; reports look at activated accounts only.
+
+    One pass brings the events down to a row per account and hour, which has
+    the signup too, so an account with very many events never brings them all
+    to one task. Only in the hour in which the window ends do single events
+    matter: a second pass looks at those, for accounts that have a signal then.
     """
-    signups = first_signups(events)
-    signals = events.where(F.col("event_name").isin(list(ACTIVATION_SIGNALS.values()))).select(
-        "account_id", F.date_trunc("hour", "event_at").alias("hour"),
-        *[F.when(F.col("event_name") == event, F.col("event_at")).alias(c) for c, event in ACTIVATION_SIGNALS.items()],
-    )
+    wanted = events.where(F.col("event_name").isin([SIGNUP_EVENT, *ACTIVATION_SIGNALS.values()])).select(
+        "account_id", "event_name", "event_at", F.date_trunc("hour", "event_at").alias("hour"))
+    signals = [F.when(F.col("event_name") == event, F.col("event_at")).alias(c) for c, event in ACTIVATION_SIGNALS.items()]
     last_times = [F.max(c).alias(c) for c in ACTIVATION_SIGNALS]
+    signup = F.when(F.col("event_name") == SIGNUP_EVENT, F.col("event_at")).alias("signup_at")
+    hours = wanted.select("account_id", "hour", signup, *signals).groupBy("account_id", "hour").agg(
+        F.min("signup_at").alias("signup_at"), *last_times)
+    # one row per hour at most, so an account's window stays small
+    hours = hours.withColumn("signup_at", F.min("signup_at").over(Window.partitionBy("account_id")))
     end = window_end(F.col("signup_at"))
-    end_hour = F.date_trunc("hour", end)
-    # Events meet the signups either as one row per hour, or by account and hour:
-    # an account with very many events never brings them all to one task.
-    whole_hours = (
-        signals.groupBy("account_id", "hour").agg(*last_times)
-        .join(signups, "account_id").where(F.col("hour") < end_hour)
-        .select("account_id", *ACTIVATION_SIGNALS)
-    )
-    in_end_hour = signals.join(signups.withColumn("hour", end_hour), ["account_id", "hour"]).select(
-        "account_id", *[F.when(F.col(c) <= end, F.col(c)).alias(c) for c in ACTIVATION_SIGNALS])
-    signals = whole_hours.unionByName(in_end_hour).groupBy("account_id").agg(*last_times)
+    hours = hours.where(F.col("signup_at").isNotNull()).withColumn("end_hour", F.date_trunc("hour", end))
+    # events without an account belong to none, though they may hold a signup
+    counts = (F.col("hour") < F.col("end_hour")) & F.col("account_id").isNotNull()
+    in_time = hours.select("account_id", "signup_at", *[F.when(counts, F.col(c)).alias(c) for c in ACTIVATION_SIGNALS])
+    edges = hours.where(F.col("hour") == F.col("end_hour")).where(
+        F.coalesce(*ACTIVATION_SIGNALS).isNotNull()).select("account_id", "hour", "signup_at")
+    at_the_end = wanted.select("account_id", "hour", "event_at", *signals).join(edges, ["account_id", "hour"]).where(
+        F.col("event_at") <= end).select("account_id", "signup_at", *ACTIVATION_SIGNALS)
+    accounts = in_time.unionByName(at_the_end).groupBy("account_id").agg(F.min("signup_at").alias("signup_at"), *last_times)
     times = [F.col(c) for c in ACTIVATION_SIGNALS]
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return (
-        signups.join(signals, "account_id", "left")
+        accounts
         .withColumn("activation_at", F.greatest(*[F.coalesce(t, epoch) for t in times]))
         .withColumn("is_activated", reduce(lambda a, b: a & b, [t.isNotNull() for t in times]))
         .withColumn("time_to_activation_days", F.datediff("activation_at", "signup_at"))

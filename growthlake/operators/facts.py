@@ -6,17 +6,41 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from growthlake.functions.semantics import (
-    day_spine, exact_sum, month_spine, month_start, ratio, week_diff, week_start,
+    WEEKS_PER_WORD, day_spine, last_week_number, month_spine, month_start, ratio, week_number, week_start,
 )
 from growthlake.functions.vocabulary import JOURNEY_STEPS, LIVE_STATUSES, PAID_PLANS, SIGNUP_EVENT
 
 LAST_RETENTION_WEEK = 12
+HEAVY_SHARE = 0.001  # of all events: an account with more is split
+SPLITS = 32
 
 
-def fct_product_events(events: DataFrame, identity: DataFrame) -> DataFrame:
-    """Event, with the CRM and billing ids of its account."""
-    ids = identity.select("account_id", "company_id", "customer_id")
-    return events.join(ids, "account_id", "left").select(
+def heavy_accounts(events: DataFrame, share: float = HEAVY_SHARE) -> DataFrame:
+    """Accounts with at least this share of all events: 1 / share of them at most, whatever the data."""
+    counts = events.where(F.col("account_id").isNotNull()).groupBy("account_id").agg(F.count(F.lit(1)).alias("n"))
+    total = events.agg(F.count(F.lit(1)) * F.lit(share)).scalar()
+    return counts.where(F.col("n") >= total).select("account_id")
+
+
+def fct_product_events(events: DataFrame, identity: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
+    """Event, with the CRM and billing ids of its account.
+
+    The events of a heavy account are dealt to ``SPLITS`` tasks, each with a
+    copy of the account's ids: no task gets a hot account, however Spark is set
+    up. ``heavy`` may come from a table that is cheaper to count, as the raw
+    deliveries; it changes how rows are dealt, never which.
+    """
+    few = F.broadcast((heavy_accounts(events) if heavy is None else heavy).select(
+        F.col("account_id").alias("heavy_id")))  # bounded: see heavy_accounts
+    part = F.pmod(F.xxhash64("event_id"), F.lit(SPLITS)).cast("int")
+    dealt = events.join(few, F.col("account_id") == F.col("heavy_id"), "left").withColumn(
+        "_part", F.when(F.col("heavy_id").isNotNull(), part).otherwise(F.lit(0)))
+    copies = identity.select("account_id", "company_id", "customer_id").join(
+        few, F.col("account_id") == F.col("heavy_id"), "left")
+    last = F.when(F.col("heavy_id").isNotNull(), SPLITS - 1).otherwise(0)
+    copies = copies.select(
+        "account_id", "company_id", "customer_id", F.explode(F.sequence(F.lit(0), last)).alias("_part"))
+    return dealt.join(copies, ["account_id", "_part"], "left").select(
         "event_id", "event_name", F.col("distinct_id").alias("user_id"), "account_id", "event_at",
         "source_updated_at", "country", "channel", "workspace_id", "project_id", "task_id",
         "integration_type", "from_plan", "to_plan", "company_id", "customer_id",
@@ -73,14 +97,18 @@ def fct_subscription_history(history: DataFrame) -> DataFrame:
     return history.drop("unit_amount", "billing_frequency", "monthly_unit_amount")
 
 
-def months_live(
-    history: DataFrame, as_of: str, include_end_month: bool = True, clamp_to_as_of: bool = False
+def mrr_levels(
+    history: DataFrame, keys: list[str], as_of: str, include_end_month: bool = True, clamp_to_as_of: bool = False
 ) -> DataFrame:
-    """Paying periods, once per month they were live in.
-
-    A period without an end runs to the month of ``as_of``; one that starts
-    after its last month has none. By default the month of the end counts too,
-    and an end after ``as_of`` is kept.
+    """Stretches of months (``first_month`` to ``last_month``) with one MRR per key, and the MRR of the stretch before.
+
+    A paying period adds its amount in its first month and takes it away after
+    its last, so it is two rows however long it lasts; the running sum of the
+    changes, at most one row per key and month, is the level. Amounts are
+    decimals: what was added is taken away without a rest. A period without an
+    end runs to the month of ``as_of``; one that starts after its last month has
+    none. By default the month of the end counts too, and an end after ``as_of``
+    is kept.
     """
     today = F.lit(as_of).cast("date")
     end = F.coalesce(F.to_date("ended_at"), today)
@@ -88,19 +116,31 @@ def months_live(
         end = F.least(end, today)
     if not include_end_month:
         end = F.when(F.col("ended_at").isNull(), end).otherwise(F.add_months(month_start(end), -1))
-    live = month_spine(F.col("effective_at"), end)
-    return history.where((F.col("monthly_unit_amount") > 0) & (F.col("seats") > 0)).select(
-        "*", F.explode(live).alias("mrr_month"))
+    amount = (F.col("seats") * F.col("monthly_unit_amount")).cast("decimal(28,10)")
+    live = history.where((F.col("monthly_unit_amount") > 0) & (F.col("seats") > 0)).select(
+        *keys, month_start("effective_at").alias("first"), month_start(end).alias("last"), amount.alias("amount"))
+    changes = live.where(F.col("last") >= F.col("first")).select(*keys, F.inline(F.array(
+        F.struct(F.col("first").alias("first_month"), F.col("amount").alias("change"), F.lit(1).alias("opened")),
+        F.struct(F.add_months("last", 1).alias("first_month"), (-F.col("amount")).alias("change"), F.lit(-1).alias("opened")),
+    )))
+    changes = changes.groupBy(*keys, "first_month").agg(F.sum("change").alias("change"), F.sum("opened").alias("opened"))
+    in_order = Window.partitionBy(*keys).orderBy("first_month")
+    to_date = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    levels = changes.select(
+        *keys, "first_month", F.add_months(F.lead("first_month").over(in_order), -1).alias("last_month"),
+        F.sum("change").over(to_date).cast("double").alias("mrr"), F.sum("opened").over(to_date).alias("live"))
+    levels = levels.where(F.col("live") > 0).drop("live")
+    return levels.withColumn("mrr_before", F.lag("mrr").over(in_order))
 
 
 def fct_account_mrr(history: DataFrame, as_of: str, **options: bool) -> DataFrame:
     """Account x month: MRR and its rise over the account's previous row."""
-    monthly = months_live(history, as_of, **options).groupBy("account_id", "mrr_month").agg(
-        exact_sum(F.col("seats") * F.col("monthly_unit_amount")).alias("mrr"))
-    # one row per month at most, so an account's window stays small
-    before = F.lag("mrr").over(Window.partitionBy("account_id").orderBy("mrr_month"))
-    rise = F.greatest(F.col("mrr") - F.coalesce(before, F.col("mrr")), F.lit(0.0))
-    return monthly.withColumn("expansion_mrr", rise)
+    levels = mrr_levels(history, ["account_id"], as_of, **options)
+    rise = F.greatest(F.col("mrr") - F.coalesce("mrr_before", "mrr"), F.lit(0.0))
+    months = levels.withColumn("rise", rise).select(
+        "*", F.explode(month_spine(F.col("first_month"), F.col("last_month"))).alias("mrr_month"))
+    return months.select("account_id", "mrr_month", "mrr", F.when(
+        F.col("mrr_month") == F.col("first_month"), F.col("rise")).otherwise(F.lit(0.0)).alias("expansion_mrr"))
 
 
 def fct_paid_conversion(identity: DataFrame, history: DataFrame) -> DataFrame:
@@ -142,33 +182,35 @@ def fct_churn(history: DataFrame) -> DataFrame:
     )
 
 
-def fct_retention(activation: DataFrame, activity: DataFrame, split_by: tuple[str, ...] = ()) -> DataFrame:
+def fct_retention(activation: DataFrame, active_weeks: DataFrame, split_by: tuple[str, ...] = ()) -> DataFrame:
     """Signup week x weeks since: share of the cohort active in that week.
 
-    Weeks after the last one with activity are not listed, as they have not
-    happened yet. ``split_by`` cuts the cohorts by more columns of the activation.
+    An account meets the two words of its week bitmap that its first weeks can
+    lie in; whether it was active k weeks later is a bit of them, so a cohort is
+    sums of bits. Weeks after the last one with activity are not listed, as they
+    have not happened yet. ``split_by`` cuts the cohorts by more columns of the
+    activation.
     """
     cohort = [*split_by, "cohort_week"]
     cohorts = activation.select("account_id", *split_by, week_start("signup_at").alias("cohort_week"))
-    weekly = activity.select("account_id", week_start("activity_date").alias("activity_week")).distinct()
-    last_week = activity.agg(F.max(week_start("activity_date"))).scalar()
-    offset = week_diff(F.col("cohort_week"), F.col("activity_week"))
-    retained = (
-        cohorts.join(weekly, "account_id")
-        .where(F.col("activity_week") >= F.col("cohort_week"))
-        .select(*cohort, offset.alias("week_offset"), "account_id")
-        .where(F.col("week_offset") <= LAST_RETENTION_WEEK)
-        .groupBy(*cohort, "week_offset")
-        .agg(F.count("account_id").alias("retained_accounts"))
-    )
-    horizon = F.greatest(F.lit(0), F.coalesce(week_diff(F.col("cohort_week"), last_week), F.lit(0)))
-    grid = cohorts.groupBy(*cohort).agg(F.count("account_id").alias("cohort_size")).select(
-        *cohort, "cohort_size",
-        F.explode(F.sequence(F.lit(0), F.least(F.lit(LAST_RETENTION_WEEK), horizon))).alias("week_offset"),
-    )
+    begin, word = week_number(F.col("cohort_week")), F.lit(WEEKS_PER_WORD)
+    at = F.pmod(begin, word)
+    words = cohorts.select(*cohort, "account_id", at.alias("at"), F.inline(F.array(
+        F.struct(F.floor(begin / word).alias("era"), F.lit(False).alias("later")),
+        F.struct((F.floor(begin / word) + 1).alias("era"), F.lit(True).alias("later")))))
+    since = F.when(~F.col("later"), F.expr("shiftrightunsigned(weeks, at)")).when(
+        F.col("at") > 0, F.expr(f"shiftleft(weeks, {WEEKS_PER_WORD} - at)")).otherwise(F.lit(0).cast("long"))
+    offsets = range(LAST_RETENTION_WEEK + 1)
+    sums = words.join(active_weeks, ["account_id", "era"]).withColumn("since", since).groupBy(*cohort).agg(
+        *[F.sum(F.getbit("since", F.lit(k)).cast("long")).alias(f"after_{k}") for k in offsets])
+    last = active_weeks.agg(F.max(last_week_number(F.col("era"), F.col("weeks")))).scalar()
+    horizon = F.greatest(F.lit(0), F.coalesce(last - week_number(F.col("cohort_week")), F.lit(0))).cast("int")
+    grid = cohorts.groupBy(*cohort).agg(F.count("account_id").alias("cohort_size"))
+    listed = F.slice(F.array(*[
+        F.struct(F.lit(k).alias("week_offset"), F.coalesce(f"after_{k}", F.lit(0)).alias("retained_accounts"))
+        for k in offsets]), F.lit(1), F.least(F.lit(LAST_RETENTION_WEEK), horizon) + 1)
     return (
-        grid.join(retained, [*cohort, "week_offset"], "left")
-        .withColumn("retained_accounts", F.coalesce("retained_accounts", F.lit(0)))
+        grid.join(sums, cohort, "left").select(*cohort, "cohort_size", F.inline(listed))
         .select(
             *cohort, "week_offset", "cohort_size", "retained_accounts",
             ratio(F.col("retained_accounts"), F.col("cohort_size")).alias("retention_rate"),

@@ -67,15 +67,30 @@ def high_watermark(df: DataFrame) -> DataFrame:
 def append_incremental(existing: DataFrame, incoming: DataFrame, watermark) -> DataFrame:
     """Incoming rows that are not loaded yet; repeated deliveries stay.
 
-    Only rows exactly on the watermark can have been loaded before, so only
-    those meet the existing table, and only its rows on the watermark. The
-    watermark may be a scalar subquery, as of ``high_watermark(df).scalar()``.
+    Only rows exactly on the watermark, or without a cursor, can have been
+    loaded before, so only those meet the existing table, and only its rows of
+    that kind. They are compared as a whole and counted: of a row that came
+    twice and is loaded once, one is new. The watermark may be a scalar
+    subquery, as of ``high_watermark(df).scalar()``, or none if no row had one.
     """
-    edge = _ntz(watermark)
-    newer = incoming.where(F.col(CURSOR) > edge)
-    loaded = existing.where(F.col(CURSOR) == edge).select("event_id").distinct()
-    on_edge = incoming.where(F.col(CURSOR) == edge).join(loaded, "event_id", "left_anti")
-    return newer.unionByName(on_edge.select(*newer.columns))
+    at = F.col(CURSOR)
+    if watermark is None:
+        newer, on_edge = at.isNotNull(), at.isNull()
+    else:
+        newer, on_edge = at > _ntz(watermark), (at == _ntz(watermark)) | at.isNull()
+    columns = [c for c in incoming.columns if c in existing.columns]
+    rest = rows_beyond(incoming.where(on_edge), existing.where(on_edge), columns)
+    return incoming.where(newer).unionByName(rest)
+
+
+def rows_beyond(incoming: DataFrame, existing: DataFrame, columns: list[str]) -> DataFrame:
+    """Incoming rows with as many equal ones, by these columns, as exceed those that exist."""
+    def numbered(df: DataFrame) -> DataFrame:
+        content = df.withColumn("_content", F.to_json(F.struct(*columns)))
+        return content.withColumn("_copy", F.row_number().over(Window.partitionBy("_content").orderBy("_content")))
+
+    keys = ["_content", "_copy"]
+    return numbered(incoming).join(numbered(existing).select(*keys), keys, "left_anti").drop(*keys)
 
 
 def union_evolved(frames: list[DataFrame]) -> DataFrame:

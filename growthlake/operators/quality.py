@@ -115,14 +115,37 @@ def _result(test: str, column: str, violations: Column) -> Column:
         F.coalesce(violations, F.lit(0)).cast("bigint").alias("violations"))
 
 
-def generic_results(df: DataFrame, table: str) -> DataFrame:
-    """All generic tests of a table from one scan: (table, test, column, violations).
+def row_metrics(table: str, as_of: str) -> dict[str, Column]:
+    """All checks of a table that look at single rows, as aggregates to take while it is written."""
+    checks = {f"null {c}": F.count_if(F.col(c).isNull()) for c in NOT_NULL.get(table, [])}
+    checks |= {name: F.count_if(condition(as_of)) for name, (of, condition) in BROKEN_ROWS.items() if of == table}
+    return checks | {name: F.count_if(found()) for name, (of, found) in MUST_OCCUR.items() if of == table}
 
-    Rows are first counted per key (partial sums before the shuffle), which
-    serves the unique test, and the null counts ride along.
+
+def _measured(tables: Tables, name: str) -> Mapping[str, int] | None:
+    """What was counted when the table was written, if it was."""
+    return getattr(tables, "measured", {}).get(name)
+
+
+def generic_results(df: DataFrame, table: str, measured: Mapping[str, int] | None = None) -> DataFrame:
+    """All generic tests of a table: (table, test, column, violations).
+
+    Null counts that were measured when the table was written are taken from
+    there; then the unique test reads the key column and nothing else is read.
+    Otherwise one scan serves all: rows are counted per key (partial sums before
+    the shuffle), and the null counts ride along.
     """
     columns = NOT_NULL[table]
     key = UNIQUE.get(table)
+    if measured is not None:
+        results = [_result("not_null", c, F.lit(measured[f"null {c}"])) for c in columns]
+        if key is not None:
+            repeated = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(
+                F.count_if(F.col(key).isNotNull() & (F.col("_n") > 1)).alias("_repeated"))
+            results.insert(0, _result("unique", key, F.col("_repeated")))
+        else:
+            repeated = df.sparkSession.range(1)
+        return repeated.select(F.lit(table).alias("table_name"), F.inline(F.array(*results)))
     nulls = {c: f"_null_{c}" for c in columns}
     results = [_result("not_null", c, F.col(n)) for c, n in nulls.items()]
     if key is None:
@@ -141,7 +164,8 @@ def generic_results(df: DataFrame, table: str) -> DataFrame:
 
 
 def all_generic_results(tables: Tables, names: list[str]) -> DataFrame:
-    return reduce(DataFrame.unionByName, [generic_results(tables[n], n) for n in names])
+    frames = {n: tables[n] for n in names}
+    return reduce(DataFrame.unionByName, [generic_results(df, n, _measured(tables, n)) for n, df in frames.items()])
 
 
 def grain_results(tables: Tables) -> DataFrame:
@@ -234,16 +258,32 @@ def run(checks: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counted)
 
 
+def violations_measured(tables: Tables, table: str) -> dict[str, int]:
+    """Violations per row or scenario check of a table, as counted when it was written."""
+    counted = _measured(tables, table) or {}
+    broken = {n: counted[n] for n, (of, _) in BROKEN_ROWS.items() if of == table and n in counted}
+    return broken | {n: int(counted[n] == 0) for n, (of, _) in MUST_OCCUR.items() if of == table and n in counted}
+
+
 def summary(t: Tables) -> DataFrame:
-    """Violations per business check: one scan of each table for all its row and scenario checks."""
+    """Violations per business check.
+
+    Row and scenario checks come from what was measured when their tables were
+    written, without reading them; else from one scan per table.
+    """
     counts: dict[str, dict[str, Column]] = {}
     for name, (table, condition) in BROKEN_ROWS.items():
         counts.setdefault(table, {})[name] = F.count_if(condition(t.as_of))
     for name, (table, found) in MUST_OCCUR.items():
         counts.setdefault(table, {})[name] = (F.count_if(found()) == 0).cast("bigint")
+    frames = {table: t[table] for table in counts}
+    known = {name: n for table in counts for name, n in violations_measured(t, table).items()}
     fused = [
-        t[table].agg(F.array(*(
+        frames[table].agg(F.array(*(
             F.struct(F.lit(name).alias("check_name"), n.alias("violations")) for name, n in of.items())).alias("results"))
-        .select(F.inline("results")) for table, of in counts.items()
+        .select(F.inline("results")) for table, of in counts.items() if not of.keys() <= known.keys()
     ]
+    if known:
+        spark = next(iter(frames.values())).sparkSession
+        fused.append(spark.createDataFrame(sorted(known.items()), "check_name string, violations bigint"))
     return reduce(DataFrame.unionByName, [*fused, run({name: check(t) for name, check in GROUPED.items()})])

@@ -613,6 +613,7 @@ ANSWERS: dict[str, str] = {
                round(accounts / (SELECT max(accounts) FROM onboarding_funnel WHERE step_number = 1), 4) AS share_of_first
         FROM onboarding_funnel""",
     "dau_wau": "SELECT * FROM dau_wau",
+    "dau_wau_sketched": "SELECT activity_date, dau, wau, true AS dau_within, true AS wau_within FROM dau_wau",
     "avg_dau_stickiness":
         "SELECT round(avg(dau), 4) AS avg_dau, round(avg(stickiness), 4) AS avg_stickiness FROM dau_wau",
     "feature_adoption": """
@@ -712,6 +713,9 @@ ANSWERS: dict[str, str] = {
     "metric_dau_by_country": """
         SELECT activity_date, country, count(DISTINCT user_id) AS dau
         FROM int_user_activity JOIN dim_accounts USING (account_id) GROUP BY ALL""",
+    "dau_by_country_sketched": """
+        SELECT activity_date, country, count(DISTINCT user_id) AS dau, true AS dau_within
+        FROM int_user_activity JOIN dim_accounts USING (account_id) GROUP BY ALL""",
     "metric_adoption_by_size": f"""
         SELECT feature_code, week, u.company_size, accounts_using_feature, coalesce(n, 0) AS active_accounts,
                round(accounts_using_feature / nullif(n, 0), 4) AS adoption_rate
@@ -761,6 +765,10 @@ ANSWERS: dict[str, str] = {
                workspace_id, project_id, task_id, integration_type, from_plan, to_plan
         FROM o_delivered""",
     "ingest_backfill": "SELECT * FROM int_user_activity",
+    "ingest_backfill_models": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {_dims(name)}" for name in MODELS),
+    "ingest_backfill_retention": "SELECT * FROM fct_retention",
+    "ingest_backfill_adoption": "SELECT * FROM fct_feature_adoption",
     "ingest_run": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count FROM bronze_{name}" for name in BRONZE),
     **{f"ingest_merge_{name}": f"SELECT * FROM bronze_{name}" for name in (

@@ -1,52 +1,134 @@
 """From landed loads to the bronze tables under ``<root>/bronze``, over and over again.
 
-Events are appended from the watermark of the table on; the other collections
-are merged by key, the newest write winning. A load that comes again, whole or
-in part, changes nothing.
+Events are appended from the stored cursor on. The other collections are merged
+by key, the newest write winning: their tables lie in hash buckets of the key,
+and a load reads and rewrites only the buckets it has keys of. Every load ends
+with a commit (``sources/committed.py``), so one that dies at any step can be
+run again, and one that comes again, whole or in part, changes nothing.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from growthlake.operators.ingest import append_incremental, high_watermark, merge_latest, updated_since
+from growthlake.operators.ingest import CURSOR, append_incremental, merge_latest, updated_since
+from growthlake.sources import committed
+from growthlake.sources.committed import EVENT_MONTH, Commit
 from growthlake.sources.schemas import BRONZE, MERGE_KEYS
 
+BUCKETS = 16
+BUCKET = "bucket"
 
-def _store(spark: SparkSession, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
 
-def _replace(df: DataFrame, path: str) -> None:
-    """The rows are written beside the table first, so a job that fails meanwhile leaves the old one."""
-    spark = df.sparkSession
-    beside = f"{path}-{uuid.uuid4().hex}"
-    df.write.parquet(beside)
-    store, table = _store(spark, path)
-    store.delete(table, True)
-    store.rename(_store(spark, beside)[1], table)
 
+def load(
+    spark: SparkSession, name: str, incoming: DataFrame, root: str, since: str | None = None, buckets: int = BUCKETS
+) -> Commit:
+    """One load of one collection; ``since`` leaves out rows written before it.
 
-def load(spark: SparkSession, name: str, incoming: DataFrame, root: str, since: str | None = None) -> None:
-    """One load of one collection; ``since`` leaves out rows written before it."""
+    ``buckets`` counts when the table is made; a bucket should hold what a task
+    can sort, as a merge handles each on its own.
+    """
     path = f"{root}/bronze/{name}"
     if since is not None:
         incoming = updated_since(incoming, since)
-    store, table = _store(spark, path)
-    existing = spark.read.schema(BRONZE[name]).parquet(path) if store.exists(table) else None
     if name in MERGE_KEYS:
-        _replace(merge_latest([incoming] if existing is None else [existing, incoming], MERGE_KEYS[name]), path)
-    elif existing is None:
-        incoming.write.parquet(path)
-    else:
-        # one pass over the cursor column; the source is then scanned with a bound that reaches its files
-        watermark = high_watermark(existing).first().watermark
-        new = incoming if watermark is None else append_incremental(existing, incoming, watermark)
-        new.write.mode("append").parquet(path)
+        return upsert(spark, path, MERGE_KEYS[name], incoming, buckets)
+    before = committed.latest(spark, path)
+    return _committed(spark, path, before, _append(spark, path, name, incoming, before or Commit()))
+
+
+def upsert(spark: SparkSession, path: str, key: str, incoming: DataFrame, buckets: int = BUCKETS) -> Commit:
+    """Merges rows into the table at ``path``: per key the newest write stays, the later load's on a tie."""
+    before = committed.latest(spark, path)
+    return _committed(spark, path, before, _merge(spark, path, key, incoming, before or Commit(buckets=buckets)))
+
+
+def _committed(spark: SparkSession, path: str, before: Commit | None, after: Commit | None) -> Commit:
+    """A load that changes nothing needs no commit, unless it makes the table."""
+    if after is None and before is not None:
+        return before
+    after = after or Commit(1)
+    committed.publish(spark, path, after)
+    return after
+
+
+def _append(spark: SparkSession, path: str, name: str, incoming: DataFrame, before: Commit) -> Commit | None:
+    """Writes what is new beside the table, in folders by month of the event; none where nothing is.
+
+    The source is scanned with a bound on its cursor column. The new cursor is
+    that of the rows written, so it never lies beyond what the commit names.
+    """
+    if before.folders:
+        existing = committed.read_folders(spark, path, before.all_folders(), BRONZE[name])
+        incoming = append_incremental(existing, incoming, before.cursor)
+    folder = committed.new_data_folder()
+    by_month = incoming.withColumn(EVENT_MONTH, F.coalesce(F.date_format("event_at", "yyyy-MM"), F.lit("none")))
+    by_month.hint("rebalance", EVENT_MONTH).write.partitionBy(EVENT_MONTH).parquet(f"{path}/{folder}")
+    months = [n for n in committed.names_in(spark, f"{path}/{folder}") if n.startswith(f"{EVENT_MONTH}=")]
+    if not months:
+        return None
+    new = [f"{folder}/{m}" for m in months]
+    newest = committed.read_folders(spark, path, new, BRONZE[name]).agg(F.max(CURSOR).cast("string")).first()[0]
+    # cursors are text of one form, but fractions of a second may be missing: compared as times
+    cursor = max((c for c in (before.cursor, newest) if c is not None), key=_seconds, default=None)
+    folders = dict(before.folders)
+    for month, added in zip(months, new):
+        month = month.partition("=")[2]
+        folders[month] = [*folders.get(month, []), added]
+    return Commit(before.version + 1, folders, cursor)
+
+
+def _seconds(cursor: str) -> tuple[str, str]:
+    whole, _, fraction = cursor.partition(".")
+    return whole, fraction.ljust(6, "0")
+
+
+def _content(df: DataFrame, columns: list[str]) -> Column:
+    return F.xxhash64(F.to_json(F.struct(*(F.col(c) for c in columns if c in df.columns))))
+
+
+def _buckets_changed(existing: DataFrame | None, incoming: DataFrame, key: str) -> list[int]:
+    """The buckets with a key that is new, or newer than in the table; at most one row each comes to the driver."""
+    newest = merge_latest([incoming], key)
+    if existing is not None:
+        columns = sorted({*newest.columns, *existing.columns})
+        here = existing.select(
+            F.col(key).alias("_key"), F.col(CURSOR).alias("_at"), _content(existing, columns).alias("_had"), F.lit(True).alias("_there"))
+        newest = newest.withColumn("_has", _content(newest, columns)).join(here, F.col(key).eqNullSafe(F.col("_key")), "left")
+        newer = F.coalesce(F.col(CURSOR) > F.col("_at"), F.col(CURSOR).isNotNull() & F.col("_at").isNull())
+        tie = F.col(CURSOR).eqNullSafe(F.col("_at")) & (F.col("_has") != F.col("_had"))
+        newest = newest.where(F.col("_there").isNull() | newer | tie)
+    return sorted(r[0] for r in newest.select(BUCKET).distinct().collect())
+
+
+def _merge(spark: SparkSession, path: str, key: str, incoming: DataFrame, before: Commit) -> Commit | None:
+    """Rewrites the buckets that the load changes; the files of all others stay, unread if it has no key of theirs."""
+    def bucketed(df: DataFrame) -> DataFrame:
+        return df.withColumn(BUCKET, bucket_of(key, before.buckets))
+
+    def existing(buckets: list[int]) -> DataFrame | None:
+        folders = sorted(f for b in buckets for f in before.folders.get(str(b), []))
+        return bucketed(committed.read_folders(spark, path, folders)) if folders else None
+
+    incoming = bucketed(incoming)
+    met = sorted(r[0] for r in incoming.select(BUCKET).distinct().collect())
+    changed = _buckets_changed(existing(met), incoming, key)
+    if not changed:
+        return None if before.version else Commit(1, buckets=before.buckets)
+    old = existing(changed)
+    loads = [incoming.where(F.col(BUCKET).isin(changed))]
+    merged = merge_latest(loads if old is None else [old, *loads], key)
+    folder = committed.new_data_folder()
+    merged.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{path}/{folder}")
+    new = {str(b): [f"{folder}/{BUCKET}={b}"] for b in changed}
+    return Commit(before.version + 1, {**before.folders, **new}, None, before.buckets)
 
 
 def run(spark: SparkSession, landed: Mapping[str, DataFrame], root: str, since: str | None = None) -> None:

@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from growthlake.functions.semantics import (
-    day_spine, engagement_segment, exact_sum, money, month_start, ratio, week_start,
+    day_spine, engagement_segment, exact_sum, money, month_spine, month_start, ratio, week_start,
 )
 from growthlake.functions.vocabulary import ACTIVATION_SIGNALS, FUNNEL_LABELS, SIGNUP_EVENT
 from growthlake.operators.adjacent import with_neighbour
 from growthlake.operators.core import first_signups, window_end
-from growthlake.operators.facts import fct_retention, months_live
+from growthlake.operators.facts import fct_retention, mrr_levels
 from growthlake.plans.reports import lifetime_events, onboarding_funnel
 from growthlake.plans.warehouse import Warehouse
 
@@ -82,7 +82,7 @@ def metric_funnel_in_window(w: Warehouse) -> DataFrame:
 
 
 def metric_retention_by_activation(w: Warehouse) -> DataFrame:
-    return fct_retention(w["fct_user_activation"], w["int_user_activity"], split_by=("is_activated",)).withColumn(
+    return fct_retention(w["fct_user_activation"], w["int_active_weeks"], split_by=("is_activated",)).withColumn(
         "retention_rate", F.round("retention_rate", 4))
 
 
@@ -96,9 +96,9 @@ def metric_churn_by_plan(w: Warehouse) -> DataFrame:
 
 
 def metric_mrr_by_plan(w: Warehouse) -> DataFrame:
-    live = months_live(w["int_subscription_history"], w.as_of)
-    amount = F.col("seats") * F.col("monthly_unit_amount")
-    accounts = live.groupBy("mrr_month", "plan_code", "account_id").agg(exact_sum(amount).alias("mrr"))
+    levels = mrr_levels(w["int_subscription_history"], ["plan_code", "account_id"], w.as_of)
+    accounts = levels.select(
+        "plan_code", "mrr", "account_id", F.explode(month_spine(F.col("first_month"), F.col("last_month"))).alias("mrr_month"))
     return accounts.groupBy("mrr_month", "plan_code").agg(
         money(exact_sum(F.col("mrr"))).alias("mrr"), F.count("account_id").alias("paying_accounts"))
 

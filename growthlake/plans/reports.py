@@ -125,10 +125,7 @@ def time_to_activation_distribution(w: Warehouse) -> DataFrame:
 
 
 def activation_vs_activity(w: Warehouse) -> DataFrame:
-    weeks = (
-        w["fct_user_daily_activity"].select("account_id", week_start("activity_date").alias("week")).distinct()
-        .groupBy("account_id").agg(_rows().alias("active_weeks"))
-    )
+    weeks = w["int_active_weeks"].groupBy("account_id").agg(F.sum(F.bit_count("weeks")).alias("active_weeks"))
     return w["fct_user_activation"].select("account_id", "is_activated").join(weeks, "account_id", "left").select(
         "account_id", "is_activated", F.coalesce("active_weeks", F.lit(0)).alias("active_weeks"))
 

@@ -18,13 +18,14 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 from growthlake.functions.semantics import month_start
 from growthlake.operators import core, dims, facts, staging
+from growthlake.operators.quality import row_metrics, violations_measured
 from growthlake.sources.layers import write_table
 
 Model = Callable[["Warehouse"], DataFrame]
@@ -55,7 +56,8 @@ MARTS: dict[str, Model] = {
     "dim_dates": lambda w: dims.dim_dates(w["stg_product_events"]),
     "dim_features": lambda w: dims.dim_features(w.spark),
     "dim_plans": lambda w: dims.dim_plans(w["stg_billing_prices"]),
-    "fct_product_events": lambda w: facts.fct_product_events(w["stg_product_events"], w["int_identity_mapping"]),
+    "fct_product_events": lambda w: facts.fct_product_events(
+        w["stg_product_events"], w["int_identity_mapping"], facts.heavy_accounts(w["product_events"])),
     "fct_user_activation": lambda w: facts.fct_user_activation(w["int_user_activation"]),
     "fct_user_daily_activity": lambda w: facts.fct_user_daily_activity(w["int_user_activity"]),
     "fct_user_journey": lambda w: facts.fct_user_journey(w["stg_product_events"]),
@@ -65,19 +67,22 @@ MARTS: dict[str, Model] = {
     "fct_paid_conversion": lambda w: facts.fct_paid_conversion(
         w["int_identity_mapping"], w["int_subscription_history"]),
     "fct_churn": lambda w: facts.fct_churn(w["int_subscription_history"]),
-    "fct_retention": lambda w: facts.fct_retention(w["fct_user_activation"], w["int_user_activity"]),
+    "fct_retention": lambda w: facts.fct_retention(w["fct_user_activation"], w["int_active_weeks"]),
     "fct_usage_expansion": lambda w: facts.fct_usage_expansion(w["int_account_usage"], w["fct_account_mrr"]),
     "fct_paid_base_daily": lambda w: facts.fct_paid_base_daily(w["fct_subscription_history"]),
 }
-LAYERS = {"staging": STAGING, "core": CORE, "marts": MARTS}
+# tables that several models and reports are computed from
+SHARED: dict[str, Model] = {"int_active_weeks": lambda w: core.int_active_weeks(w["int_user_activity"])}
+LAYERS = {"staging": STAGING, "core": {**CORE, **SHARED}, "marts": MARTS}
 MODELS: dict[str, Model] = {**STAGING, **CORE, **MARTS}
+TABLES: dict[str, Model] = {**MODELS, **SHARED}
 
 # the models of a wave need those of earlier waves only, so they can be written side by side
 _LATE = ["int_account_usage", "fct_retention", "fct_usage_expansion", "fct_paid_base_daily"]
 WAVES = [
     list(STAGING),
     [name for name in CORE if name not in _LATE],
-    ["int_account_usage", *[name for name in MARTS if name not in _LATE]],
+    ["int_account_usage", *SHARED, *[name for name in MARTS if name not in _LATE]],
     _LATE[1:],
 ]
 
@@ -92,6 +97,10 @@ def _layer_of(name: str) -> str:
     return next(layer for layer, models in LAYERS.items() if name in models)
 
 
+class CheckFailed(RuntimeError):
+    """A finished build breaks a rule that must hold."""
+
+
 class Warehouse:
     """``bronze`` gives the bronze table of a name; ``as_of`` stands in for today."""
 
@@ -105,6 +114,8 @@ class Warehouse:
         self._folder = f"{root}/build-{uuid.uuid4().hex}" if root is not None else None
         self._attached = False
         self._frames: dict[str, DataFrame] = {}
+        # per table, what its row checks counted when it was written
+        self.measured: dict[str, dict[str, int]] = {}
 
     @classmethod
     def open(cls, spark: SparkSession, root: str, bronze: Callable[[str], DataFrame] | None = None) -> Warehouse:
@@ -120,33 +131,53 @@ class Warehouse:
         built = json.loads(spark.read.text(f"{root}/{pointers[-1]}").first().value)
         warehouse = cls(spark, bronze or missing, built["as_of"], root)
         warehouse._folder, warehouse._attached = f"{root}/{built['folder']}", True
+        warehouse.measured = built.get("measured", {})
+        return warehouse
+
+    @classmethod
+    def over(
+        cls, spark: SparkSession, tables: dict[str, DataFrame], bronze: Callable[[str], DataFrame], as_of: str
+    ) -> Warehouse:
+        """A warehouse whose models are there already, wherever they are stored."""
+        warehouse = cls(spark, bronze, as_of)
+        warehouse._frames.update(tables)
         return warehouse
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
-            if name not in MODELS:
+            if name not in TABLES:
                 frame = self._bronze(name)
             elif self._attached:
                 frame = self.spark.read.parquet(f"{self._folder}/{_layer_of(name)}/{name}")
             else:
-                frame = MODELS[name](self)
+                frame = TABLES[name](self)
                 if self._root is not None:
                     frame = self._stored(name, frame)
             self._frames[name] = frame
         return self._frames[name]
 
     def _stored(self, name: str, df: DataFrame) -> DataFrame:
+        checks = row_metrics(name, self.as_of)
         if name not in MONTH_OF:
-            return write_table(df, self._folder, _layer_of(name), name)
+            return write_table(df, self._folder, _layer_of(name), name, metrics=checks, measured=self.measured)
         by_month = df.withColumn("event_month", month_start(MONTH_OF[name]))
-        return write_table(by_month, self._folder, _layer_of(name), name, "event_month")
+        return write_table(by_month, self._folder, _layer_of(name), name, "event_month", checks, self.measured)
+
+    def build(self, threads: int = 4, refuse: Collection[str] = ()) -> Warehouse:
+        """Writes every model that is not there yet, a few at a time.
 
-    def build(self, threads: int = 4) -> Warehouse:
-        """Writes every model that is not there yet, a few at a time."""
+        A build in which a row or scenario check named in ``refuse`` has
+        violations is not published: readers stay with the last one.
+        """
         with ThreadPoolExecutor(threads) as pool:
             for wave in WAVES:
                 list(pool.map(self.__getitem__, wave))
         if self._root is not None and not self._attached:
+            found = {n: k for table in self.measured for n, k in violations_measured(self, table).items()}
+            if unknown := set(refuse) - found.keys():
+                raise ValueError(f"not measured while writing: {sorted(unknown)}")
+            if broken := {n: k for n, k in found.items() if n in refuse and k}:
+                raise CheckFailed(f"not published, violations per check: {broken}")
             self._publish()
         return self
 
@@ -156,6 +187,7 @@ class Warehouse:
         store = path(self._root).getFileSystem(self.spark._jsc.hadoopConfiguration())
         temporary = path(f"{self._root}/_{uuid.uuid4().hex}")
         out = store.create(temporary)
-        out.write(json.dumps({"folder": self._folder.rpartition("/")[2], "as_of": self.as_of}).encode())
+        built = {"folder": self._folder.rpartition("/")[2], "as_of": self.as_of, "measured": self.measured}
+        out.write(json.dumps(built).encode())
         out.close()
         store.rename(temporary, path(f"{self._root}/{POINTER}{time.time_ns():020d}"))

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from growthlake.functions import semantics, standardise
 from growthlake.operators import core, history, ingest, quality, staging
-from growthlake.plans import ingestion
+from growthlake.plans import audience, ingestion, refresh
 from growthlake.plans.metrics import METRICS
 from growthlake.plans.reports import REPORTS
 from growthlake.plans.warehouse import CORE, MARTS, MODELS, STAGING, Warehouse
 from growthlake.session import new_folder, tune
-from growthlake.sources import driver_tables, landing, schemas
+from growthlake.sources import committed, driver_tables, landing, schemas
 from growthlake.sources.driver_tables import AS_OF
 from growthlake.sources.layers import read_bronze
 from growthlake.streaming import jobs
@@ -64,11 +64,11 @@ def ingest_keyset_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_append_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze after a first load to December and an incremental one; the rows on the watermark come twice."""
-    source = driver_tables.product_events(spark, sf_dir)
-    existing = source.where(F.col("source_updated_at") < F.lit("2023-12-01").cast("timestamp_ntz"))
-    watermark = ingest.high_watermark(existing).scalar()
-    return existing.unionByName(ingest.append_incremental(existing, source, watermark))
+    """Bronze after a first load to December and one of everything, from the stored cursor on."""
+    root, source = new_folder(spark, "bronze"), driver_tables.product_events(spark, sf_dir)
+    ingestion.load(spark, "product_events", source.where(F.col("source_updated_at") <= F.lit("2023-12-01").cast("timestamp_ntz")), root)
+    ingestion.load(spark, "product_events", source, root)
+    return committed.read(spark, f"{root}/bronze/product_events", schemas.PRODUCT_EVENTS)
 
 
 def ingest_merge_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,13 +85,37 @@ def ingest_flatten_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.flatten_properties(driver_tables.product_events(spark, sf_dir))
 
 
+@lru_cache(maxsize=4)
+def backfilled_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """All models after a first refresh that misses late November's events, and one with all that landed since."""
+    lake, root = new_folder(spark, "lake"), new_folder(spark, "refreshed")
+    landed = {name: build(spark, sf_dir) for name, build in driver_tables.BRONZE.items()}
+    early = F.col("source_updated_at") < F.lit("2023-11-15").cast("timestamp_ntz")
+    ingestion.run(spark, {name: df.where(early) if name == "product_events" else df for name, df in landed.items()}, lake)
+    refresh.refresh(spark, lake, root, AS_OF)
+    ingestion.run(spark, landed, lake, since="2023-11-15 00:00:00")
+    refresh.refresh(spark, lake, root, AS_OF)
+    return refresh.opened(spark, root)
+
+
 def ingest_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily activity after the last two months have been read again, into a table that had lost some of them."""
-    source, since = driver_tables.product_events(spark, sf_dir), "2023-11-15 00:00:00"
-    recent = F.col("source_updated_at") >= F.lit(since).cast("timestamp_ntz")
-    existing = source.where(~(recent & (F.pmod(F.xxhash64("event_id"), F.lit(5)) == 0)))
-    again = ingest.backfill(existing, source, since)
-    return core.int_user_activity(staging.stg_product_events(again))
+    """Daily activity of the warehouse brought up to date."""
+    return backfilled_warehouse(spark, sf_dir)["int_user_activity"]
+
+
+def ingest_backfill_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per model of the warehouse brought up to date."""
+    return refresh.row_counts(backfilled_warehouse(spark, sf_dir))
+
+
+def ingest_backfill_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retention in the warehouse brought up to date, from the weeks kept per month."""
+    return backfilled_warehouse(spark, sf_dir)["fct_retention"]
+
+
+def ingest_backfill_adoption(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature adoption in the warehouse brought up to date; only weeks in reach of new events were rewritten."""
+    return backfilled_warehouse(spark, sf_dir)["fct_feature_adoption"]
 
 
 def ingest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,7 +139,7 @@ def _merged_query(name: str) -> Query:
         root, source = new_folder(spark, "bronze"), driver_tables.BRONZE[name](spark, sf_dir)
         ingestion.load(spark, name, source.where(F.col("source_updated_at") < F.lit("2023-12-01").cast("timestamp_ntz")), root)
         ingestion.load(spark, name, source, root)
-        return spark.read.schema(schemas.BRONZE[name]).parquet(f"{root}/bronze/{name}")
+        return committed.read(spark, f"{root}/bronze/{name}", schemas.BRONZE[name])
     return query
 
 
@@ -124,12 +148,7 @@ MERGED = ["crm_deals", "billing_customers", "billing_prices", "billing_subscript
 
 def write_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per table of the built warehouse."""
-    built = stored_warehouse(spark, sf_dir).build()
-    counts = [
-        built[name].agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
-        for name in MODELS
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    return refresh.row_counts(stored_warehouse(spark, sf_dir).build())
 
 
 # streaming
@@ -168,11 +187,11 @@ def stream_upsert_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         batch.write.mode("append").parquet(f"{path}/landed")
         stream = jobs.read_stream(spark, f"{path}/landed", schemas.CRM_COMPANIES)
         jobs.upsert_entities(stream, "company_id", f"{path}/table", f"{path}/checkpoint")
-    return jobs.current_entities(spark, f"{path}/table", "company_id")
+    return jobs.current_entities(spark, f"{path}/table")
 
 
 def stream_daily_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.current_activity(spark, _events_in_batches(spark, sf_dir, jobs.dedup_events, "stream-activity"))
+    return jobs.current_activity(spark, _events_in_batches(spark, sf_dir, jobs.daily_activity, "stream-activity"))
 
 
 # scalar rules
@@ -218,6 +237,24 @@ def week_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _event_days(spark, sf_dir, "week_start", semantics.week_start)
 
 
+# audiences from sketches
+
+@lru_cache(maxsize=4)
+def stored_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sketches per day and dimensions, written once per session."""
+    path, sketches = new_folder(spark, "sketches"), audience.day_sketches(stored_warehouse(spark, sf_dir))
+    sketches.write.parquet(path)
+    return spark.read.schema(sketches.schema).parquet(path)
+
+
+def dau_wau_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audience.dau_wau_sketched(stored_warehouse(spark, sf_dir), stored_sketches(spark, sf_dir))
+
+
+def dau_by_country_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audience.dau_by_country_sketched(stored_warehouse(spark, sf_dir), stored_sketches(spark, sf_dir))
+
+
 # models and checks
 
 def scd2_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,11 +304,12 @@ def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 FUNCTIONS: list[Query] = [
     ingest_envelope, ingest_updated_since, ingest_event_range, ingest_keyset_page, ingest_append_watermark,
-    ingest_merge_latest, ingest_schema_evolution, ingest_flatten_props, ingest_backfill, ingest_run, write_layer,
+    ingest_merge_latest, ingest_schema_evolution, ingest_flatten_props, ingest_backfill,
+    ingest_backfill_models, ingest_backfill_retention, ingest_backfill_adoption, ingest_run, write_layer,
     stream_bronze_events, stream_dedup_events, stream_upsert_entities,
     stream_daily_activity,
     std_country, std_plan, std_frequency, date_year_of, date_month_of, date_trunc_to_month, week_start,
-    scd2_companies, dim_features, dq_unique, dq_not_null, dq_accepted_range,
+    dau_wau_sketched, dau_by_country_sketched, scd2_companies, dim_features, dq_unique, dq_not_null, dq_accepted_range,
     dq_generic_staging, dq_generic_core, dq_generic_marts, dq_grains, dq_summary,
 ]
 

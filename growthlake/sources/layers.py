@@ -2,28 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
 
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+
+from growthlake.sources import committed
 from growthlake.sources.schemas import BRONZE
 
 
-def write_table(df: DataFrame, root: str, layer: str, name: str, partition_by: str | None = None) -> DataFrame:
+def write_table(
+    df: DataFrame, root: str, layer: str, name: str, partition_by: str | None = None,
+    metrics: Mapping[str, Column] | None = None, measured: dict[str, dict[str, int]] | None = None,
+) -> DataFrame:
     """Replaces the table and returns it as read back, so later work starts from the files.
 
     The rebalance hint lets AQE size the files: small partitions are joined and
-    a hot day or month is split over several tasks.
+    a hot day or month is split over several tasks. ``metrics`` are aggregates
+    taken from the rows as they are written, into ``measured`` under the table's
+    name: behind the shuffle, so that a task that runs again counts once.
     """
-    path = f"{root}/{layer}/{name}"
-    if partition_by:
-        df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
-    else:
-        df.hint("rebalance").write.mode("overwrite").parquet(path)
+    path, seen = f"{root}/{layer}/{name}", Observation()
+    rows = df.hint("rebalance", partition_by) if partition_by else df.hint("rebalance")
+    if metrics:
+        rows = rows.observe(seen, *(value.alias(label) for label, value in metrics.items()))
+    writer = rows.write.mode("overwrite")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    if metrics:
+        measured[name] = {label: value or 0 for label, value in seen.get.items()}
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def read_bronze(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The eight bronze tables; a column a file lacks reads as null."""
-    return {name: spark.read.schema(ddl).parquet(f"{root}/bronze/{name}") for name, ddl in BRONZE.items()}
+    """The eight bronze tables, as of their last commit; a column a file lacks reads as null."""
+    return {name: committed.read(spark, f"{root}/bronze/{name}", ddl) for name, ddl in BRONZE.items()}
 
 
 def register_views(tables: dict[str, DataFrame], prefix: str = "") -> None:

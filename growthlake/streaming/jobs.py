@@ -1,12 +1,13 @@
 """Incremental jobs: each run takes what has landed since the last one, and stops.
 
-Every job works in micro-batches under a checkpoint. Batch N writes the folder
-``batch_id=N`` of its table, replacing it on a retry, and reads no other. So a
-batch that is repeated after a failure leaves the same table. What spans
-batches (which delivery of an event was first, which write of a record last)
-is settled when the table is read, over all its folders, and a compaction folds
-them into one. A new checkpoint over a table that has folders is refused, as its
-batch 0 would replace rows whose source files may be gone.
+Every job works in micro-batches under a checkpoint, and a batch that is
+repeated after a failure leaves the same table. The event log takes batch N as
+the folder ``batch_id=N``, replacing it on a retry. What spans batches is
+settled when a batch is written, so reading costs the live rows and not the
+history: which delivery of an event was first, by an index of ids
+(``streaming/unique.py``), which write of a record is last, by merging the
+buckets of its keys (``plans/ingestion.py``). A new checkpoint over a table that
+is there is refused, as its batches would not be those that the table knows.
 """
 
 from __future__ import annotations
@@ -16,9 +17,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from growthlake.operators.core import int_user_activity
-from growthlake.operators.ingest import delivery_order, first_per_key, merge_latest
-from growthlake.operators.staging import stg_product_events
+from growthlake.plans.ingestion import upsert
+from growthlake.sources import committed
+from growthlake.sources.schemas import PRODUCT_EVENTS
+from growthlake.streaming.unique import UniqueEvents, count_changes, read_activity, read_unique
 
 
 def read_stream(spark: SparkSession, path: str, schema: str, max_files: int | None = None) -> DataFrame:
@@ -56,11 +58,6 @@ def _write_batch(df: DataFrame, path: str, batch_id: int, partition_by: str | No
     writer.parquet(f"{path}/batch_id={batch_id}")
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """All batches of a table; the folder names come back as columns."""
-    return spark.read.parquet(path)
-
-
 def append_events(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Bronze: every delivery, exactly once, in folders by day of the event."""
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -70,46 +67,49 @@ def append_events(stream: DataFrame, path: str, checkpoint: str) -> None:
 
 
 def dedup_events(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Keeps each batch's first delivery of each event; ``resolved_events`` reads the first of all.
+    """Keeps the first delivery of each event; ``resolved_events`` reads them.
 
-    A batch looks nothing up, so it makes no difference when and in which order
-    deliveries land, nor on which day an event says it happened.
+    It makes no difference when and in which order deliveries land, how far
+    apart, nor on which day an event says it happened.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        first = first_per_key(batch, ["event_id"], delivery_order())
-        _write_batch(first.withColumn("event_date", F.to_date("event_at")), path, batch_id, "event_date")
+        UniqueEvents(batch.sparkSession, path, PRODUCT_EVENTS).add(batch, batch_id)
 
     run_available(stream, path, checkpoint, handle)
 
 
 def resolved_events(spark: SparkSession, path: str) -> DataFrame:
     """The first delivery of each event over all batches."""
-    log = read_log(spark, path).drop("batch_id", "event_date")
-    return first_per_key(log, ["event_id"], delivery_order())
+    return read_unique(spark, path, PRODUCT_EVENTS)
 
 
-def compact_events(spark: SparkSession, path: str, into: str) -> DataFrame:
-    """Writes the resolved events as batch 0 of a new table, by day; its readers are the same functions."""
-    _write_batch(resolved_events(spark, path).withColumn("event_date", F.to_date("event_at")), into, 0, "event_date")
-    return resolved_events(spark, into)
+def daily_activity(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Keeps first deliveries and, beside them, what they count per user and day; ``current_activity`` reads that."""
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        events = UniqueEvents(batch.sparkSession, path, PRODUCT_EVENTS)
+        events.add(batch, batch_id)
+        count_changes(events, f"{path}/daily")
+
+    run_available(stream, path, checkpoint, handle)
+
+
+def current_activity(spark: SparkSession, path: str) -> DataFrame:
+    """User x account x day: late and repeated events count once, on their own day."""
+    return read_activity(spark, f"{path}/daily")
 
 
 def upsert_entities(stream: DataFrame, key: str, path: str, checkpoint: str) -> None:
-    """Adds the newest row per key of each batch to the table; ``current_entities`` reads the present state."""
+    """Keeps the newest row per key, of the later batch on a tie.
+
+    A path ``<root>/bronze/<name>`` makes it a bronze table as any load does.
+    """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(merge_latest([batch], key), path, batch_id)
+        upsert(batch.sparkSession, path, key, batch)
 
     run_available(stream, path, checkpoint, handle)
 
 
-def current_entities(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """The newest row per key over all batches, of the later batch on a tie."""
-    log = read_log(spark, path)
-    content = [c for c in log.columns if c != "batch_id"]
-    order = [F.desc("source_updated_at"), F.desc("batch_id"), F.xxhash64(*content)]
-    return first_per_key(log, [key], order).drop("batch_id")
-
-
-def current_activity(spark: SparkSession, path: str) -> DataFrame:
-    """User x account x day over the table of ``dedup_events``: late and repeated events count once, on their own day."""
-    return int_user_activity(stg_product_events(resolved_events(spark, path)))
+def current_entities(spark: SparkSession, path: str) -> DataFrame:
+    """The newest row per key over all batches."""
+    commit = committed.latest(spark, path)
+    return committed.read_folders(spark, path, commit.all_folders())

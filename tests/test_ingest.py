@@ -9,7 +9,7 @@ import mini
 from growthlake.operators import ingest
 from growthlake.operators.staging import stg_product_events
 from growthlake.plans import ingestion
-from growthlake.sources import landing, layers, schemas
+from growthlake.sources import committed, landing, layers, schemas
 
 
 def rows(df):
@@ -137,6 +137,6 @@ def test_bronze_equals_the_source_after_full_incremental_and_repeated_loads(spar
 def test_a_merge_keeps_the_newest_write_of_all_loads(spark, tmp_path):
     for load in mini.company_loads(spark) + mini.company_loads(spark)[:1]:
         ingestion.load(spark, "crm_companies", load, str(tmp_path))
-    stored = spark.read.parquet(str(tmp_path / "bronze" / "crm_companies"))
+    stored = committed.read(spark, f"{tmp_path}/bronze/crm_companies", schemas.CRM_COMPANIES)
     merged = ingest.merge_latest(mini.company_loads(spark), "company_id")
     assert rows(stored.select(*merged.columns)) == rows(merged)
