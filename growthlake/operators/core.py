@@ -134,9 +134,13 @@ def int_user_activation(events: DataFrame) -> DataFrame:
     counts = (F.col("hour") < F.col("end_hour")) & F.col("account_id").isNotNull()
     in_time = hours.select("account_id", "signup_at", *[F.when(counts, F.col(c)).alias(c) for c in ACTIVATION_SIGNALS])
     edges = hours.where(F.col("hour") == F.col("end_hour")).where(
-        F.coalesce(*ACTIVATION_SIGNALS).isNotNull()).select("account_id", "hour", "signup_at")
-    at_the_end = wanted.select("account_id", "hour", "event_at", *signals).join(edges, ["account_id", "hour"]).where(
-        F.col("event_at") <= end).select("account_id", "signup_at", *ACTIVATION_SIGNALS)
+        F.coalesce(*ACTIVATION_SIGNALS).isNotNull()).select(
+        F.col("account_id").alias("edge_account"), F.col("hour").alias("edge_hour"), "signup_at")
+    # a plain equality would bar null accounts from the first pass, which then would not serve both its uses
+    met = F.col("account_id").eqNullSafe(F.col("edge_account")) & (F.col("hour") == F.col("edge_hour"))
+    counts = (F.col("event_at") <= end) & F.col("account_id").isNotNull()
+    at_the_end = wanted.select("account_id", "hour", "event_at", *signals).join(edges, met).select(
+        "account_id", "signup_at", *[F.when(counts, F.col(c)).alias(c) for c in ACTIVATION_SIGNALS])
     accounts = in_time.unionByName(at_the_end).groupBy("account_id").agg(F.min("signup_at").alias("signup_at"), *last_times)
     times = [F.col(c) for c in ACTIVATION_SIGNALS]
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
