@@ -23,7 +23,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table in the folder all executors share: lineage ends there, a lost executor costs no rerun."""
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Removes stored tables that nothing will read again: all that came from them is stored itself."""
+    for df in tables:
+        spark = df.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for helper columns that no column of ``df`` has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def words_of(text: Column) -> Column:
@@ -161,6 +182,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             step.join(up, "component")
             .select("node", "old", F.least("component", "up").alias("component")), "labels")
         moved = step.where("component <> old").limit(1).count()
-        labels = step.select("node", "component")
+        forget(labels)
+        labels = step
         if not moved:
-            return labels
+            forget(both)
+            return labels.select("node", "component")

@@ -15,15 +15,11 @@ Equal fingerprints are one node. Within a table's cell, nodes are first tied to
 one of them (a star, no pairs); then only pairs from different components are
 looked at, so a large group of near copies never yields all its pairs and no
 link between components is lost. Cells are joined by key, so AQE splits a hot one.
-
-The pipeline's stage asks for a Jaccard similarity of shingle sets, which no
-table of bits holds exactly: its cells are shingles of each set's prefix.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +27,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from growthlake.llm.common import components, small_batches, stored
+from growthlake.llm.common import components, free_names, small_batches, stored
 
 SEED = 42
 PIVOTS = 12
-SAMPLE = 20_000
 
 
 def shingle_hashes(text: str | None, n: int) -> np.ndarray:
@@ -166,135 +161,19 @@ def near_duplicate_classes(docs: DataFrame, shingle: int = 4, limit: int = 4) ->
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def _alike(batches: Iterator[pa.RecordBatch], shingle: int, similarity: float) -> Iterator[pa.RecordBatch]:
-    for batch in small_batches(batches, "a_text"):
-        keep = []
-        sets: dict[str, np.ndarray] = {}
-        for a, b in zip(batch.column("a_text").to_pylist(), batch.column("b_text").to_pylist()):
-            x, y = (sets.setdefault(t, np.unique(shingle_hashes(t, shingle))) if t not in sets else sets[t]
-                    for t in (a, b))
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            either = len(x) + len(y) - both
-            keep.append(both >= similarity * either)
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
+def without_near_copies(docs: DataFrame, shingle: int = 4, limit: int = 4) -> DataFrame:
+    """The documents, one of each class of near copies: that with the least id, all columns as they are.
 
-def common_shingles(docs: DataFrame, shingle: int, sample: int = SAMPLE, often: int = 20, most: int = 200_000) -> np.ndarray:
-    """Hashes of the shingles that many documents of a sample have, rarest first.
-
-    They only order shingles, so what the sample misses costs time, never a pair.
+    Classes are those of ``near_duplicate_classes``: fingerprints at ``limit``
+    or fewer differing bits. Texts without words have fingerprint zero and are
+    one class. Of rows with the same id one stays, and rows without an id stay.
     """
-    narrow = docs.where("text IS NOT NULL").select(F.col("text").cast("string").alias("text"))
-    every = max(1, narrow.count() // sample)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text", 1 << 20):
-            found = [np.unique(shingle_hashes(t, shingle)) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64), pa.int64())], names=["h"])
-
-    some = narrow.where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0)
-    counts = some.mapInArrow(run, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > often)
-    top = counts.orderBy(F.desc("n"), "h").limit(most).toPandas()
-    return top["h"].to_numpy(np.int64)[::-1].view(np.uint64)
-
-
-def prefix(hashes: np.ndarray, similarity: float, common: np.ndarray, ranks: np.ndarray) -> np.ndarray:
-    """The first shingles of a set in an order that all sets share: sets as similar share one of them.
-
-    Of n shingles at least ceil(similarity * n) are in both sets, so the first
-    n - ceil(similarity * n) + 1 can't all be missing from the other one, and the
-    least that both have is in both prefixes. ``common`` (sorted, with the place
-    of each in ``ranks``) comes last.
-    """
-    n = len(hashes)
-    if not n:
-        return hashes
-    take = n - math.ceil(similarity * n - 1e-9) + 1
-    if not len(common):
-        return np.sort(hashes)[:take]
-    at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
-    rank = np.where(common[at] == hashes, ranks[at] + 1, 0)
-    return hashes[np.lexsort((hashes, rank))[:take]]
-
-
-def _prefixes(docs: DataFrame, shingle: int, similarity: float, common: np.ndarray) -> DataFrame:
-    """doc_id, text_key (as of ``fingerprints``), n (shingles of the set), cells (those of its prefix)."""
-    ranks = np.argsort(common)
-    ordered = common[ranks]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
-            hashes = [shingle_hashes(t, shingle) for t in batch.column("text").to_pylist()]
-            sets = [np.unique(h) for h in hashes]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([xxhash.xxh3_128_digest(h.tobytes()) for h in hashes], pa.binary()),
-                 pa.array([len(x) for x in sets], pa.int64()),
-                 pa.array([prefix(x, similarity, ordered, ranks).view(np.int64) for x in sets], pa.list_(pa.int64()))],
-                names=["doc_id", "text_key", "n", "cells"])
-
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, text_key binary, n long, cells array<long>")
-
-
-def similar_components(nodes: DataFrame, similarity: float, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(node, component) of those nodes (node, n, cells) that have one as similar; ``verify`` drops the other pairs."""
-    cells = nodes.select(F.explode("cells").alias("cell"), "node", "n")
-    shared = (
-        cells.groupBy("cell").agg(F.min("node").alias("first"), F.max("node").alias("last"))
-        .where("first < last").select("cell"))
-    # most cells are one node's alone; the rest is small
-    met = stored(cells.join(shared.hint("merge"), "cell"), "met")
-
-    def alike_sizes(x: str, y: str) -> Column:
-        return F.least(x, y) >= F.lit(similarity) * F.greatest(x, y) - F.lit(1e-9)
-
-    firsts = met.groupBy("cell").agg(F.min(F.struct("node", "n")).alias("first")).select(
-        "cell", F.col("first.node").alias("a"), F.col("first.n").alias("a_n"))
-    stars = (
-        met.join(firsts.hint("merge"), "cell").where((F.col("node") != F.col("a")) & alike_sizes("n", "a_n"))
-        .select("a", F.col("node").alias("b")).distinct())
-    first = components(verify(stars))
-    labelled = stored(
-        met.join(first, "node", "left").select("cell", "node", "n", F.coalesce("component", "node").alias("label")), "labelled")
-    left = labelled.select("cell", F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("label").alias("a_label"))
-    right = labelled.select("cell", F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("label").alias("b_label"))
-    across = left.join(right.hint("merge"), "cell").where((F.col("a_label") < F.col("b_label")) & alike_sizes("a_n", "b_n"))
-    rest = verify(across.select("a", "b").distinct())
-    everything = first.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    return components(everything.union(rest))
-
-
-def without_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The documents, one of each group of near copies: that with the least id, all columns as they are.
-
-    Links are pairs whose sets of word shingles have a Jaccard similarity of
-    ``similarity`` or more; none is lost, as candidates come from prefixes of
-    the sets, not from fingerprints: at 0.8 these differ in 10 of 64 bits on
-    average, too far for tables. Texts of equal words are one group without any
-    comparison; texts without words are one group too. Of rows with the same
-    id one stays, and rows without an id stay.
-    """
-    common = common_shingles(docs, shingle)
-    marked = _prefixes(docs.where("doc_id IS NOT NULL"), shingle, similarity, common)
-    nodes = stored(
-        marked.groupBy("text_key").agg(F.min(F.struct("doc_id", "n", "cells")).alias("first"))
-        .select(F.col("first.doc_id").alias("node"), "first.n", "first.cells"), "nodes")
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        pairs = stored(pairs, "pairs")
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        needed = stored(texts.join(ends, "node").dropDuplicates(["node"]), "texts")
-        with_texts = (
-            pairs.join(needed.withColumnsRenamed({"node": "a", "text": "a_text"}), "a")
-            .join(needed.withColumnsRenamed({"node": "b", "text": "b_text"}), "b")
-        )
-        return with_texts.mapInArrow(lambda x: _alike(x, shingle, similarity), "a long, b long")
-
-    linked = similar_components(nodes, similarity, verify)
-    kept = nodes.select("node").join(linked.where("node <> component"), "node", "left_anti").select("node").distinct()
-    columns = [docs[c] for c in docs.columns]
-    mine = docs.select(*columns, F.col("doc_id").cast("long").alias("__node"))
-    keep = kept.select(F.col("node").alias("__node"))
-    unique = mine.where("doc_id IS NOT NULL").join(keep, "__node", "left_semi").dropDuplicates(["__node"])
-    return unique.unionByName(mine.where("doc_id IS NULL")).drop("__node")
+    key, copy = free_names(docs, "node", "copy")
+    classes = near_duplicate_classes(docs.where("doc_id IS NOT NULL"), shingle, limit)
+    # an id of several texts may be in several classes, and stays if it is the least of one
+    kept = classes.where(F.col("doc_id") == F.col("component_id")).groupBy(F.col("doc_id").alias(key)).agg(
+        F.count(F.lit(1)).alias(copy))
+    mine = docs.withColumn(key, F.col("doc_id").cast("long"))
+    met = mine.join(kept.hint("merge"), key)
+    once = met.where(F.col(copy) == 1).unionByName(met.where(F.col(copy) > 1).dropDuplicates([key]))
+    return once.drop(key, copy).unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
