@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from growthlake.functions.semantics import engagement_segment, exact_sum, money, ratio, share, week_start
+from growthlake.functions.semantics import engagement_segment, exact_sum, money, ratio, share
 from growthlake.functions.vocabulary import FUNNEL_LABELS, JOURNEY_STEPS
 from growthlake.plans.warehouse import Warehouse
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from growthlake.functions import semantics, standardise
-from growthlake.operators import core, history, ingest, quality, staging
+from growthlake.operators import history, ingest, quality, staging
 from growthlake.plans import audience, ingestion, refresh
 from growthlake.plans.metrics import METRICS
 from growthlake.plans.reports import REPORTS
