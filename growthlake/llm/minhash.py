@@ -1,24 +1,27 @@
 """Near-duplicate documents by bottom-k sketches from one hash function.
 
 Every shingle has one hash; a set's sketch is its ``KEPT`` least values. Sets
-are compared in three steps: inverted lists of the ``LISTED`` least values give
-the overlaps of sketches, the sketch of the union (the least values of both
-together) tells how similar two sets can be, and full sets decide.
-
-Two sets of the wanted similarity share at least ``shared(n)`` listed values: of
-the least values of their union each is in both with that chance. For small sets
-the bound is certain, for others it fails once in 3e9 pairs at the limit itself.
-So a pair is a candidate if the lists it shares, with those that are left out,
-can make up that number; and each set may leave out ``shared(n) - 1`` of its
-values, the most frequent ones first. Lists of up to ``OFTEN`` sets give their
-pairs. Longer ones are read only for sets that have too many frequent values
-(those of large groups of near copies, mostly): first everything is compared
-with one member of each list, then pairs of different components only.
+are compared in three steps: inverted lists of retained values give the overlaps
+of sketches, the sketch of the union (the least values of both together) tells
+how similar two sets can be, and full sets decide.
+
+Of the k least values of two sets of the wanted similarity, a number ``least``
+is in both: of the least values of their union each is with that chance. For
+small sets the bound is certain, for others it fails once in 1e9 pairs at the
+limit itself. So a pair is a candidate if the lists it shares, with those that
+are left out, can make up that number; and each set may leave out ``least - 1``
+of its values, the most frequent ones first. Lists of up to ``OFTEN`` sets give
+their pairs. Sets that have more frequent values than they may leave out meet
+again in lists of more values, and then of all, where a passage that many texts
+share is told apart from a text of which there are many near copies, and a copy
+that differs too much from all others by the values it has alone. Only the long
+lists of those that are still too frequent are read: first everything is
+compared with one member of each list, then pairs of different components only.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -27,16 +30,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from growthlake.llm.common import components, small_batches, stored
+from growthlake.llm.common import components, forget, small_batches, stored
 
 SEED = 42
-KEPT = 64
+KEPT = 128
 LISTED = 32
 OFTEN = 32
-STARS = 4
-# least numbers of shared values at a similarity of 0.8: binomial tails of 3e-10 for 32 and 1e-9 for 64 values
-SHARED_LISTED = 10
-SHARED_KEPT = 30
+STARS = 3
+# of so many least values, how many are shared at a similarity of 0.8: binomial tails of 3e-10 and 1e-9
+SHARED = {LISTED: 10, KEPT: 73}
+Least = Callable[[Column], Column]
 NO_VALUE = (1 << 63) - 2
 MEMORY = 1 << 20
 
@@ -104,26 +107,28 @@ def full_sets(docs: DataFrame, needed: DataFrame, shingle: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("id"), _lists(sets)], names=["id", "elements"]).filter(
                 pa.array(right, pa.bool_()))
 
-    texts = docs.where("text IS NOT NULL").select(docs["text"].cast("string").alias("text")).withColumn(
-        "text_key", F.xxhash64("text"))
-    # one row per node, though its text may stand in many rows
-    once = texts.join(needed.hint("shuffle_merge"), "text_key").dropDuplicates(["id"])
+    texts = docs.where("text IS NOT NULL").select(docs["text"].cast("string").alias("text")).withColumns({
+        "text_key": F.xxhash64("text"), "other_key": F.xxhash64(F.lit(1), "text")})
+    # one row per node, though its text may stand in many rows; other texts of the same key are told by their set
+    once = texts.join(needed.hint("shuffle_merge"), "text_key").dropDuplicates(["id", "other_key"])
     return once.select("id", "set_key", "text").mapInArrow(run, "id long, elements array<long>")
 
 
-def shared(n: Column) -> Column:
-    """How many listed values a set of n shingles has in common with any set that is similar enough, at least.
+def shared(n: Column, listed: int) -> Column:
+    """How many of its ``listed`` least values a set of n shingles has in common with any similar one's, at least.
 
-    A partner has at most n / 4 shingles that the set lacks. Up to 25 shingles
-    both sets are listed whole; up to 32 the partner's list may be cut.
+    A partner has at most n / 4 shingles that the set lacks. Up to four fifths
+    of ``listed`` both sets are listed whole; up to ``listed`` the partner's list
+    may be cut.
     """
     whole = F.ceil(n * 4 / 5)
-    cut = LISTED - F.floor(n / 4)
-    return F.when(n <= LISTED * 4 // 5, whole).when(n <= LISTED, F.least(whole, cut)).otherwise(F.lit(SHARED_LISTED))
+    cut = listed - F.floor(n / 4)
+    return F.when(n <= listed * 4 // 5, whole).when(n <= listed, F.least(whole, cut)).otherwise(F.lit(SHARED[listed]))
 
 
-def _sizes_fit(a: Column, b: Column) -> Column:
-    return F.least(a, b) * 5 >= F.greatest(a, b) * 4
+def _fit(a_n: Column, b_n: Column, overlap: Column) -> Column:
+    """Whether sets of these sizes are similar enough if they have so many elements in common."""
+    return overlap * 9 >= (a_n + b_n) * 4
 
 
 def _padded(column: pa.Array) -> np.ndarray:
@@ -145,7 +150,7 @@ def alike_sketches(a: np.ndarray, b: np.ndarray, a_n: np.ndarray, b_n: np.ndarra
     # sets that fit into their sketches are compared as they are
     small = np.maximum(a_n, b_n) <= KEPT
     overlap = twice.sum(axis=1)
-    return np.where(small, 5 * overlap >= 4 * (a_n + b_n - overlap), in_both >= SHARED_KEPT)
+    return np.where(small, 5 * overlap >= 4 * (a_n + b_n - overlap), in_both >= SHARED[KEPT])
 
 
 def by_sketch(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -179,24 +184,27 @@ def by_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").mapInArrow(run, "a long, b long")
 
 
-def _rare_candidates(rare: DataFrame, n_often: DataFrame) -> DataFrame:
+def _rare_candidates(rare: DataFrame, counts: DataFrame, least: Least, whole: bool) -> DataFrame:
     """Pairs that meet in lists of at most ``OFTEN`` sets as often as similar sets must."""
     member = F.struct("id", "n")
     lists = rare.groupBy("value").agg(F.sort_array(F.collect_list(member)).alias("members"))
     firsts = lists.select(F.explode("members").alias("first"), "members")
 
     def later(x: Column) -> Column:
-        return (x["id"] > F.col("first.id")) & _sizes_fit(x["n"], F.col("first.n"))
+        return (x["id"] > F.col("first.id")) & _fit(x["n"], F.col("first.n"), F.least(x["n"], F.col("first.n")))
 
     pairs = firsts.select("first", F.explode(F.filter("members", later)).alias("second"))
     met = pairs.groupBy(
         F.col("first.id").alias("a"), F.col("second.id").alias("b"), F.col("first.n").alias("a_n"),
         F.col("second.n").alias("b_n")).agg(F.count(F.lit(1)).alias("met"))
     for x in "ab":
-        of_x = n_often.select(F.col("id").alias(x), F.col("n_often").alias(f"{x}_often"))
-        met = met.join(of_x.hint("shuffle_merge"), x, "left")
-        met = met.withColumn(f"{x}_least", shared(F.col(f"{x}_n")) - F.coalesce(f"{x}_often", F.lit(0)))
-    return met.where(F.col("met") >= F.greatest("a_least", "b_least", F.lit(1))).select("a", "b")
+        of_x = counts.select(F.col("id").alias(x), F.col("n_often").alias(f"{x}_often"))
+        met = met.join(of_x.hint("shuffle_merge"), x)
+        met = met.withColumn(f"{x}_least", least(F.col(f"{x}_n")) - F.col(f"{x}_often"))
+    enough = F.col("met") >= F.greatest("a_least", "b_least", F.lit(1))
+    if whole:
+        enough = enough & _fit(F.col("a_n"), F.col("b_n"), F.col("met") + F.least("a_often", "b_often"))
+    return met.where(enough).select("a", "b")
 
 
 def _labels(links: list[DataFrame]) -> DataFrame:
@@ -214,51 +222,87 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return both.where("a_label <> b_label").select("a", "b")
 
 
-def set_links(docs: DataFrame, nodes: DataFrame, shingle: int) -> list[DataFrame]:
-    """Tables of links (a, b) that connect whatever the links of all pairs do."""
-    postings = nodes.select("id", "n", F.explode(F.slice("sketch", 1, LISTED)).alias("value"))
+def _meetings(postings: DataFrame, least: Least, whole: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Candidates (a, b) from the lists of the postings (id, n, value), and the long lists left to read.
+
+    Long lists are (value, id, n, n_often), the last being how many of the
+    node's values are in long lists. Where the postings are of whole sets, sets
+    that meet in no short list have no more than that in common.
+    """
     counts = postings.groupBy("value").agg(F.count(F.lit(1)).alias("n_sets")).where("n_sets > 1")
     met = stored(postings.join(counts.hint("shuffle_merge"), "value"), "postings")
-    often = met.where(F.col("n_sets") > OFTEN)
-    # at most 32 values of a node; the most frequent ones may be left out
-    values = often.groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("n_sets", "value"))).alias("values"))
-    values = stored(values, "frequent")
-    n_often = values.select("id", F.size("values").alias("n_often"))
-    too_many = values.withColumn("listed", F.size("values") - shared(F.col("n")) + 1).where("listed > 0")
+    # the values of one node; the most frequent ones may be left out
+    often = F.when(F.col("n_sets") > OFTEN, F.struct("n_sets", "value"))
+    values = met.groupBy("id", "n").agg(F.sort_array(F.collect_list(often)).alias("values"))
+    values = stored(values.withColumn("n_often", F.size("values").cast("long")), "frequent")
+    too_many = values.withColumn("kept", F.col("n_often") - least(F.col("n")) + 1).where("kept > 0")
     hot = stored(too_many.select(
-        "id", "n", F.explode(F.slice("values", F.lit(1), F.col("listed").cast("int"))).alias("v")
-    ).select("id", "n", "v.value"), "hot")
+        "id", "n", "n_often", F.explode(F.slice("values", F.lit(1), F.col("kept").cast("int"))).alias("v")
+    ).select("id", "n", "n_often", "v.value"), "hot")
+    rare = met.where(F.col("n_sets") <= OFTEN)
+    pairs = stored(_rare_candidates(rare, values.select("id", "n_often"), least, whole), "met")
+    forget(met, values)
+    return pairs, hot
+
 
-    met_often = _rare_candidates(met.where(F.col("n_sets") <= OFTEN), n_often)
-    near = stored(by_sketch(stored(met_often, "met"), nodes), "near")
-    needed = near.select(F.explode(F.array("a", "b")).alias("id")).union(hot.select("id")).distinct()
-    keys = nodes.select("id", "set_key", "text_key")
-    sets = stored(full_sets(docs, keys.join(needed.hint("shuffle_merge"), "id"), shingle), "sets")
+def set_links(docs: DataFrame, nodes: DataFrame, shingle: int) -> list[DataFrame]:
+    """Tables of links (a, b) that connect whatever the links of all pairs do."""
+    def listed(of: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+        postings = of.select("id", "n", F.explode(F.slice("sketch", 1, n)).alias("value"))
+        return _meetings(postings, lambda x: shared(x, n))
+
+    def only(of: DataFrame, ids: DataFrame) -> DataFrame:
+        return of.join(ids.select("id").distinct().hint("shuffle_merge"), "id", "left_semi")
+
+    first, frequent = listed(nodes, LISTED)
+    second, still = listed(only(nodes, frequent), KEPT)
+    near = stored(by_sketch(first.union(second).distinct(), nodes), "near")
+    forget(first, second, frequent)
+    needed = near.select(F.explode(F.array("a", "b")).alias("id")).union(still.select("id"))
+    sets = stored(full_sets(docs, only(nodes.select("id", "set_key", "text_key"), needed), shingle), "sets")
+    # what is too frequent in sketches meets by whole sets, for which the bound is certain
+    whole = only(sets, still).select("id", F.size("elements").cast("long").alias("n"), F.explode("elements").alias("value"))
+    third, hot = _meetings(whole, lambda n: F.ceil(n * 4 / 5), whole=True)
+    near = stored(near.union(by_sketch(third, nodes)).distinct(), "near")
+    forget(third, still)
 
     # each set with the least it has met; then what is still apart
     links = [stored(by_sets(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), sets), "links")]
     links.append(stored(by_sets(_apart(near, _labels(links)), sets), "links"))
-    if not hot.limit(1).count():
-        return links
+    forget(near)
+    if hot.limit(1).count():
+        links += _hot_links(hot, nodes, sets, links)
+    forget(hot, sets)
+    return links
+
+
+def _hot_links(hot: DataFrame, nodes: DataFrame, sets: DataFrame, known: list[DataFrame]) -> list[DataFrame]:
+    """More links, so that all nodes of long lists are connected that should be.
+
+    Pairs that share a short list are known already; others have only values of
+    long lists in common.
+    """
+    links: list[DataFrame] = []
     for turn in range(STARS):
-        labelled = _labelled(hot, _labels(links))
-        order = F.struct(F.xxhash64(F.lit(turn), "id").alias("order"), F.col("id"), F.col("n"), F.col("label"))
-        centres = labelled.groupBy("value").agg(F.min(order).alias("centre")).select(
-            "value", F.col("centre.id").alias("a"), F.col("centre.n").alias("a_n"), F.col("centre.label").alias("a_label"))
+        labelled = _labelled(hot, _labels([*known, *links]))
+        # the centre of a list is one of its largest component: at first the same one in lists of the same sets
+        chance = F.xxhash64("id") if turn == 0 else F.xxhash64(F.lit(turn), "value", "id")
+        order = F.struct(chance.alias("order"), F.col("id"), F.col("n"), F.col("n_often"), F.col("label"))
+        centres = labelled.groupBy("value", "label").agg(F.count(F.lit(1)).alias("size"), F.min(order).alias("centre")).groupBy(
+            "value").agg(F.max(F.struct("size", "centre")).alias("top")).select(
+            "value", F.col("top.centre.id").alias("a"), *(F.col(f"top.centre.{c}").alias(f"a_{c}") for c in ("n", "n_often", "label")))
         stars = labelled.join(centres.hint("shuffle_merge"), "value").where(
-            (F.col("label") != F.col("a_label")) & _sizes_fit(F.col("n"), F.col("a_n")))
-        stars = stored(by_sketch(stars.select("a", F.col("id").alias("b")).distinct(), nodes), "stars")
-        found = stored(by_sets(stars, sets), "links")
-        if not found.limit(1).count():
+            (F.col("label") != F.col("a_label")) & _fit(F.col("n"), F.col("a_n"), F.least("n_often", "a_n_often")))
+        links.append(stored(by_sets(by_sketch(stars.select("a", F.col("id").alias("b")).distinct(), nodes), sets), "links"))
+        if not links[-1].limit(1).count():
             break
-        links.append(found)
-    labelled = stored(_labelled(hot, _labels(links)), "labelled")
-    left = labelled.select("value", F.col("id").alias("a"), F.col("n").alias("a_n"), F.col("label").alias("a_label"))
-    right = labelled.select("value", F.col("id").alias("b"), F.col("n").alias("b_n"), F.col("label").alias("b_label"))
+    labelled = stored(_labelled(hot, _labels([*known, *links])), "labelled")
+    left, right = (labelled.select("value", *(F.col(c).alias(f"{x}_{c}") for c in ("id", "n", "n_often", "label"))) for x in "ab")
     across = left.join(right.hint("shuffle_merge"), "value").where(
-        (F.col("a_label") < F.col("b_label")) & _sizes_fit(F.col("a_n"), F.col("b_n")))
-    near = stored(by_sketch(across.select("a", "b").distinct(), nodes), "across")
-    links.append(stored(by_sets(near, sets), "links"))
+        (F.col("a_label") < F.col("b_label")) & _fit(F.col("a_n"), F.col("b_n"), F.least("a_n_often", "b_n_often")))
+    across = across.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
+    links.append(stored(by_sets(by_sketch(across, nodes), sets), "links"))
+    forget(labelled)
     return links
 
 
@@ -277,12 +321,16 @@ def near_duplicate_sets(docs: DataFrame, shingle: int = 2) -> DataFrame:
     sketched = stored(sketches(docs, shingle), "sketches")
     distinct = sketched.where("n > 0").dropDuplicates(["set_key"]).select("set_key", "n", "sketch", "text_key")
     nodes = stored(distinct.withColumn("id", F.monotonically_increasing_id()), "nodes")
-    named = _labelled(nodes.select("id", "set_key"), _labels(set_links(docs, nodes, shingle)))
-    least = sketched.groupBy("set_key").agg(F.min("doc_id").alias("least"))
+    keyed = stored(sketched.select("doc_id", "set_key", "n"), "keyed")
+    forget(sketched)
+    links = set_links(docs, nodes, shingle)
+    named = _labelled(nodes.select("id", "set_key"), _labels(links))
+    least = keyed.groupBy("set_key").agg(F.min("doc_id").alias("least"))
     named = stored(named.join(least, "set_key"), "named")
+    forget(nodes, *links)
     smallest = named.groupBy("label").agg(F.min("least").alias("smallest"))
     classes = named.join(smallest, "label").select("set_key", "smallest")
-    return sketched.join(classes.hint("shuffle_merge"), "set_key", "left").select(
+    return keyed.join(classes.hint("shuffle_merge"), "set_key", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("doc_id")).alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

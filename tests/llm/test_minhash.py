@@ -1,7 +1,9 @@
+import math
 import random
 
 import brute
 import numpy as np
+import pytest
 from growthlake.llm import minhash
 from growthlake.llm.common import table
 
@@ -57,11 +59,12 @@ def test_large_groups_use_the_long_lists(spark, monkeypatch):
         brute.similar_sets(list(enumerate(texts))))
 
 
-def test_shared_is_a_lower_bound(spark):
+@pytest.mark.parametrize("listed", [minhash.LISTED, minhash.KEPT])
+def test_shared_is_a_lower_bound(spark, listed):
     """No partner at 0.8 or more has fewer listed values in common, even if it lacks the least ones."""
     draw = np.random.default_rng(5)
-    for n in range(1, minhash.LISTED + 1):
-        bound = spark.range(1).select(minhash.shared(minhash.F.lit(n))).first()[0]
+    bounds = spark.range(1, listed + 1).select("id", minhash.shared(minhash.F.col("id"), listed).alias("bound")).collect()
+    for n, bound in bounds:
         for _ in range(60):
             x = np.unique(draw.integers(1 << 61, 1 << 62, n))
             more = draw.integers(0, n // 4 + 1)
@@ -69,7 +72,14 @@ def test_shared_is_a_lower_bound(spark):
             y = np.unique(np.concatenate([x[less:], draw.integers(0, 1 << (62 - draw.integers(2)), more)]))
             both = len(np.intersect1d(x, y))
             if 5 * both >= 4 * (len(x) + len(y) - both):
-                assert len(np.intersect1d(x[:minhash.LISTED], y[:minhash.LISTED])) >= bound
+                assert len(np.intersect1d(x[:listed], y[:listed])) >= bound
+
+
+@pytest.mark.parametrize("listed, tail", [(minhash.LISTED, 1e-9), (minhash.KEPT, 2e-9)])
+def test_shared_fails_for_long_sets_once_in_a_billion(listed, tail):
+    """Of the least values of a union each is in both sets with the chance of the similarity."""
+    chance = sum(math.comb(listed, k) * 0.8 ** k * 0.2 ** (listed - k) for k in range(minhash.SHARED[listed]))
+    assert chance < tail
 
 
 def test_query(spark):
