@@ -4,9 +4,11 @@ Fingerprints are compared with fixed reference fingerprints, the pivots. A
 table looks at some of the 64 bits and keeps, per fingerprint, its Hamming
 distance to every pivot over those bits: its coordinates. Two fingerprints that
 agree on the table's bits have a largest coordinate difference of 0 there, so
-equal coordinates are an equality join. Pairs that meet in a table are
-discarded if any distance to a pivot over all bits differs by more than the
-limit (a Hamming distance is never less), and the rest is verified.
+equal coordinates are an equality join. Each fingerprint's distances to the
+pivots over all bits are computed once and stored with it; pairs that meet in a
+table are discarded if the largest difference of these coordinates is over the
+limit (a Hamming distance is never less), and only the rest is verified.
+``pivot_counts`` tells how many pairs that spares.
 
 ``exact_tables(limit)`` lose no pair: 64 bits in ``limit + 2`` segments, one
 table for every two segments, and at most ``limit`` segments can differ.
@@ -20,6 +22,7 @@ link between components is lost. Cells are joined by key, so AQE splits a hot on
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from growthlake.llm.common import components, free_names, small_batches, stored
+from growthlake.llm.common import components, forget, free_names, small_batches, stored
 
 SEED = 42
 PIVOTS = 12
@@ -92,10 +95,24 @@ def _distance(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
+def with_coordinates(nodes: DataFrame) -> DataFrame:
+    """The nodes with ``at``: the fingerprint ``fp`` and its distances to the pivots, a byte each in two longs."""
+    each = [F.shiftleft(_distance(F.col("fp"), F.lit(p)).cast("long"), 8 * (k % 6)) for k, p in enumerate(pivots())]
+    low, high = (reduce(lambda x, y: x.bitwiseOR(y), part) for part in (each[:6], each[6:]))
+    return nodes.withColumn("at", F.struct("fp", low.alias("low"), high.alias("high"))).drop("fp")
+
+
+def _apart(a: Column, b: Column) -> Column:
+    """The largest difference of two fingerprints' stored coordinates."""
+    def coordinate(of: Column, k: int) -> Column:
+        return F.shiftrightunsigned(of["low" if k < 6 else "high"], 8 * (k % 6)).bitwiseAND(F.lit(255).cast("long"))
+
+    return F.greatest(*(F.abs(coordinate(a, k) - coordinate(b, k)) for k in range(PIVOTS)))
+
+
 def _near(a: Column, b: Column, limit: int) -> Column:
-    """Largest difference of the distances to the pivots first, then the distance itself."""
-    apart = [F.abs(_distance(a, F.lit(p)) - _distance(b, F.lit(p))) for p in pivots()]
-    return (F.greatest(*apart) <= limit) & (_distance(a, b) <= limit)
+    """Largest coordinate difference first, then the distance itself."""
+    return (_apart(a, b) <= limit) & (_distance(a["fp"], b["fp"]) <= limit)
 
 
 def _cells(nodes: DataFrame, tables: list[int]) -> DataFrame:
@@ -105,7 +122,7 @@ def _cells(nodes: DataFrame, tables: list[int]) -> DataFrame:
     ask for a merge: else a side many times the limit would be broadcast.
     """
     def cell(mask: Column) -> Column:
-        return F.xxhash64(mask, *(F.bit_count(F.col("fp").bitwiseXOR(F.lit(p)).bitwiseAND(mask)) for p in pivots()))
+        return F.xxhash64(mask, *(F.bit_count(F.col("at.fp").bitwiseXOR(F.lit(p)).bitwiseAND(mask)) for p in pivots()))
 
     masks = F.array(*(F.lit(_signed(m)) for m in tables))
     return nodes.select("*", F.explode(F.transform(masks, cell)).alias("cell"))
@@ -113,24 +130,21 @@ def _cells(nodes: DataFrame, tables: list[int]) -> DataFrame:
 
 def link_components(nodes: DataFrame, tables: list[int], limit: int) -> DataFrame:
     """(node, component) of the stored ``nodes`` (node, fp) that have a link; component is the least node."""
+    nodes = stored(with_coordinates(nodes), "coordinates")
     cells = _cells(nodes, tables)
     firsts = (
-        cells.groupBy("cell").agg(F.min(F.struct("node", "fp")).alias("first"), F.max("node").alias("last"))
-        .where("first.node < last").select("cell", F.col("first.node").alias("a"), F.col("first.fp").alias("a_fp"))
+        cells.groupBy("cell").agg(F.min(F.struct("node", "at")).alias("first"), F.max("node").alias("last"))
+        .where("first.node < last").select("cell", F.col("first.node").alias("a"), F.col("first.at").alias("a_at"))
     )
     stars = (
-        cells.join(firsts.hint("merge"), "cell").where((F.col("node") != F.col("a")) & _near(F.col("fp"), F.col("a_fp"), limit))
+        cells.join(firsts.hint("merge"), "cell").where((F.col("node") != F.col("a")) & _near(F.col("at"), F.col("a_at"), limit))
         .select("a", F.col("node").alias("b")).distinct()
     )
     first = components(stars)
     labelled = stored(
-        nodes.join(first, "node", "left").select("node", "fp", F.coalesce("component", "node").alias("label")), "nodes")
-    cells = _cells(labelled, tables)
-    left = cells.select("cell", F.col("node").alias("a"), F.col("fp").alias("a_fp"), F.col("label").alias("a_label"))
-    right = cells.select("cell", F.col("node").alias("b"), F.col("fp").alias("b_fp"), F.col("label").alias("b_label"))
-    across = left.join(
-        right.hint("merge"), (left["cell"] == right["cell"]) & (F.col("a_label") < F.col("b_label"))
-        & _near(F.col("a_fp"), F.col("b_fp"), limit))
+        nodes.join(first, "node", "left").select("node", "at", F.coalesce("component", "node").alias("label")), "nodes")
+    forget(nodes)
+    across = _across(labelled, tables).where(_near(F.col("a_at"), F.col("b_at"), limit))
     pairs = stored(across.select("a", "b").distinct(), "across")
     by_node = labelled.select("node", "label")
     links = (
@@ -142,6 +156,27 @@ def link_components(nodes: DataFrame, tables: list[int], limit: int) -> DataFram
         "node", F.coalesce("joined", "label").alias("component"))
 
 
+def _across(labelled: DataFrame, tables: list[int]) -> DataFrame:
+    """Pairs (a, a_at, b, b_at) of nodes (node, at, label) that meet in a cell under different labels."""
+    cells = _cells(labelled, tables)
+    left = cells.select("cell", F.col("node").alias("a"), F.col("at").alias("a_at"), F.col("label").alias("a_label"))
+    right = cells.select("cell", F.col("node").alias("b"), F.col("at").alias("b_at"), F.col("label").alias("b_label"))
+    return left.join(
+        right.hint("merge"), (left["cell"] == right["cell"]) & (F.col("a_label") < F.col("b_label")))
+
+
+def pivot_counts(nodes: DataFrame, tables: list[int], limit: int) -> DataFrame:
+    """One row: ``met`` pairs of ``nodes`` (node, fp) in cells, ``passed`` the coordinates, ``linked`` by distance.
+
+    A pair counts once per cell it meets in. For measuring: this looks at all pairs of each cell.
+    """
+    met = _across(with_coordinates(nodes).withColumn("label", F.col("node")), tables)
+    a, b = F.col("a_at"), F.col("b_at")
+    return met.agg(
+        F.count(F.lit(1)).alias("met"), F.count_if(_apart(a, b) <= limit).alias("passed"),
+        F.count_if(_distance(a["fp"], b["fp"]) <= limit).alias("linked"))
+
+
 def near_duplicate_classes(docs: DataFrame, shingle: int = 4, limit: int = 4) -> DataFrame:
     """Per document: doc_id, fingerprint (16 hex digits), component_id (least doc_id reachable over links).
 
