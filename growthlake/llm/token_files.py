@@ -1,17 +1,19 @@
 """Token ids as binary shard files in ascending order of document id, and reading them back.
 
 Documents are dealt out by ranges of their ids, so shard k holds the ids before
-those of shard k + 1, and each task streams its range into one file. A file is
-written under a name of its attempt and then moved to its final name; a
-repeated task writes the same bytes again, so a lost executor does no harm.
+those of shard k + 1, and each task streams its range into one file. Each
+attempt of a task writes a file of its own name, which gets its final form by a
+move once it is whole; the manifest, committed by Spark, names the files that
+count, so repeated tasks and lost executors do no harm.
 
 Cases: null text counts as empty and yields just the end id; null ids come
-first; rows with equal ids are all kept, in order of a hash of their text;
-an empty table writes no shard; other columns are ignored.
+first; rows with equal ids are all kept, in order of a hash of their text, and
+may lie in several shards; an empty table writes no shard; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import sys
@@ -32,8 +34,11 @@ from growthlake.llm.pfor import ShardReader, ShardWriter
 from growthlake.session import new_folder
 
 END_ID = 0
-# pieces a worker remembers; more are encoded each time they occur
-CACHE_PIECES = 800_000
+# a worker remembers the pieces of the present generation and of the one before; a generation ends at this size
+GENERATION_PIECES = 600_000
+GENERATION_CHARS = 16_000_000
+# words encoded as one text
+RUN = 1024
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 # white space other than the space and the line end
 _ODD_SPACES = frozenset(c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace() and c not in " \n")
@@ -43,13 +48,45 @@ def _regular(piece: str) -> bool:
     return bool(piece) and not piece[0].isspace() and not piece[-1].isspace()
 
 
-class _Known(dict):
-    """Ids of pieces met before; what is not kept is looked up among those of the present batch."""
+# a piece after a space is named by its text, one after no space by a tuple of its text
+Piece = str | tuple[str]
 
-    now: dict[str, bytes]
 
-    def __missing__(self, piece: str) -> bytes:
-        return self.now[piece]
+class _Pieces:
+    """Pieces by number, with the ids of all in one array."""
+
+    def __init__(self):
+        self.number: dict[Piece, int] = {}
+        self.ends, self.ids = array("q", [0]), array("I")
+        self.chars = 0
+
+    def add(self, pieces: list[Piece], ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.number.update(zip(pieces, range(len(self.number), len(self.number) + len(pieces))))
+        self.ends.frombytes((len(self.ids) + np.cumsum(lengths, dtype=np.int64)).tobytes())
+        self.ids.frombytes(ids.tobytes())
+        self.chars += sum(len(p) if type(p) is str else len(p[0]) for p in pieces)
+
+    def of(self, pieces: list[Piece]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of known pieces, one after the other, and how many each has."""
+        number = np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
+        ends, ids = np.frombuffer(self.ends, np.int64), np.frombuffer(self.ids, np.uint32)
+        starts = ends[number]
+        lengths = ends[number + 1] - starts
+        stops = np.cumsum(lengths)
+        return ids[np.arange(lengths.sum()) + np.repeat(starts - stops + lengths, lengths)], lengths
+
+    def full(self) -> bool:
+        return len(self.number) >= GENERATION_PIECES or self.chars >= GENERATION_CHARS
+
+
+def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of consecutive groups of the values, each of ``counts`` of them."""
+    total, ends = np.concatenate([[0], np.cumsum(values)]), np.cumsum(counts)
+    return total[ends] - total[ends - counts]
+
+
+def _joined(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(found), np.uint32), np.array([len(x) // 4 for x in found], np.int64)
 
 
 class Encoder:
@@ -70,13 +107,26 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.split = split
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.marks = dict(zip(".,\n", self._whole([*".,\n"])))
-        self.known = _Known()
+        vocabulary = self.tokenizer.get_vocab()
+        # byte-level vocabularies write the space as this letter
+        self.after_space = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.after_space[[k for token, k in vocabulary.items() if token.startswith("\u0120")]] = True
+        self.known, self.before = _Pieces(), _Pieces()
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
 
+    def _run(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words after a space, many words a text: a token that begins with a space begins the next word."""
+        runs = self._whole(["".join([f" {w}" for w in words[k:k + RUN]]) for k in range(0, len(words), RUN)])
+        ids = np.frombuffer(b"".join(runs), np.uint32)
+        starts = np.flatnonzero(self.after_space[ids])
+        if len(starts) != len(words):
+            # not a byte-level vocabulary
+            return _joined(self._whole([" " + w for w in words]))
+        return ids, np.diff(starts, append=len(ids))
+
     def _pieces(self, text: str) -> list[str]:
         """The text as pieces, each but the first with the space before it left off."""
         if not self.split or any(s in text for s in self.special):
@@ -87,53 +137,77 @@ class Encoder:
             pieces = _LONE_SPACE.split(text)
         return pieces
 
-    def _cut(self, piece: str) -> list[tuple[str, str]]:
-        """A spaced piece as (kind, part): " " for a part after a space, "" for one after none, "." for a mark."""
-        if piece[-1] in ".," and piece[:-1].isalpha():
-            return [(" ", piece[:-1]), (".", piece[-1])]
+    def _cut(self, piece: str) -> list[Piece]:
+        """The parts of a piece after a space."""
         if piece.isalpha():
-            return [(" ", piece)]
-        parts, before = [], " "
+            return [piece]
+        if piece[-1] in ".," and piece[:-1].isalpha():
+            return [piece[:-1], (piece[-1],)]
         lines = piece.split("\n")
         if not all(map(_regular, lines)):
-            return [(before, piece)]
+            return [piece]
+        parts: list[Piece] = []
         for number, line in enumerate(lines):
+            mark = line[-1] in ".," and line[:-1].isalpha()
+            word = line[:-1] if mark else line
             if number:
-                parts.append((".", "\n"))
-                before = ""
-            if line[-1] in ".," and line[:-1].isalpha():
-                parts += [(before, line[:-1]), (".", line[-1])]
+                parts += [("\n",), (word,)]
             else:
-                parts.append((before, line))
+                parts.append(word)
+            if mark:
+                parts.append((line[-1],))
         return parts
 
+    def _again(self, pieces: set[Piece]) -> set[Piece]:
+        """Takes pieces over from the generation before; returns those that neither knows."""
+        fresh = pieces.difference(self.known.number)
+        again = [p for p in fresh if p in self.before.number]
+        self.known.add(again, *self.before.of(again))
+        return fresh.difference(again)
+
+    def _learn(self, pieces: set[Piece]) -> None:
+        if self.known.full():
+            self.before, self.known = self.known, _Pieces()
+        fresh = self._again(pieces)
+        cut = {p: parts for p in fresh if type(p) is str and len(parts := self._cut(p)) > 1}
+        single = fresh.difference(cut).union(self._again({part for parts in cut.values() for part in parts}))
+        bare = [p for p in single if type(p) is tuple]
+        words = [p for p in single if type(p) is str and (p.isalpha() or p.split() == [p])]
+        spaced = [p for p in single.difference(words) if type(p) is str]
+        self.known.add(bare, *_joined(self._whole([p for p, in bare])))
+        self.known.add(words, *self._run(words))
+        self.known.add(spaced, *_joined(self._whole([" " + p for p in spaced])))
+        ids, lengths = self.known.of([part for parts in cut.values() for part in parts])
+        self.known.add(list(cut), ids, _sums(lengths, np.array([len(x) for x in cut.values()], np.int64)))
+
+    def encode_all(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and how many each text has."""
+        # nothing here refers to itself; looking for such rings would walk all pieces over and over
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encoded(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encoded(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        flat: list[Piece] = []
+        counts = []
+        for text in texts:
+            before = len(flat)
+            if text:
+                first, *rest = self._pieces(text)
+                flat.append((first,))
+                flat += rest
+            counts.append(len(flat) - before)
+        self._learn(set(flat))
+        ids, lengths = self.known.of(flat)
+        return ids, _sums(lengths, np.array(counts, np.int64))
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        pieces = [self._pieces(t) if t else [] for t in texts]
-        firsts = dict.fromkeys(p[0] for p in pieces if p)
-        known = self.known
-        fresh = set().union(*(p[1:] for p in pieces)).difference(known)
-        cut = {piece: self._cut(piece) for piece in fresh}
-        plain = {part for parts in cut.values() for kind, part in parts if kind == " "}
-        bare = {part for parts in cut.values() for kind, part in parts if kind == ""}
-        plain = [p for p in plain if p not in known]
-        bare = list(bare.union(firsts))
-        spaced_ids = dict(zip(plain, self._whole([" " + p for p in plain])))
-        bare_ids = dict(zip(bare, self._whole(bare)))
-
-        known.now = spaced_ids
-        of = {".": self.marks, "": bare_ids, " ": known}
-        now = {piece: b"".join([of[kind][part] for kind, part in parts]) for piece, parts in cut.items()}
-        if len(known) < CACHE_PIECES:
-            known.update(spaced_ids)
-            known.update((p, x) for p, x in now.items() if len(p) <= 32)
-        known.now = now
-        out = []
-        for p in pieces:
-            if not p:
-                out.append(b"")
-                continue
-            out.append(bare_ids[p[0]] + b"".join(map(known.__getitem__, p[1:])))
-        return out
+        ids, lengths = self.encode_all(texts)
+        return [x.tobytes() for x in np.split(ids, np.cumsum(lengths))[:-1]]
 
 
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
@@ -152,39 +226,42 @@ def _filesystem(folder: str) -> tuple[fs.FileSystem, str]:
 
 
 def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, split: bool = True) -> DataFrame:
-    """Writes ``<folder>/part-NNNNN.pfor``; returns the stored manifest: shard, path, n_docs, n_tokens."""
+    """Writes ``<folder>/part-NNNNN-<attempt>.pfor``; returns the stored manifest: shard, path, n_docs, n_tokens."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
-        encode, end = encoder(tokenizer, split).encode, np.array([end_id], "<u4").tobytes()
+        encode = encoder(tokenizer, split).encode_all
         writer = out = None
         store, root = _filesystem(folder)
-        temporary = f"{root}/_{shard:05d}-{uuid.uuid4().hex}"
+        attempt = f"part-{shard:05d}-{uuid.uuid4().hex}.pfor"
+        temporary, whole = f"{root}/_{attempt}", False
         try:
             for batch in small_batches(batches, "text", 6 << 20):
                 if writer is None:
                     store.create_dir(root, recursive=True)
                     out = store.open_output_stream(temporary)
                     writer = ShardWriter(out)
-                ids = [x + end for x in encode(batch.column("text").to_pylist())]
-                writer.add(batch.column("doc_id").to_pylist(), [len(x) // 4 for x in ids],
-                           np.frombuffer(b"".join(ids), "<u4"))
+                ids, lengths = encode(batch.column("text").to_pylist())
+                ids = np.insert(ids, np.cumsum(lengths), end_id)
+                writer.add(batch.column("doc_id").to_pylist(), (lengths + 1).tolist(), ids.astype("<u4", copy=False))
             if writer is None:
                 return
             writer.close()
+            whole = True
         finally:
             if out is not None:
                 out.close()
-        name = f"{root}/part-{shard:05d}.pfor"
-        store.move(temporary, name)
+                if not whole:
+                    store.delete_file(temporary)
+        store.move(temporary, f"{root}/{attempt}")
         yield pa.RecordBatch.from_pydict({
-            "shard": pa.array([shard], pa.int64()), "path": [f"{folder}/part-{shard:05d}.pfor"],
+            "shard": pa.array([shard], pa.int64()), "path": [f"{folder}/{attempt}"],
             "n_docs": pa.array([writer.count["lengths"]], pa.int64()),
             "n_tokens": pa.array([writer.count["tokens"]], pa.int64())})
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = narrow.repartitionByRange("doc_id").sortWithinPartitions(
-        F.asc_nulls_first("doc_id"), F.xxhash64("text"))
+    order = F.asc_nulls_first("doc_id"), F.xxhash64("text")
+    ordered = narrow.repartitionByRange(*order).sortWithinPartitions(*order)
     return stored(ordered.mapInArrow(write, "shard long, path string, n_docs long, n_tokens long"), "manifest")
 
 

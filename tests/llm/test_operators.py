@@ -1,6 +1,7 @@
 """Each operator on odd rows against brute force, on an empty table, and its parts on their own."""
 
 import io
+import itertools
 import random
 import zlib
 from collections import Counter
@@ -45,6 +46,22 @@ def test_exact_tables_meet_every_pair_within_the_limit():
             assert any(differ & mask == 0 for mask in tables)
 
 
+def test_coordinates_discard_pairs_and_lose_no_link(spark):
+    draw = random.Random(8)
+    base = [draw.getrandbits(64) for _ in range(60)]
+    prints = {x ^ sum(1 << draw.randrange(64) for _ in range(k)) & (1 << 64) - 1 for x in base for k in range(6)}
+    # all agree on the low 32 bits, so many pairs meet that are no links
+    prints = sorted({simhash._signed(x >> 32 << 32 | 7) for x in prints})
+    nodes = spark.createDataFrame([(x, x) for x in prints], "node long, fp long")
+    pairs = [(a, b) for i, a in enumerate(prints) for b in prints[:i]]
+    near = [p for p in pairs if ((p[0] ^ p[1]) & (1 << 64) - 1).bit_count() <= 4]
+    found = simhash.pivot_counts(nodes, [(1 << 32) - 1], 4).first()
+    far = [max(abs(((a ^ p) & (1 << 64) - 1).bit_count() - ((b ^ p) & (1 << 64) - 1).bit_count())
+               for p in simhash.pivots()) for a, b in pairs]
+    assert (found.met, found.passed, found.linked) == (len(pairs), sum(f <= 4 for f in far), len(near))
+    assert found.linked < found.passed < 0.2 * found.met
+
+
 def test_simhash_links_a_chain(spark):
     """Fingerprints in steps of four bits are one class, though its ends differ by far more."""
     prints = [(i, sum(1 << b for b in range(4 * i))) for i in range(12)] + [(99, 0x5555_5555_5555_5555)]
@@ -109,6 +126,35 @@ def test_pieces_encode_like_whole_texts():
         assert encoder.encode(texts) == encoder._whole(texts)
 
 
+def test_pieces_of_many_generations(monkeypatch):
+    monkeypatch.setattr(token_files, "GENERATION_PIECES", 40)
+    encoder = token_files.Encoder(TOKENIZER)
+    draw = random.Random(4)
+    words = ["".join(draw.choices("abcé1'.,\n", k=draw.randint(1, 6))) for _ in range(300)]
+    for _ in range(40):
+        texts = [None, "", *(" ".join(draw.choices(words, k=draw.randint(1, 30))) for _ in range(10))]
+        assert encoder.encode(texts) == encoder._whole([t or "" for t in texts])
+    assert len(encoder.known.number) < 1000
+
+
+def test_rows_of_one_id_fill_several_shards(spark, tmp_path):
+    # ranges this small would be joined to one
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        _several_shards(spark, tmp_path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def _several_shards(spark, tmp_path):
+    docs = spark.createDataFrame([(None, f"text {i}") for i in range(400)], "doc_id long, text string").repartition(4)
+    manifest = token_files.write_shards(docs, f"file://{tmp_path}/shards", TOKENIZER)
+    assert manifest.count() > 1 and manifest.agg({"n_docs": "sum"}).first()[0] == 400
+    found = token_files.read_shards(manifest)
+    assert [r.start for r in found.orderBy("start").collect()] == list(itertools.accumulate(
+        [r.n_tokens for r in found.orderBy("start").collect()][:-1], initial=0))
+
+
 @pytest.mark.parametrize("values", [
     [7], [0] * 70_000, [-(2 ** 63), 2 ** 63 - 1, 0], list(range(200_000)), [5] * 1000 + [2 ** 40] + [6] * 100])
 def test_blocks_round_trip(values):
