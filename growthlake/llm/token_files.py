@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -35,7 +36,7 @@ from growthlake.session import new_folder
 
 END_ID = 0
 # a worker remembers the pieces of the present generation and of the one before; a generation ends at this size
-GENERATION_PIECES = 600_000
+GENERATION_PIECES = 400_000
 GENERATION_CHARS = 16_000_000
 # words encoded as one text
 RUN = 1024
@@ -66,19 +67,25 @@ class _Pieces:
         self.ids.frombytes(ids.tobytes())
         self.chars += sum(len(p) if type(p) is str else len(p[0]) for p in pieces)
 
-    def of(self, pieces: list[Piece]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of known pieces, one after the other, and how many each has."""
-        number = np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
+    def numbers(self, pieces: list[Piece]) -> np.ndarray:
+        return np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
+
+    def of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces by number, one after the other, and how many each has."""
         ends, ids = np.frombuffer(self.ends, np.int64), np.frombuffer(self.ids, np.uint32)
-        starts = ends[number]
-        lengths = ends[number + 1] - starts
-        stops = np.cumsum(lengths)
-        return ids[np.arange(lengths.sum()) + np.repeat(starts - stops + lengths, lengths)], lengths
+        starts = ends[numbers]
+        lengths = ends[numbers + 1] - starts
+        return ids[_places(starts, lengths)], lengths
 
     def full(self) -> bool:
         return len(self.number) >= GENERATION_PIECES or self.chars >= GENERATION_CHARS
 
 
+def _places(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of runs, one run after the other."""
+    return np.arange(lengths.sum()) + np.repeat(starts - np.cumsum(lengths) + lengths, lengths)
+
+
 def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Sums of consecutive groups of the values, each of ``counts`` of them."""
     total, ends = np.concatenate([[0], np.cumsum(values)]), np.cumsum(counts)
@@ -112,6 +119,9 @@ class Encoder:
         self.after_space = np.zeros(max(vocabulary.values()) + 1, bool)
         self.after_space[[k for token, k in vocabulary.items() if token.startswith("\u0120")]] = True
         self.known, self.before = _Pieces(), _Pieces()
+        # texts that can't be cut at every space
+        spaces = "".join(f"\\x{{{ord(c):x}}}" for c in sorted(_ODD_SPACES))
+        self.odd = "|".join([r"\A\z|\A[ \n]|[ \n]\z|  | \n|\n ", f"[{spaces}]", *map(re.escape, self.special)])
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -162,7 +172,7 @@ class Encoder:
         """Takes pieces over from the generation before; returns those that neither knows."""
         fresh = pieces.difference(self.known.number)
         again = [p for p in fresh if p in self.before.number]
-        self.known.add(again, *self.before.of(again))
+        self.known.add(again, *self.before.of(self.before.numbers(again)))
         return fresh.difference(again)
 
     def _learn(self, pieces: set[Piece]) -> None:
@@ -177,36 +187,56 @@ class Encoder:
         self.known.add(bare, *_joined(self._whole([p for p, in bare])))
         self.known.add(words, *self._run(words))
         self.known.add(spaced, *_joined(self._whole([" " + p for p in spaced])))
-        ids, lengths = self.known.of([part for parts in cut.values() for part in parts])
+        ids, lengths = self.known.of(self.known.numbers([part for parts in cut.values() for part in parts]))
         self.known.add(list(cut), ids, _sums(lengths, np.array([len(x) for x in cut.values()], np.int64)))
 
-    def encode_all(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and how many each text has."""
         # nothing here refers to itself; looking for such rings would walk all pieces over and over
         collects = gc.isenabled()
         gc.disable()
         try:
-            return self._encoded(texts)
+            return self._encoded(pc.fill_null(texts, ""))
         finally:
             if collects:
                 gc.enable()
 
-    def _encoded(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        flat: list[Piece] = []
+    def _encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        odd = pc.match_substring_regex(texts, self.odd) if self.split else pa.array([True] * len(texts), pa.bool_())
+        # most texts are cut at every space, and their different words looked up once
+        lists = pc.split_pattern(texts.filter(pc.invert(odd)), " ")
+        words = lists.flatten().dictionary_encode()
+        each = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        starts = np.cumsum(each) - each
+        different = words.dictionary.to_pylist()
+        firsts = [(p,) for p in words.take(pa.array(starts)).to_pylist()]
+        others: list[Piece] = []
         counts = []
-        for text in texts:
-            before = len(flat)
-            if text:
-                first, *rest = self._pieces(text)
-                flat.append((first,))
-                flat += rest
-            counts.append(len(flat) - before)
-        self._learn(set(flat))
-        ids, lengths = self.known.of(flat)
-        return ids, _sums(lengths, np.array(counts, np.int64))
+        for text in texts.filter(odd).to_pylist():
+            first, *rest = self._pieces(text) if text else [None]
+            others += [(first,), *rest] if text else []
+            counts.append(len(rest) + bool(text))
+        self._learn(set(different).union(firsts, others))
+        numbers = self.known.numbers(different)[words.indices.to_numpy()]
+        numbers[starts] = self.known.numbers(firsts)
+        if counts:
+            # back to the order of the texts
+            is_odd = odd.to_numpy(zero_copy_only=False)
+            lengths = np.zeros(len(texts), np.int64)
+            begin = lengths.copy()
+            lengths[~is_odd], lengths[is_odd] = each, counts
+            begin[~is_odd], begin[is_odd] = starts, len(numbers) + np.cumsum(counts) - counts
+            numbers = np.concatenate([numbers, self.known.numbers(others)])[_places(begin, lengths)]
+            each = lengths
+        ids, lengths = self.known.of(numbers)
+        return ids, _sums(lengths, each)
+
+    def rest(self) -> None:
+        """Between tasks a worker holds one generation only."""
+        self.before = _Pieces()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        ids, lengths = self.encode_all(texts)
+        ids, lengths = self.encode_all(pa.array(texts, pa.string()))
         return [x.tobytes() for x in np.split(ids, np.cumsum(lengths))[:-1]]
 
 
@@ -230,24 +260,25 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
-        encode = encoder(tokenizer, split).encode_all
+        known = encoder(tokenizer, split)
         writer = out = None
         store, root = _filesystem(folder)
         attempt = f"part-{shard:05d}-{uuid.uuid4().hex}.pfor"
         temporary, whole = f"{root}/_{attempt}", False
         try:
-            for batch in small_batches(batches, "text", 6 << 20):
+            for batch in small_batches(batches, "text", 4 << 20):
                 if writer is None:
                     store.create_dir(root, recursive=True)
                     out = store.open_output_stream(temporary)
                     writer = ShardWriter(out)
-                ids, lengths = encode(batch.column("text").to_pylist())
+                ids, lengths = known.encode_all(batch.column("text"))
                 ids = np.insert(ids, np.cumsum(lengths), end_id)
                 writer.add(batch.column("doc_id").to_pylist(), (lengths + 1).tolist(), ids.astype("<u4", copy=False))
             if writer is None:
                 return
             writer.close()
             whole = True
+            known.rest()
         finally:
             if out is not None:
                 out.close()
