@@ -10,7 +10,9 @@ run again, and one that comes again, whole or in part, changes nothing.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,9 +96,8 @@ def _content(df: DataFrame, columns: list[str]) -> Column:
     return F.xxhash64(F.to_json(F.struct(*(F.col(c) for c in columns if c in df.columns))))
 
 
-def _buckets_changed(existing: DataFrame | None, incoming: DataFrame, key: str) -> list[int]:
+def _buckets_changed(existing: DataFrame | None, newest: DataFrame, key: str) -> list[int]:
     """The buckets with a key that is new, or newer than in the table; at most one row each comes to the driver."""
-    newest = merge_latest([incoming], key)
     if existing is not None:
         columns = sorted({*newest.columns, *existing.columns})
         here = existing.select(
@@ -109,7 +110,11 @@ def _buckets_changed(existing: DataFrame | None, incoming: DataFrame, key: str)
 
 
 def _merge(spark: SparkSession, path: str, key: str, incoming: DataFrame, before: Commit) -> Commit | None:
-    """Rewrites the buckets that the load changes; the files of all others stay, unread if it has no key of theirs."""
+    """Rewrites the buckets that the load changes; the files of all others stay, unread if it has no key of theirs.
+
+    The load is computed once: the first one goes straight to the table, later
+    ones are held on the executors' disks while they are compared and merged.
+    """
     def bucketed(df: DataFrame) -> DataFrame:
         return df.withColumn(BUCKET, bucket_of(key, before.buckets))
 
@@ -117,21 +122,33 @@ def _merge(spark: SparkSession, path: str, key: str, incoming: DataFrame, before
         folders = sorted(f for b in buckets for f in before.folders.get(str(b), []))
         return bucketed(committed.read_folders(spark, path, folders)) if folders else None
 
-    incoming = bucketed(incoming)
-    met = sorted(r[0] for r in incoming.select(BUCKET).distinct().collect())
-    changed = _buckets_changed(existing(met), incoming, key)
-    if not changed:
-        return None if before.version else Commit(1, buckets=before.buckets)
-    old = existing(changed)
-    loads = [incoming.where(F.col(BUCKET).isin(changed))]
-    merged = merge_latest(loads if old is None else [old, *loads], key)
-    folder = committed.new_data_folder()
-    merged.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{path}/{folder}")
-    new = {str(b): [f"{folder}/{BUCKET}={b}"] for b in changed}
+    def written(merged: DataFrame) -> dict[str, list[str]]:
+        folder = committed.new_data_folder()
+        merged.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{path}/{folder}")
+        named = [n for n in committed.names_in(spark, f"{path}/{folder}") if n.startswith(f"{BUCKET}=")]
+        return {n.partition("=")[2]: [f"{folder}/{n}"] for n in named}
+
+    newest = merge_latest([bucketed(incoming)], key)
+    if not before.folders:
+        folders = written(newest)
+        if not folders and before.version:
+            return None
+        return Commit(before.version + 1, folders, None, before.buckets)
+    newest = newest.persist(StorageLevel.DISK_ONLY)
+    try:
+        met = sorted(r[0] for r in newest.select(BUCKET).distinct().collect())
+        changed = _buckets_changed(existing(met), newest, key)
+        if not changed:
+            return None
+        old = existing(changed)
+        loads = [newest.where(F.col(BUCKET).isin(changed))]
+        new = written(merge_latest(loads if old is None else [old, *loads], key))
+    finally:
+        newest.unpersist()
     return Commit(before.version + 1, {**before.folders, **new}, None, before.buckets)
 
 
-def run(spark: SparkSession, landed: Mapping[str, DataFrame], root: str, since: str | None = None) -> None:
-    """A load of every collection that has landed."""
-    for name, incoming in landed.items():
-        load(spark, name, incoming, root, since)
+def run(spark: SparkSession, landed: Mapping[str, DataFrame], root: str, since: str | None = None, threads: int = 4) -> None:
+    """A load of every collection that has landed, a few at a time."""
+    with ThreadPoolExecutor(threads) as pool:
+        list(pool.map(lambda name: load(spark, name, landed[name], root, since), landed))
