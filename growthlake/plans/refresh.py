@@ -16,10 +16,11 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from growthlake.functions.vocabulary import ACTIVATION_SIGNALS, SIGNUP_EVENT
@@ -108,9 +109,8 @@ class Refresh:
 
     def _written(self, name: str, df: DataFrame, partition_by: str | None = None) -> str:
         folder = f"{self.data}/{name}"
-        writer = df.hint("rebalance", partition_by) if partition_by else df.hint("rebalance")
-        writer = writer.write
-        (writer.partitionBy(partition_by) if partition_by else writer).parquet(f"{self.root}/{folder}")
+        writer = df.hint("rebalance", partition_by).write.partitionBy(partition_by) if partition_by else df.write
+        writer.parquet(f"{self.root}/{folder}")
         columns = [f for f in df.schema if f.name != partition_by]
         self.schemas[name] = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
         return folder
@@ -127,12 +127,15 @@ class Refresh:
         self.changed.add(name)
 
     def write_whole(self, name: str, df: DataFrame) -> None:
-        """Replaces a table; one with the same rows as before stays, and does not count as changed."""
-        folder = self._written(name, df)
-        content = F.xxhash64(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}))
-        rows, mark = committed.read_folders(self.spark, self.root, [folder], self.schemas[name]).agg(
-            F.count(F.lit(1)), F.sum(content.cast("decimal(38,0)"))).first()
-        mark = f"{rows}:{mark}"
+        """Replaces a table; one with the same rows as before stays, and does not count as changed.
+
+        What tells the rows is added up while they are written, by the tasks that write.
+        """
+        seen = Observation()
+        content = F.xxhash64(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}))
+        folder = self._written(name, df.observe(
+            seen, F.count(F.lit(1)).alias("rows"), F.sum(content.cast("decimal(38,0)")).alias("content")))
+        mark = f"{seen.get['rows']}:{seen.get['content']}"
         if self.prints.get(name) != mark:
             self.prints[name] = mark
             self.folders[self._key(name)] = [folder]
@@ -235,6 +238,20 @@ class Refresh:
         found = self.read(SPANS).join(named, F.col("account_id").eqNullSafe(F.col("_id")), "left_semi")
         return {r[0] for r in found.select(MONTH).distinct().collect()}
 
+    def _update_models(self, threads: int = 4) -> None:
+        """The models over whole tables whose inputs have changed, a few at a time, each after its inputs."""
+        def update(name: str) -> None:
+            if self.before is None or self.changed & set(INPUTS[name]):
+                self.write_whole(name, self._model(name))
+
+        pending = dict(INPUTS)
+        with ThreadPoolExecutor(threads) as pool:
+            while pending:
+                ready = [name for name, needs in pending.items() if not pending.keys() & set(needs)]
+                list(pool.map(update, ready))
+                for name in ready:
+                    del pending[name]
+
     def run(self) -> Commit | None:
         for name in BRONZE:
             commit = committed.latest(self.spark, f"{self.lake}/bronze/{name}")
@@ -250,9 +267,7 @@ class Refresh:
             self._stage_events(events, months)
             self._use_events(months)
         identity_before = self.read("int_identity_mapping") if self.before is not None else None
-        for name, needs in INPUTS.items():
-            if self.before is None or self.changed & set(needs):
-                self.write_whole(name, self._model(name))
+        self._update_models()
         months = self.months.get("stg_product_events", set())
         if "int_identity_mapping" in self.changed:
             months = months | (
