@@ -105,14 +105,17 @@ class Warehouse:
     """``bronze`` gives the bronze table of a name; ``as_of`` stands in for today."""
 
     def __init__(
-        self, spark: SparkSession, bronze: Callable[[str], DataFrame], as_of: str, root: str | None = None
+        self, spark: SparkSession, bronze: Callable[[str], DataFrame], as_of: str, root: str | None = None,
+        composed: Collection[str] = (),
     ):
+        """``composed`` names tables that are not written when first asked for, but only by ``keep`` or ``build``."""
         self.spark = spark
         self.as_of = as_of
         self._bronze = bronze
         self._root = root
         self._folder = f"{root}/build-{uuid.uuid4().hex}" if root is not None else None
         self._attached = False
+        self._composed = set(composed)
         self._frames: dict[str, DataFrame] = {}
         # per table, what its row checks counted when it was written
         self.measured: dict[str, dict[str, int]] = {}
@@ -151,7 +154,7 @@ class Warehouse:
                 frame = self.spark.read.parquet(f"{self._folder}/{_layer_of(name)}/{name}")
             else:
                 frame = TABLES[name](self)
-                if self._root is not None:
+                if self._root is not None and name not in self._composed:
                     frame = self._stored(name, frame)
             self._frames[name] = frame
         return self._frames[name]
@@ -163,12 +166,20 @@ class Warehouse:
         by_month = df.withColumn("event_month", month_start(MONTH_OF[name]))
         return write_table(by_month, self._folder, _layer_of(name), name, "event_month", checks, self.measured)
 
+    def keep(self, *names: str) -> Warehouse:
+        """From now on these tables are stored as well: worth it where several models read them."""
+        for name in self._composed & set(names):
+            self._composed.discard(name)
+            self._frames.pop(name, None)
+        return self
+
     def build(self, threads: int = 4, refuse: Collection[str] = ()) -> Warehouse:
         """Writes every model that is not there yet, a few at a time.
 
         A build in which a row or scenario check named in ``refuse`` has
         violations is not published: readers stay with the last one.
         """
+        self.keep(*TABLES)
         with ThreadPoolExecutor(threads) as pool:
             for wave in WAVES:
                 list(pool.map(self.__getitem__, wave))

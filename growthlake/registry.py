@@ -23,8 +23,12 @@ from growthlake.streaming import jobs
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# tables with one use in most reports, of which that needs a few columns only
+COMPOSED = [name for name in STAGING if name != "stg_product_events"] + ["int_subscription_history"]
+
+
 def _over_driver_tables(spark: SparkSession, sf_dir: str, root: str | None = None) -> Warehouse:
-    return Warehouse(tune(spark), lambda name: driver_tables.BRONZE[name](spark, sf_dir), AS_OF, root)
+    return Warehouse(tune(spark), lambda name: driver_tables.BRONZE[name](spark, sf_dir), AS_OF, root, COMPOSED)
 
 
 @lru_cache(maxsize=4)
@@ -35,7 +39,10 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 @lru_cache(maxsize=4)
 def stored_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """Models as tables in the shared folder, each written once per session when a report first needs it."""
+    """Models as tables in the shared folder, each written once per session when a report first needs it.
+
+    Those in ``COMPOSED`` stay plans until a query over many models keeps them.
+    """
     return _over_driver_tables(spark, sf_dir, new_folder(spark, "warehouse"))
 
 
@@ -287,19 +294,19 @@ def dq_generic_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_generic_core(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.all_generic_results(stored_warehouse(spark, sf_dir), list(CORE))
+    return quality.all_generic_results(stored_warehouse(spark, sf_dir).keep("int_subscription_history"), list(CORE))
 
 
 def dq_generic_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.all_generic_results(stored_warehouse(spark, sf_dir), list(MARTS))
+    return quality.all_generic_results(stored_warehouse(spark, sf_dir).keep("int_subscription_history"), list(MARTS))
 
 
 def dq_grains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.grain_results(stored_warehouse(spark, sf_dir))
+    return quality.grain_results(stored_warehouse(spark, sf_dir).keep("int_subscription_history"))
 
 
 def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.summary(stored_warehouse(spark, sf_dir))
+    return quality.summary(stored_warehouse(spark, sf_dir).keep("int_subscription_history"))
 
 
 FUNCTIONS: list[Query] = [

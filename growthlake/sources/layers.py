@@ -16,13 +16,14 @@ def write_table(
 ) -> DataFrame:
     """Replaces the table and returns it as read back, so later work starts from the files.
 
-    The rebalance hint lets AQE size the files: small partitions are joined and
-    a hot day or month is split over several tasks. ``metrics`` are aggregates
-    taken from the rows as they are written, into ``measured`` under the table's
-    name: behind the shuffle, so that a task that runs again counts once.
+    In a table with folders, the rebalance hint lets AQE size the files: a hot
+    day or month is split over several tasks. Others are written by the tasks
+    that compute them, with no shuffle for it. ``metrics`` are aggregates taken
+    from the rows as they are written, into ``measured`` under the table's name:
+    by the writing tasks, so that a task that runs again counts once.
     """
     path, seen = f"{root}/{layer}/{name}", Observation()
-    rows = df.hint("rebalance", partition_by) if partition_by else df.hint("rebalance")
+    rows = df.hint("rebalance", partition_by) if partition_by else df
     if metrics:
         rows = rows.observe(seen, *(value.alias(label) for label, value in metrics.items()))
     writer = rows.write.mode("overwrite")

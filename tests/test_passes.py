@@ -1,10 +1,13 @@
-"""How often a load is computed."""
+"""How often a load is computed and what a report writes."""
 
 import mini
+import pytest
 from pyspark.sql import functions as F
 
 from growthlake.plans import ingestion
+from growthlake.plans.warehouse import Warehouse
 from growthlake.sources import committed
+from growthlake.sources.layers import write_table
 
 
 def test_a_load_is_computed_once(spark, tmp_path, monkeypatch):
@@ -21,3 +24,26 @@ def test_a_load_is_computed_once(spark, tmp_path, monkeypatch):
     got = committed.read_folders(spark, path, committed.latest(spark, path).all_folders())
     assert {r["name"] for r in got.collect()} == {"new"}
     assert got.count() == companies.select("company_id").distinct().count()
+
+
+def test_tables_without_folders_are_written_without_a_shuffle(spark, tmp_path, monkeypatch):
+    def refused(*_):
+        raise AssertionError("a shuffle only for the write")
+
+    monkeypatch.setattr(type(spark.range(1)), "hint", refused)
+    assert write_table(spark.range(10), str(tmp_path), "marts", "t").count() == 10
+    with pytest.raises(AssertionError):
+        write_table(spark.range(10).withColumn("month", F.lit(1)), str(tmp_path), "marts", "t2", "month")
+
+
+def test_composed_tables_are_written_only_when_kept(spark, tmp_path):
+    tables = mini.bronze(spark)
+    composed = ["int_subscription_history", "stg_billing_subscriptions", "stg_billing_prices", "stg_billing_customers"]
+    w = Warehouse(spark, tables.__getitem__, mini.AS_OF, str(tmp_path), composed)
+    rows = sorted(map(repr, w["fct_account_mrr"].collect()))
+    written = {p.name for p in tmp_path.glob("build-*/*/*")}
+    assert written == {"fct_account_mrr"}
+    w.keep("int_subscription_history")["int_subscription_history"].count()
+    assert {p.name for p in tmp_path.glob("build-*/*/*")} == written | {"int_subscription_history"}
+    whole = Warehouse(spark, tables.__getitem__, mini.AS_OF, str(tmp_path / "whole"))
+    assert sorted(map(repr, whole["fct_account_mrr"].collect())) == rows
