@@ -27,8 +27,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 COMPOSED = [name for name in STAGING if name != "stg_product_events"] + ["int_subscription_history"]
 
 
+def _sized(spark: SparkSession, sf_dir: str) -> SparkSession:
+    return tune(spark, driver_tables.input_bytes(spark, sf_dir))
+
+
 def _over_driver_tables(spark: SparkSession, sf_dir: str, root: str | None = None) -> Warehouse:
-    return Warehouse(tune(spark), lambda name: driver_tables.BRONZE[name](spark, sf_dir), AS_OF, root, COMPOSED)
+    return Warehouse(_sized(spark, sf_dir), lambda name: driver_tables.BRONZE[name](spark, sf_dir), AS_OF, root, COMPOSED)
 
 
 @lru_cache(maxsize=4)
@@ -335,7 +339,7 @@ def _report_query(plan: Callable[[Warehouse], DataFrame]) -> Query:
 
 
 def _tuned(query: Query) -> Query:
-    return lambda spark, sf_dir: query(tune(spark), sf_dir)
+    return lambda spark, sf_dir: query(_sized(spark, sf_dir), sf_dir)
 
 
 def all_queries() -> dict[str, Query]:

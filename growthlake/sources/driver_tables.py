@@ -8,6 +8,8 @@ a price, the line items of an order as its invoice. Every row takes part.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +36,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+@lru_cache(maxsize=4)
+def input_bytes(spark: SparkSession, sf_dir: str) -> int:
+    """Size of the tables' files."""
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet") for name in SCHEMAS]
+    stores = [(path.getFileSystem(spark._jsc.hadoopConfiguration()), path) for path in paths]
+    return sum(store.getContentSummary(path).getLength() for store, path in stores if store.exists(path))
+
+
 def _pick(index: str, values: list[str]) -> str:
     """SQL for the value at a position counted from zero."""
     return f"element_at(array({', '.join(repr(v) for v in values)}), cast({index} + 1 AS int))"
@@ -206,7 +216,9 @@ def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One period per order; a customer's next start day ends it.
 
     The next day is looked up among the customer's distinct days (140 at most),
-    so a customer with very many orders never becomes one task. The price is
+    so a customer with very many orders never becomes one task. It is an outer
+    join of unique keys, which Spark leaves out where a query needs neither end
+    nor status, as whether an account ever paid or its latest plan. The price is
     that of the order's first part (of a part numbered like the customer, if an
     order has no lines). Some live periods are known to end after ``AS_OF``.
     """
@@ -226,7 +238,7 @@ def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
                    WHEN o_orderstatus = 'F' THEN {_days_after('2023-09-16', 'day')}
                    WHEN o_orderkey % 13 = 0 THEN timestamp_ntz'2024-06-01' END"""
     return (
-        orders.join(following, ["o_custkey", "day"]).join(first_part, "o_orderkey", "left")
+        orders.join(following, ["o_custkey", "day"], "left").join(first_part, "o_orderkey", "left")
         .selectExpr("*", f"{status} AS status", f"{start} AS start_date", f"{end} AS ended_at")
         .selectExpr("*", "start_date - make_dt_interval(if(o_orderkey % 10 = 0, 2, 0)) AS recorded_at")
         .selectExpr(

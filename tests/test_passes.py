@@ -4,9 +4,12 @@ import mini
 import pytest
 from pyspark.sql import functions as F
 
+from growthlake import registry
+from growthlake.operators import dims
 from growthlake.plans import ingestion
 from growthlake.plans.warehouse import Warehouse
-from growthlake.sources import committed
+from growthlake.session import PARTITION_BYTES, READ_BYTES
+from growthlake.sources import committed, driver_tables
 from growthlake.sources.layers import write_table
 
 
@@ -47,3 +50,32 @@ def test_composed_tables_are_written_only_when_kept(spark, tmp_path):
     assert {p.name for p in tmp_path.glob("build-*/*/*")} == written | {"int_subscription_history"}
     whole = Warehouse(spark, tables.__getitem__, mini.AS_OF, str(tmp_path / "whole"))
     assert sorted(map(repr, whole["fct_account_mrr"].collect())) == rows
+
+
+def test_plans_that_need_no_end_of_a_period_do_not_look_for_it(spark, tmp_path):
+    """Whether an account ever paid and its latest plan need neither end nor status; those of an order do."""
+    w = registry.warehouse(spark, "/root/testdata/sf0.001")
+    history = w["int_subscription_history"]
+
+    def looks_ahead(df):
+        return "next_day" in (plan := df._jdf.queryExecution().optimizedPlan().toString()) or plan.count("Join") > 3
+
+    assert looks_ahead(history.select("ended_at"))
+    assert not looks_ahead(dims.current_plan(history))
+    assert not looks_ahead(history.where(F.col("plan_code") == "pro").select("account_id").distinct())
+
+
+def test_what_a_task_reads_does_not_grow_with_the_tables(spark, monkeypatch):
+    """Shuffles grow with the driver tables instead, in every query."""
+    keys = {"spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum"}
+    before = {key: spark.conf.get(key, None) for key in keys}
+    try:
+        assert driver_tables.input_bytes(spark, "/root/testdata/sf0.001") > 0
+        monkeypatch.setattr(driver_tables, "input_bytes", lambda *_: 1000 * PARTITION_BYTES)
+        registry.all_queries()["bronze_product_events"](spark, "/root/testdata/sf0.001")
+        assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "1000"
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(READ_BYTES)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
