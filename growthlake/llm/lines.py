@@ -2,19 +2,34 @@
 
 Lines that differ by at most ``edits`` edits are near copies, if both have at
 least ``SHORTEST`` times as many characters; shorter lines only if equal, as a
-few edits make any short line of any other. A line is cut
-into ``edits + 1`` segments; whatever the edits, one segment stays whole, so a
-near copy holds it, shifted by no more places than the edits can shift it.
-Lines index their segments under (length of the line, number of the segment,
-segment); each line probes, for its own length and those up to ``edits``
-below, the substrings that can be such a segment. An equality join pairs them
-up, and a banded bit-parallel edit distance verifies.
-
-Equal lines are one line from the start. A key that many lines share (a common
-beginning) is first met by its least line only, a star; pairs are made only
-between lines that this left in different classes, and keys are joined so that
-AQE splits the hot ones. Classes follow links; of each class the first
-occurrence stays (least doc_id, then line number), all others are removed.
+few edits make any short line of any other. Keys pair lines up, so that near
+copies share one for certain, and a bounded edit distance verifies.
+
+* Lines of less than ``GRAMS_FROM`` characters are cut into ``edits + 1``
+  segments; whatever the edits, one stays whole, shifted by no more places than
+  the edits can shift it. A line's own segments are its index; it also probes,
+  for its own length and those up to ``edits`` below, the substrings that can
+  be such a segment.
+* An edit spoils only one of several grams (substrings of one length) that do
+  not overlap. So longer lines take their grams in the order of a hash, up to
+  one that makes ``edits + 1`` of them apart: the edits leave one of these, and
+  the near copy, whose own go up to a later or the same hash, has it too. The
+  length of a gram follows ranges of the lines' length; a line near the end of
+  its range has keys for the next one also.
+* A key of more than ``OFTEN`` lines (of a passage in many of them) yields no
+  pairs. Its lines get keys of a second kind: a line in ``edits + 6`` parts
+  without ``edits`` of them, so that lines which have only a passage in common,
+  or copies with many changes, seldom meet. Lines with such a key are left, as
+  a star, to its least one first; pairs are made only between lines that this
+  left in different classes.
+
+Lengths and counts of characters, which travel with a line's number, rule out
+most pairs before a text is read. Texts stay where they are but for those of
+pairs left and of the lines of frequent keys.
+
+Equal lines are one line from the start. Keys are joined so that AQE splits the
+hot ones. Classes follow links; of each class the first occurrence stays (least
+doc_id, then line number), all others are removed.
 
 Cases: null and empty texts have no lines; lines without a visible character
 are neither counted nor removed; lines are compared by code points after
@@ -25,7 +40,8 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import accumulate, combinations, product
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +49,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from growthlake.llm.common import components, small_batches, stored
+from growthlake.llm.common import components, forget, small_batches, stored
 
 EDITS = 2
 # lines of fewer characters than this many times the edits are copies only if equal
 SHORTEST = 5
+# lines of so many characters have grams as keys, of at most GRAM characters; their lengths are told apart by RANGE
+GRAMS_FROM = 64
+GRAM = 24
+RANGE = 16
+JOINT_RANGE = 8
+# keys of more lines than this don't pair them up: a line would meet about as many others as it has joint keys
+OFTEN = 128
+LANES = 16
 LAST_ID = (1 << 63) - 1
 
 
@@ -72,78 +96,202 @@ def probes(n: int, length: int, edits: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def within(a: str, b: str, edits: int) -> bool:
-    """Whether the edit distance is at most ``edits``: bit-parallel columns of the matrix, cut to a band.
+def _alike(a: str, i: int, b: str, j: int) -> int:
+    """How many characters from a[i] and b[j] on are equal."""
+    most, done, step = min(len(a) - i, len(b) - j), 0, 16
+    while done < most and a[i + done:i + done + step] == b[j + done:j + done + step]:
+        done, step = done + step, 2 * step
+    if done >= most:
+        return most
+    # they differ within the next ``step`` characters: halve
+    step = min(step, most - done)
+    while step > 1:
+        half = step // 2
+        if a[i + done:i + done + half] == b[j + done:j + done + half]:
+            done, step = done + half, step - half
+        else:
+            step = half
+    return done + (a[i + done:i + done + 1] == b[j + done:j + done + 1])
 
-    Bits of ``up`` and ``down`` hold the differences between neighbouring cells
-    of a column, over a window of 2 * edits + 1 rows around the diagonal.
-    """
-    if abs(len(a) - len(b)) > edits:
+
+def within(a: str, b: str, edits: int) -> bool:
+    """Whether the edit distance is at most ``edits``: furthest reach on each diagonal, one more error at a time."""
+    apart = len(b) - len(a)
+    if abs(apart) > edits:
         return False
-    if a == b:
-        return True
-    width = 2 * edits + 1
-    full = (1 << width) - 1
-    where: dict[str, int] = {}
-    for i, c in enumerate(a):
-        where[c] = where.get(c, 0) | 1 << i
-    # row i of column j stands at bit i - (j - edits) of the window; errors[e] has the rows reachable with e errors
-    reach = [((1 << (edits + e + 1)) - 1) & ~((1 << edits) - 1) for e in range(edits + 1)]
-    for j, c in enumerate(b):
-        mask = where.get(c, 0)
-        offset = j - edits
-        match = (mask >> offset if offset >= 0 else mask << -offset) & full
-        after: list[int] = []
-        for e in range(edits + 1):
-            # the window moves down by one row with each column: a match keeps its bit
-            now = reach[e] & match
-            if e:
-                now |= reach[e - 1] | (reach[e - 1] >> 1)
-                now |= (after[e - 1] << 1) & full
-            after.append(now & full)
+    # diagonal (place in b less place in a) -> characters of a that are matched with so many errors
+    reach: dict[int, int] = {}
+    for errors in range(edits + 1):
+        after = {}
+        for d in range(-errors, errors + 1):
+            i = max(reach.get(d, -2) + 1, reach.get(d - 1, -2), reach.get(d + 1, -2) + 1) if errors else 0
+            i = min(i, len(a), len(b) - d)
+            if i >= 0 and i + d >= 0:
+                after[d] = i + _alike(a, i, b, i + d)
         reach = after
-        if not any(reach):
-            return False
-    end = len(a) - (len(b) - edits)
-    return any(r >> end & 1 for r in reach)
+        if reach.get(apart) == len(a):
+            return True
+    return False
 
 
 def _key(n: int, segment: int, part: str) -> int:
-    return xxhash.xxh3_64_intdigest(f"{n}:{segment}:{part}".encode("utf-8", "surrogatepass")) - (1 << 63)
+    return xxhash.xxh3_64_intdigest(f"{n}:{segment}:{part}".encode("utf-8", "surrogatepass")) >> 2
+
+
+def short_keys(line: str, edits: int) -> list[int]:
+    """Keys of a line by segments; the lowest bit is set on those that it only probes."""
+    n, short = len(line), max(SHORTEST * edits, 1)
+    own = {_key(n, k, line[at:at + size]) for k, (at, size) in enumerate(segments(n, edits)) if n >= short}
+    asked = {
+        _key(length, k, line[at:at + size]) for length in range(max(n - edits, short), n + 1)
+        for k, at, size in probes(n, length, edits)} - own
+    return [k * 2 for k in own] + [k * 2 + 1 for k in asked]
+
 
+def joint_keys(line: str, edits: int) -> list[int]:
+    """Keys, as above, of all of a line but ``edits`` of its parts: what near copies have in common beside the edited ones.
 
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    What is before the first part left out is measured from the left, what is
+    after the last one from the right; only what is between two of them may be
+    shifted, by one place more for each (edits in one part count as edits of
+    its neighbours too). Parts are of one size for a range of lengths.
+    """
+    n, parts = len(line), edits + 6
+    own, asked = set(), set()
+    for span in {n // JOINT_RANGE, (n + edits) // JOINT_RANGE}:
+        size = max(span * JOINT_RANGE - edits, SHORTEST * edits, 1) // parts
+        for number, gone in enumerate(combinations(range(parts), edits)):
+            between = [(size * (x + 1), size * y) for x, y in zip(gone, gone[1:])]
+            ends = line[:size * gone[0]] + line[n - size * (parts - 1 - gone[-1]):]
+            for steps in product((0, -1, 1), repeat=len(between)):
+                middle = [(stop > start and shift, line[start + shift:stop + shift] if stop > start else "")
+                          for (start, stop), shift in zip(between, accumulate(steps))]
+                moved = any(shift for shift, _ in middle)
+                (asked if moved else own).add(_key(span, number, "".join([ends, *(x for _, x in middle)])))
+    return [k * 2 for k in own] + [k * 2 + 1 for k in asked - own]
+
+
+def _scattered(x: np.ndarray) -> np.ndarray:
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(31))
+
+
+BASE = 0x9E3779B97F4A7C15
+USED = np.uint64((1 << 64) - 1)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n + 1, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+def gram_keys(codes: np.ndarray, n: np.ndarray, edits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the line, key) by grams; ``codes`` are the characters of lines of ``n`` characters, one after another."""
+    starts = np.cumsum(n) - n
+    # a gram's hash is a difference of running sums, moved back to the start
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(_scattered(codes + np.uint64(1)) * _powers(BASE, len(codes))[:-1])])
+    back = _powers(pow(BASE, -1, 1 << 64), len(codes))
+    lines, keys = [], []
+    for ahead in sorted({0, edits}):
+        part = (n + ahead) // RANGE
+        who = np.flatnonzero((part * RANGE >= GRAMS_FROM) & ((part != n // RANGE) | (ahead == 0)))
+        if not len(who):
+            continue
+        part = part[who]
+        # the shortest line with keys of this range, which lacks ``edits`` characters, still has room for all
+        size = np.minimum(GRAM, part * RANGE // (2 * edits + 1))
+        count = n[who] - size + 1
+        ends = np.cumsum(count)
+        at = np.arange(ends[-1]) - np.repeat(ends - count, count)
+        place = at + np.repeat(starts[who], count)
+        left = np.minimum(_scattered((sums[place + np.repeat(size, count)] - sums[place]) * back[place]), USED - np.uint64(1))
+        chosen = np.full((edits + 1, len(who)), -(1 << 60))
+        n_chosen = np.zeros(len(who), np.int64)
+        now = np.arange(len(who))
+        while len(now):
+            first = np.cumsum(count) - count
+            least = np.minimum.reduceat(left, first)
+            lines.append(who[now])
+            keys.append(_scattered(least + part[now].astype(np.uint64) * np.uint64(BASE)))
+            spots = np.flatnonzero(left == np.repeat(least, count))
+            left[spots] = USED
+            line = now[np.searchsorted(first, spots, "right") - 1]
+            apart = (np.abs(chosen[:, line] - at[spots]) >= size[line]).all(axis=0)
+            found, spot = np.unique(line[apart], return_index=True)
+            chosen[n_chosen[found], found] = at[spots][apart][spot]
+            n_chosen[found] += 1
+            # a line that repeats itself may run out of grams: then it has given them all
+            stay = (n_chosen[now] <= edits) & (np.minimum.reduceat(left, first) < USED)
+            kept = np.repeat(stay, count)
+            left, at, count, now = left[kept], at[kept], count[stay], now[stay]
+    if not lines:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(lines), (np.concatenate(keys) >> np.uint64(1) << np.uint64(1)).view(np.int64)
+
+
+def _counts(codes: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """How often characters of each of 16 kinds are in a line, modulo 16, in one number."""
+    kind = (_scattered(codes) & np.uint64(LANES - 1)).astype(np.int64)
+    counts = np.bincount(np.repeat(np.arange(len(n)) * LANES, n) + kind, minlength=len(n) * LANES).reshape(-1, LANES)
+    lanes = (counts % 16).astype(np.uint64) << (np.arange(LANES, dtype=np.uint64) * np.uint64(4))
+    return np.bitwise_or.reduce(lanes, axis=1).view(np.int64)
+
+
+def _described(lines: list[str], edits: int) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Length, counts of characters and keys of lines of about a million characters."""
+    n = np.fromiter(map(len, lines), np.int64, len(lines))
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    line, key = gram_keys(codes, n, edits)
+    more = [(i, k) for i in np.flatnonzero(n < GRAMS_FROM) for k in short_keys(lines[i], edits)]
+    if more:
+        more = np.array(more, np.int64)
+        line, key = np.concatenate([line, more[:, 0]]), np.concatenate([key, more[:, 1]])
+    ends = np.concatenate([[0], np.cumsum(np.bincount(line, minlength=len(lines)))]).astype(np.int32)
+    return n, _counts(codes, n), pa.ListArray.from_arrays(pa.array(ends), pa.array(key[np.argsort(line, kind="stable")]))
+
+
+def _documents(batches: Iterator[pa.RecordBatch], edits: int) -> Iterator[pa.RecordBatch]:
+    """Per document its lines as (h, size, counts, keys)."""
+    for batch in small_batches(batches, "text", 1 << 20):
+        found = [lines_of(t) for t in batch.column("text").to_pylist()]
+        lines = [x for of_doc in found for x in of_doc]
+        size, counts, keys = _described(lines, edits)
+        hashes = [xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")) for x in lines]
+        described = pa.StructArray.from_arrays(
+            [pa.array(hashes, pa.binary()), pa.array(size.astype(np.int32)), pa.array(counts), keys],
+            names=["h", "size", "counts", "keys"])
+        ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc"), batch.column("row"), pa.ListArray.from_arrays(pa.array(ends), described)],
+            names=["doc", "row", "lines"])
+
+
+def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in small_batches(batches, "text"):
-        doc, row, number, line = [], [], [], []
-        for d, r, text in zip(*(batch.column(c).to_pylist() for c in ("doc", "row", "text"))):
+        ids, lines = [], []
+        for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
             found = lines_of(text)
-            doc += [d] * len(found)
-            row += [r] * len(found)
-            number += range(len(found))
-            line += found
-        keys = [xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")) for x in line]
-        yield pa.RecordBatch.from_pydict({
-            "doc": pa.array(doc, pa.int64()), "row": pa.array(row, pa.int64()), "number": pa.array(number, pa.int32()),
-            "line": pa.array(line, pa.string()), "h": pa.array(keys, pa.binary())})
-
-
-def _keys(batches: Iterator[pa.RecordBatch], edits: int) -> Iterator[pa.RecordBatch]:
-    """Keys of each line, once each; ``index`` marks those of its own segments, which it probes as well."""
+            ids += [w["id"] for w in wanted]
+            lines += [found[w["number"]] for w in wanted]
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lines, pa.string())], names=["id", "line"])
+
+
+def _joint(batches: Iterator[pa.RecordBatch], edits: int) -> Iterator[pa.RecordBatch]:
     for batch in small_batches(batches, "line", 1 << 20):
-        counts, keys, index = [], [], []
-        for line in batch.column("line").to_pylist():
-            n, before = len(line), len(keys)
-            short = max(SHORTEST * edits, 1)
-            own = {_key(n, k, line[at:at + size]) for k, (at, size) in enumerate(segments(n, edits)) if n >= short}
-            asked = {
-                _key(length, k, line[at:at + size]) for length in range(max(n - edits, short), n + 1)
-                for k, at, size in probes(n, length, edits)} - own
-            keys += [*own, *asked]
-            index += [True] * len(own) + [False] * len(asked)
-            counts.append(len(keys) - before)
-        at = pa.array(np.repeat(np.arange(len(counts)), counts))
-        yield pa.RecordBatch.from_pydict({
-            "id": batch.column("id").take(at), "key": pa.array(keys, pa.int64()), "index": pa.array(index, pa.bool_())})
+        keys = [joint_keys(x, edits) for x in batch.column("line").to_pylist()]
+        at = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id").take(at), pa.array([k for of_line in keys for k in of_line], pa.int64())], names=["id", "key"])
+
+
+def _possible(edits: int) -> str:
+    """Whether lengths and counts of characters of lines a and b are as near as edits leave them."""
+    lanes = (f"(shiftright(a_counts, {4 * k}) & 15) - (shiftright(b_counts, {4 * k}) & 15)" for k in range(LANES))
+    apart = " + ".join(f"least(({x}) & 15, -({x}) & 15)" for x in lanes)
+    # an edit takes one character and gives one at most
+    return f"abs(a_size - b_size) <= {edits} AND {apart} <= {2 * edits}"
 
 
 def _verified(batches: Iterator[pa.RecordBatch], edits: int) -> Iterator[pa.RecordBatch]:
@@ -152,77 +300,99 @@ def _verified(batches: Iterator[pa.RecordBatch], edits: int) -> Iterator[pa.Reco
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def line_classes(lines: DataFrame, edits: int = EDITS) -> DataFrame:
-    """(id, component) of the stored distinct lines (id, line) that have a near copy; ids are unique longs."""
-    keys = lines.mapInArrow(lambda b: _keys(b, edits), "id long, key long, index boolean")
+def _shared(keys: DataFrame) -> DataFrame:
+    """Rows (id, key) whose key another line has, one of them as its own: with ``index`` (its own) and ``n`` (lines)."""
+    keys = keys.select("id", F.shiftright("key", 1).alias("key"), (F.col("key").bitwiseAND(F.lit(1)) == 0).alias("index"))
+    # most keys are one line's alone; the rest is small
+    counted = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bool_or("index").alias("indexed"))
+    return stored(keys.join(counted.where("n > 1 AND indexed").drop("indexed").hint("merge"), "key"), "met")
+
+
+def _pairs(owner: DataFrame, other: DataFrame, where: str, edits: int) -> DataFrame:
+    """Pairs (a, b) of possible near copies among lines with a key in common; ``where`` names columns as a_ and b_."""
+    sides = [
+        side.select("key", *(F.col(c).alias(x if c == "id" else f"{x}_{c}") for c in side.columns if c != "key"))
+        for side, x in ((owner, "a"), (other, "b"))]
+    met = sides[0].join(sides[1].hint("merge"), "key").where(f"({where}) AND {_possible(edits)}")
+    return stored(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+
+
+def line_classes(lines: DataFrame, texts: Callable[[DataFrame], DataFrame], edits: int = EDITS) -> DataFrame:
+    """(id, component) of the stored distinct lines (id, size, counts, keys) that have a near copy.
+
+    ``texts`` gives (id, line) for a table of ids, which are unique longs.
+    """
+    known = lines.select("id", "size", "counts")
+    met = _shared(lines.select("id", F.explode("keys").alias("key")))
+    rare = met.where(F.col("n") <= OFTEN).join(known, "id")
+    pairs = _pairs(rare.where("index"), rare, "a < b OR (a > b AND NOT b_index)", edits)
+    hot = met.where(F.col("n") > OFTEN).select("id").distinct()
+    needed = stored(texts(pairs.select(F.explode(F.array("a", "b")).alias("id")).union(hot).distinct()), "lines")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        pairs = stored(pairs, "pairs")
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        needed = stored(lines.join(ends, "id"), "lines")
-        texts = (
+        with_texts = (
             pairs.join(needed.withColumnsRenamed({"id": "a", "line": "a_line"}), "a")
             .join(needed.withColumnsRenamed({"id": "b", "line": "b_line"}), "b"))
-        return texts.mapInArrow(lambda b: _verified(b, edits), "a long, b long")
-
-    # most keys are one line's alone; the rest is small
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bool_or("index").alias("indexed"))
-    met = stored(keys.join(shared.where("n > 1 AND indexed").select("key").hint("merge"), "key"), "met")
-    leaders = met.groupBy("key").agg(F.min("id").alias("first"))
-    stars = (
-        met.join(leaders, "key").where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct())
-    first = components(verified(stars))
-    labelled = stored(met.join(first.withColumnRenamed("node", "id"), "id", "left").select(
-        "key", "index", "id", F.coalesce("component", "id").alias("label")), "labelled")
-    owner = labelled.where("index").select("key", F.col("id").alias("a"), F.col("label").alias("a_label"))
-    other = labelled.select("key", F.col("id").alias("b"), F.col("label").alias("b_label"))
-    across = owner.join(other.hint("merge"), "key").where("a_label <> b_label").select("a", "b").distinct()
-    rest = verified(across)
-    everything = first.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    return components(everything.union(rest)).withColumnRenamed("node", "id")
-
-
-def line_dedup(docs: DataFrame, edits: int = EDITS) -> tuple[DataFrame, DataFrame]:
-    """Occurrences (doc, row, number, h) with their line's class, and documents with their counts."""
+        return stored(with_texts.mapInArrow(lambda b: _verified(b, edits), "a long, b long"), "links")
+
+    links = verified(pairs)
+    if hot.limit(1).count():
+        of_hot = needed.join(hot, "id", "left_semi").mapInArrow(lambda b: _joint(b, edits), "id long, key long")
+        joint = stored(_shared(of_hot).join(known, "id"), "joint")
+        leaders = joint.groupBy("key").agg(F.min(F.struct("id", "size", "counts")).alias("first")).select("key", "first.*")
+        links = links.union(verified(_pairs(leaders, joint, "a <> b", edits)))
+        labels = components(links).withColumnRenamed("node", "id")
+        labelled = stored(joint.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).drop(
+            "component"), "labelled")
+        links = links.union(verified(_pairs(labelled.where("index"), labelled, "a_label <> b_label", edits)))
+        forget(joint, labelled)
+    forget(met, pairs, needed)
+    return components(links).withColumnRenamed("node", "id")
+
+
+def line_dedup(docs: DataFrame, edits: int = EDITS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Occurrences that go (doc, row, number, h) with their line's class, documents' counts of lines, documents' texts."""
     narrow = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     narrow = narrow.withColumn("row", F.xxhash64("text"))
-    schema = "doc long, row long, number int, line string, h binary"
-    occurrences = narrow.mapInArrow(_occurrences, schema)
+    schema = "doc long, row long, lines array<struct<h: binary, size: int, counts: long, keys: array<long>>>"
+    found = stored(narrow.mapInArrow(lambda b: _documents(b, edits), schema), "documents")
     place = F.struct("doc", "row", "number")
     distinct = stored(
-        occurrences.groupBy("h").agg(F.min("line").alias("line"), F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+        found.select("doc", "row", F.posexplode("lines").alias("number", "line"))
+        .groupBy(F.col("line.h").alias("h"))
+        .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.first("line").alias("line"))
+        .select("h", "first", "n", "line.size", "line.counts", "line.keys")
         .withColumn("id", F.monotonically_increasing_id()), "lines")
-    classes = line_classes(distinct.select("id", "line"), edits)
+
+    def texts(ids: DataFrame) -> DataFrame:
+        wanted = distinct.select("id", "first.*").join(ids, "id").groupBy("doc", "row").agg(
+            F.collect_list(F.struct("id", "number")).alias("wanted"))
+        once = narrow.join(wanted, ["doc", "row"]).dropDuplicates(["doc", "row"])
+        return once.select("text", "wanted").mapInArrow(_wanted, "id long, line string")
+
+    classes = line_classes(distinct.select("id", "size", "counts", "keys"), texts, edits)
     grouped = stored(distinct.select("id", "h", "first", "n").join(classes, "id", "left").select(
         "h", "first", "n", F.coalesce("component", "id").alias("class")), "classes")
     keepers = grouped.groupBy("class").agg(F.min("first").alias("keep"), F.sum("n").alias("size"))
     # only lines of classes with more than one occurrence lose any
     repeated = grouped.join(keepers.where("size > 1"), "class").select("h", "class", "keep")
-    marked = occurrences.drop("line").join(repeated, "h").where(place != F.col("keep"))
-    return marked, narrow
+    occurrences = found.select("doc", "row", F.posexplode("lines.h").alias("number", "h"))
+    marked = occurrences.join(repeated, "h").where(place != F.col("keep"))
+    return marked, found.select("doc", "row", F.size("lines").cast("long").alias("n_lines")), narrow
 
 
 def removed_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """Occurrences that go: doc_id, number (among the document's lines with a visible character), class."""
-    marked, _ = line_dedup(docs, edits)
+    marked, _, _ = line_dedup(docs, edits)
     return marked.select(F.nullif("doc", F.lit(LAST_ID)).alias("doc_id"), "number", "class")
 
 
 def removal_counts(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """Per document: doc_id, n_lines, n_removed, removed (their numbers, comma-joined); texts are not moved."""
-    marked, narrow = line_dedup(docs, edits)
+    marked, counted, _ = line_dedup(docs, edits)
     gone = marked.groupBy("doc", "row").agg(F.sort_array(F.collect_set("number")).alias("gone"))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), batch.column("row"),
-                 pa.array([len(lines_of(t)) for t in batch.column("text").to_pylist()], pa.int64())],
-                names=["doc", "row", "n_lines"])
-
-    counted = narrow.mapInArrow(count, "doc long, row long, n_lines long")
     return counted.join(gone, ["doc", "row"], "left").select(
         F.nullif("doc", F.lit(LAST_ID)).alias("doc_id"), "n_lines",
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
@@ -231,7 +401,7 @@ def removal_counts(docs: DataFrame, edits: int = EDITS) -> DataFrame:
 
 def without_repeated_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """Per document: doc_id, n_lines, n_removed, kept_text (the lines that stay, trimmed, one a line)."""
-    marked, narrow = line_dedup(docs, edits)
+    marked, _, narrow = line_dedup(docs, edits)
     gone = marked.groupBy("doc").agg(F.collect_set(F.struct("row", "number")).alias("gone"))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -371,6 +371,70 @@ def test_line_dedup(odd, odd_rows, empty):
     assert rows(lines.removal_counts(empty)) == []
 
 
+def _edited(rng, line, edits, letters):
+    out = list(line)
+    for _ in range(edits):
+        at = rng.randint(0, len(out))
+        out[at:at + rng.randint(0, 1)] = rng.choice(["", rng.choice(letters)])
+    return "".join(out)
+
+
+def test_near_copies_share_a_key():
+    rng = random.Random(8)
+    for edits in (1, 2, 3):
+        pairs = []
+        for k in range(400):
+            letters = ("ab", "abcdefgh ", "a", "xyz")[k % 4]
+            one = "".join(rng.choice(letters) for _ in range(rng.randint(5 * edits, 150 if k % 5 else 600)))
+            one = (one[:3] * len(one))[:len(one)] if k % 7 == 0 else one
+            pairs.append((one, _edited(rng, one, edits, letters + "z")))
+        described = [lines._described([p[side] for p in pairs], edits) for side in (0, 1)]
+        keys = [d[2].to_pylist() for d in described]
+        for k, (one, other) in enumerate(pairs):
+            if min(len(one), len(other)) < 5 * edits:
+                continue
+            assert lines.within(one, other, edits)
+            counts = [int(d[1][k]) for d in described]
+            steps = [(counts[0] >> 4 * lane) - (counts[1] >> 4 * lane) for lane in range(16)]
+            assert sum(min(x & 15, -x & 15) for x in steps) <= 2 * edits
+            for mine, its in ((keys[0][k], keys[1][k]), (lines.joint_keys(one, edits), lines.joint_keys(other, edits))):
+                probed = {x >> 1: x & 1 for x in its}
+                # one of the two has it as its own
+                assert any(x >> 1 in probed and not (x & 1 and probed[x >> 1]) for x in mine)
+    # a long line has few keys
+    many = ["".join(rng.choice("abcdefgh ") for _ in range(300)) for _ in range(200)]
+    assert len(lines._described(many, 2)[2].flatten()) < 7 * len(many)
+
+
+def test_copies_with_many_changes_do_not_pair_up(spark, monkeypatch):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(50)]
+    changed = []
+    for _ in range(400):
+        line = list(words)
+        for at in rng.sample(range(len(line)), 3):
+            line[at] = "".join(rng.choice("klmnopqrst") for _ in range(7))
+        changed.append(" ".join(line))
+    near = [_edited(rng, changed[k], 2, "xyz") for k in range(0, 400, 20)]
+    # a letter of a passage that all have, and one of each line's own words
+    near += [changed[k].replace(words[3], words[3][:-1], 1) for k in range(5, 400, 20)]
+    met = Counter()
+    keep = lines.stored
+
+    def counted(df, name):
+        out = keep(df, name)
+        met[name] += out.count()
+        return out
+
+    monkeypatch.setattr(lines, "stored", counted)
+    docs = spark.createDataFrame(list(enumerate([*changed, *near])), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.n_removed for r in lines.removal_counts(docs).collect()}
+    every = [*changed, *near]
+    of = brute.classes(range(len(every)), lambda x, y: lines.within(every[x], every[y], 2))
+    assert got == {k: int(of[k] != k) for k in range(len(every))} and sum(got.values()) >= len(near) - 2
+    assert met["pairs"] < 2 * len(every)
+
+
 def test_different_short_lines_stay(spark):
     short = ["}", "1", "A", "OK", "Item 1", "Item 2", "1998", "1999", "red", "bed", "read on"]
     texts = ["\n".join(short), "\n".join(["}", "Item 3", "2001", "a line of some length 1", "a line of some length 22"])]
