@@ -62,6 +62,8 @@ JOINT_RANGE = 8
 # keys of more lines than this don't pair them up: a line would meet about as many others as it has joint keys
 OFTEN = 128
 LANES = 16
+# characters that are hashed at a time
+PIECE = 1 << 20
 LAST_ID = (1 << 63) - 1
 
 
@@ -231,25 +233,45 @@ def gram_keys(codes: np.ndarray, n: np.ndarray, edits: int) -> tuple[np.ndarray,
     return np.concatenate(lines), (np.concatenate(keys) >> np.uint64(1) << np.uint64(1)).view(np.int64)
 
 
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+
+
 def _counts(codes: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """How often characters of each of 16 kinds are in a line, modulo 16, in one number."""
+    """How often characters of each of 16 kinds are in each line."""
     kind = (_scattered(codes) & np.uint64(LANES - 1)).astype(np.int64)
-    counts = np.bincount(np.repeat(np.arange(len(n)) * LANES, n) + kind, minlength=len(n) * LANES).reshape(-1, LANES)
-    lanes = (counts % 16).astype(np.uint64) << (np.arange(LANES, dtype=np.uint64) * np.uint64(4))
-    return np.bitwise_or.reduce(lanes, axis=1).view(np.int64)
+    return np.bincount(np.repeat(np.arange(len(n)) * LANES, n) + kind, minlength=len(n) * LANES).reshape(-1, LANES)
 
 
 def _described(lines: list[str], edits: int) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """Length, counts of characters and keys of lines of about a million characters."""
+    """Length, counts of characters (modulo 16, in one number) and keys of lines; about ``PIECE`` characters at a time."""
     n = np.fromiter(map(len, lines), np.int64, len(lines))
-    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    line, key = gram_keys(codes, n, edits)
-    more = [(i, k) for i in np.flatnonzero(n < GRAMS_FROM) for k in short_keys(lines[i], edits)]
-    if more:
-        more = np.array(more, np.int64)
-        line, key = np.concatenate([line, more[:, 0]]), np.concatenate([key, more[:, 1]])
+    counts, owners, keys = np.zeros((len(lines), LANES), np.int64), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    start = 0
+    while start < len(lines):
+        if n[start] >= PIECE:
+            for at in range(0, n[start], PIECE):
+                part = _codes(lines[start][at:at + PIECE])
+                counts[start] += _counts(part, np.array([len(part)]))[0]
+            start += 1
+            continue
+        stop, size = start, 0
+        while stop < len(lines) and n[stop] < PIECE and (stop == start or size + n[stop] <= PIECE):
+            stop, size = stop + 1, size + n[stop]
+        codes = _codes("".join(lines[start:stop]))
+        counts[start:stop] = _counts(codes, n[start:stop])
+        line, key = gram_keys(codes, n[start:stop], edits)
+        owners.append(line + start)
+        keys.append(key)
+        start = stop
+    # lines too long for grams at once have segments, too, and so has what may be a copy of one
+    more = [(i, k) for i in np.flatnonzero((n < GRAMS_FROM) | (n + edits >= PIECE)) for k in short_keys(lines[i], edits)]
+    more = np.array(more, np.int64).reshape(-1, 2)
+    line, key = np.concatenate([*owners, more[:, 0]]), np.concatenate([*keys, more[:, 1]])
     ends = np.concatenate([[0], np.cumsum(np.bincount(line, minlength=len(lines)))]).astype(np.int32)
-    return n, _counts(codes, n), pa.ListArray.from_arrays(pa.array(ends), pa.array(key[np.argsort(line, kind="stable")]))
+    packed = (counts % 16).astype(np.uint64) << (np.arange(LANES, dtype=np.uint64) * np.uint64(4))
+    of_line = pa.ListArray.from_arrays(pa.array(ends), pa.array(key[np.argsort(line, kind="stable")]))
+    return n, np.bitwise_or.reduce(packed, axis=1).view(np.int64), of_line
 
 
 def _documents(batches: Iterator[pa.RecordBatch], edits: int) -> Iterator[pa.RecordBatch]:

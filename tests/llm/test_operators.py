@@ -406,6 +406,21 @@ def test_near_copies_share_a_key():
     assert len(lines._described(many, 2)[2].flatten()) < 7 * len(many)
 
 
+def test_very_long_lines_are_described_in_pieces(monkeypatch):
+    rng = random.Random(10)
+    long = ["".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (150, 998, 999, 1000, 1001, 2500)]
+    every = [*long, *(_edited(rng, x, 2, "xyz") for x in long), "", "}"]
+    whole = lines._described(every, 2)
+    monkeypatch.setattr(lines, "PIECE", 1000)
+    pieces = lines._described(every, 2)
+    assert whole[0].tolist() == pieces[0].tolist() and whole[1].tolist() == pieces[1].tolist()
+    keys = pieces[2].to_pylist()
+    assert keys[0] == whole[2].to_pylist()[0]
+    for one, other in zip(keys, keys[len(long):2 * len(long)]):
+        probed = {x >> 1: x & 1 for x in other}
+        assert any(x >> 1 in probed and not (x & 1 and probed[x >> 1]) for x in one)
+
+
 def test_copies_with_many_changes_do_not_pair_up(spark, monkeypatch):
     rng = random.Random(9)
     words = ["".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(50)]
