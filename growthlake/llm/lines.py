@@ -41,6 +41,7 @@ empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import accumulate, combinations, product
 
 import numpy as np
@@ -56,7 +57,7 @@ EDITS = 2
 SHORTEST = 5
 # lines of so many characters have grams as keys, of at most GRAM characters; their lengths are told apart by RANGE
 GRAMS_FROM = 64
-GRAM = 24
+GRAM = 16
 RANGE = 16
 JOINT_RANGE = 8
 # keys of more lines than this don't pair them up: a line would meet about as many others as it has joint keys
@@ -183,6 +184,7 @@ BASE = 0x9E3779B97F4A7C15
 USED = np.uint64((1 << 64) - 1)
 
 
+@lru_cache(maxsize=4)
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(n + 1, base, np.uint64)
     out[0] = 1
@@ -193,8 +195,8 @@ def gram_keys(codes: np.ndarray, n: np.ndarray, edits: int) -> tuple[np.ndarray,
     """(number of the line, key) by grams; ``codes`` are the characters of lines of ``n`` characters, one after another."""
     starts = np.cumsum(n) - n
     # a gram's hash is a difference of running sums, moved back to the start
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(_scattered(codes + np.uint64(1)) * _powers(BASE, len(codes))[:-1])])
-    back = _powers(pow(BASE, -1, 1 << 64), len(codes))
+    sums = np.concatenate([[np.uint64(0)], np.cumsum((codes + np.uint64(1)) * _powers(BASE, max(PIECE, len(codes)))[:len(codes)])])
+    back = _powers(pow(BASE, -1, 1 << 64), max(PIECE, len(codes)))
     lines, keys = [], []
     for ahead in sorted({0, edits}):
         part = (n + ahead) // RANGE
@@ -239,7 +241,7 @@ def _codes(text: str) -> np.ndarray:
 
 def _counts(codes: np.ndarray, n: np.ndarray) -> np.ndarray:
     """How often characters of each of 16 kinds are in each line."""
-    kind = (_scattered(codes) & np.uint64(LANES - 1)).astype(np.int64)
+    kind = ((codes * np.uint64(BASE)) >> np.uint64(60)).astype(np.int64)
     return np.bincount(np.repeat(np.arange(len(n)) * LANES, n) + kind, minlength=len(n) * LANES).reshape(-1, LANES)
 
 
