@@ -158,28 +158,32 @@ def ranked(
         "_range", "_within", "_run", "_offset")
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(links: DataFrame, a: str = "a", b: str = "b", tasks: int | None = None) -> DataFrame:
     """(node, component) for every node that a link names; the component is its smallest node.
 
     Each round gives a node the least label among its own, its neighbours' and
     the label of that label, so paths halve. Minima combine before the shuffle
     and a hub's links are the split side of the join. Rounds are written to the
-    shared folder and end when no label moves.
+    shared folder and end when no label moves. A round over few links may do
+    with so many ``tasks``.
     """
+    def within(df: DataFrame) -> DataFrame:
+        return df if tasks is None else df.coalesce(tasks)
+
     both = links.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x <> y")
-    both = stored(both.union(both.select("y", "x")).distinct(), "links")
+    both = stored(within(both.union(both.select("y", "x")).distinct()), "links")
     labels = both.groupBy(F.col("x").alias("node")).agg(F.min("y").alias("least"))
-    labels = stored(labels.select("node", F.least("node", "least").alias("component")), "labels")
+    labels = stored(within(labels.select("node", F.least("node", "least").alias("component"))), "labels")
     while True:
-        near = (
-            both.join(labels.select(F.col("node").alias("y"), F.col("component").alias("c")), "y")
+        near = within(
+            within(both.join(labels.select(F.col("node").alias("y"), F.col("component").alias("c")), "y"))
             .groupBy(F.col("x").alias("node")).agg(F.min("c").alias("c"))
         )
-        step = labels.join(near, "node").select(
+        step = within(labels.join(near, "node")).select(
             "node", F.col("component").alias("old"), F.least("component", "c").alias("component"))
         up = step.select(F.col("node").alias("component"), F.col("component").alias("up"))
         step = stored(
-            step.join(up, "component")
+            within(step.join(up, "component"))
             .select("node", "old", F.least("component", "up").alias("component")), "labels")
         moved = step.where("component <> old").limit(1).count()
         forget(labels)

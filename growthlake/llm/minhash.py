@@ -16,13 +16,13 @@ again in lists of more values, and then of all, where a passage that many texts
 share is told apart from a text of which there are many near copies, and a copy
 that differs too much from all others by the values it has alone. Only the long
 lists of those that are still too frequent are read: first everything is
-compared with one member of each list, then pairs of different components only.
+compared with one member of each list, then pairs of different components whose
+frequent values, counted by parts, allow a link.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +34,14 @@ from growthlake.llm.common import components, forget, small_batches, stored
 
 SEED = 42
 KEPT = 128
-LISTED = 32
+LISTED = 64
 OFTEN = 32
-STARS = 3
-# of so many least values, how many are shared at a similarity of 0.8: binomial tails of 3e-10 and 1e-9
-SHARED = {LISTED: 10, KEPT: 73}
+MEET = 5
+PARTS = 64
+STARS = 2
+TASK_ROWS = 4096
+# of so many least values, how many are shared at a similarity of 0.8: binomial tails of 2e-10 and 1e-9
+SHARED = {LISTED: 29, KEPT: 73}
 Least = Callable[[Column], Column]
 NO_VALUE = (1 << 63) - 2
 MEMORY = 1 << 20
@@ -153,7 +156,15 @@ def alike_sketches(a: np.ndarray, b: np.ndarray, a_n: np.ndarray, b_n: np.ndarra
     return np.where(small, 5 * overlap >= 4 * (a_n + b_n - overlap), in_both >= SHARED[KEPT])
 
 
-def by_sketch(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _beside(pairs: DataFrame, a: DataFrame, b: DataFrame, tasks: int | None) -> DataFrame:
+    """The pairs with what is known of both; where they are few, in so many tasks."""
+    for x, side in (("a", a), ("b", b)):
+        pairs = pairs.join(side.hint("shuffle_merge"), x)
+        pairs = pairs if tasks is None else pairs.coalesce(tasks)
+    return pairs
+
+
+def by_sketch(pairs: DataFrame, nodes: DataFrame, tasks: int | None = None) -> DataFrame:
     """The pairs (a, b) that their sketches don't rule out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,10 +175,10 @@ def by_sketch(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     def side(x: str) -> DataFrame:
         return nodes.select(F.col("id").alias(x), F.col("n").alias(f"{x}_n"), F.col("sketch").alias(f"{x}_sketch"))
 
-    return pairs.join(side("a").hint("shuffle_merge"), "a").join(side("b").hint("shuffle_merge"), "b").mapInArrow(run, "a long, b long")
+    return _beside(pairs, side("a"), side("b"), tasks).mapInArrow(run, "a long, b long")
 
 
-def by_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def by_sets(pairs: DataFrame, sets: DataFrame, tasks: int | None = None) -> DataFrame:
     """The pairs (a, b) whose whole sets have a Jaccard similarity of 0.8 or more."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,36 +190,50 @@ def by_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     def side(x: str, elements: str) -> DataFrame:
-        return sets.select(F.col("id").alias(x), F.col("elements").alias(elements)).hint("shuffle_merge")
+        return sets.select(F.col("id").alias(x), F.col("elements").alias(elements))
 
-    return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").mapInArrow(run, "a long, b long")
+    return _beside(pairs, side("a", "x"), side("b", "y"), tasks).mapInArrow(run, "a long, b long")
 
 
-def _rare_candidates(rare: DataFrame, counts: DataFrame, least: Least, whole: bool) -> DataFrame:
-    """Pairs that meet in lists of at most ``OFTEN`` sets as often as similar sets must."""
-    member = F.struct("id", "n")
-    lists = rare.groupBy("value").agg(F.sort_array(F.collect_list(member)).alias("members"))
+def _rare_candidates(lists: DataFrame, whole: bool) -> DataFrame:
+    """Pairs that meet in the postings (value, id, n, least, n_out, n_often) as often as similar sets must."""
+    member = F.struct("id", "n", "least", "n_out", "n_often")
+    lists = lists.groupBy("value").agg(F.sort_array(F.collect_list(member)).alias("members")).where(F.size("members") > 1)
     firsts = lists.select(F.explode("members").alias("first"), "members")
 
     def later(x: Column) -> Column:
         return (x["id"] > F.col("first.id")) & _fit(x["n"], F.col("first.n"), F.least(x["n"], F.col("first.n")))
 
     pairs = firsts.select("first", F.explode(F.filter("members", later)).alias("second"))
-    met = pairs.groupBy(
-        F.col("first.id").alias("a"), F.col("second.id").alias("b"), F.col("first.n").alias("a_n"),
-        F.col("second.n").alias("b_n")).agg(F.count(F.lit(1)).alias("met"))
-    for x in "ab":
-        of_x = counts.select(F.col("id").alias(x), F.col("n_often").alias(f"{x}_often"))
-        met = met.join(of_x.hint("shuffle_merge"), x)
-        met = met.withColumn(f"{x}_least", least(F.col(f"{x}_n")) - F.col(f"{x}_often"))
-    enough = F.col("met") >= F.greatest("a_least", "b_least", F.lit(1))
+    met = pairs.groupBy("first", "second").agg(F.count(F.lit(1)).alias("met"))
+    both = [(F.col(f"first.{c}"), F.col(f"second.{c}")) for c in ("n", "least", "n_out", "n_often")]
+    (a_n, b_n), least, n_out, n_often = both
+    # what either leaves out is a prefix of one order, so of the values in both the longer one is missing; whole sets
+    # leave out long lists only, which are left out by both
+    lost = F.least(*n_often) if whole else F.greatest(*n_out)
+    enough = F.col("met") >= F.greatest(F.greatest(*least) - lost, F.lit(1))
     if whole:
-        enough = enough & _fit(F.col("a_n"), F.col("b_n"), F.col("met") + F.least("a_often", "b_often"))
-    return met.where(enough).select("a", "b")
-
-
-def _labels(links: list[DataFrame]) -> DataFrame:
-    return components(reduce(DataFrame.union, links)).withColumnRenamed("node", "id")
+        enough = enough & _fit(a_n, b_n, F.col("met") + F.least(*n_often))
+    return met.where(enough).select(F.col("first.id").alias("a"), F.col("second.id").alias("b"))
+
+
+def _tasks(rows: DataFrame) -> int:
+    """For so many stored rows: a shuffle may have far more partitions."""
+    return -(-rows.count() // TASK_ROWS) or 1
+
+
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels (id, component) after more links (a, b), which are between components and so fewer than links of nodes."""
+    tasks = _tasks(links)
+    apart = _labelled(_labelled(links, labels, "a", "a_label").coalesce(tasks), labels, "b", "b_label").coalesce(tasks)
+    moved = components(apart.where("a_label <> b_label"), "a_label", "b_label", tasks).select(
+        F.col("node").alias("component"), F.col("component").alias("into"))
+    ends = links.select(F.explode(F.array("a", "b")).alias("id")).join(labels.hint("shuffle_merge"), "id", "left_anti").coalesce(tasks)
+    every = labels.unionByName(ends.distinct().withColumn("component", F.col("id")))
+    out = stored(every.join(moved, "component", "left").coalesce(_tasks(labels)).select(
+        "id", F.coalesce("into", "component").alias("component")), "joined")
+    forget(labels)
+    return out
 
 
 def _labelled(rows: DataFrame, labels: DataFrame, on: str = "id", label: str = "label") -> DataFrame:
@@ -217,42 +242,62 @@ def _labelled(rows: DataFrame, labels: DataFrame, on: str = "id", label: str = "
     return rows.join(named.hint("shuffle_merge"), on, "left").withColumn(label, F.coalesce(label, on))
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    both = _labelled(_labelled(pairs, labels, "a", "a_label"), labels, "b", "b_label")
-    return both.where("a_label <> b_label").select("a", "b")
-
-
 def _meetings(postings: DataFrame, least: Least, whole: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Candidates (a, b) from the lists of the postings (id, n, value), and the long lists left to read.
-
-    Long lists are (value, id, n, n_often), the last being how many of the
-    node's values are in long lists. Where the postings are of whole sets, sets
-    that meet in no short list have no more than that in common.
+    """Candidates (a, b) from the lists of the postings (id, n, value), and the nodes with too many frequent values.
+
+    Of a node's values, the most frequent first, as many are left out as leave
+    similar sets ``MEET`` in common. Nodes are (id, n, n_often, kept, values):
+    values in long lists, how many of them can't be left out, all values that
+    other nodes have, least frequent first. Where the postings are of whole
+    sets, only long lists are left out, and sets that meet in no short list have
+    no more than that in common.
     """
     counts = postings.groupBy("value").agg(F.count(F.lit(1)).alias("n_sets")).where("n_sets > 1")
-    met = stored(postings.join(counts.hint("shuffle_merge"), "value"), "postings")
-    # the values of one node; the most frequent ones may be left out
-    often = F.when(F.col("n_sets") > OFTEN, F.struct("n_sets", "value"))
-    values = met.groupBy("id", "n").agg(F.sort_array(F.collect_list(often)).alias("values"))
-    values = stored(values.withColumn("n_often", F.size("values").cast("long")), "frequent")
-    too_many = values.withColumn("kept", F.col("n_often") - least(F.col("n")) + 1).where("kept > 0")
-    hot = stored(too_many.select(
-        "id", "n", "n_often", F.explode(F.slice("values", F.lit(1), F.col("kept").cast("int"))).alias("v")
-    ).select("id", "n", "n_often", "v.value"), "hot")
-    rare = met.where(F.col("n_sets") <= OFTEN)
-    pairs = stored(_rare_candidates(rare, values.select("id", "n_often"), least, whole), "met")
-    forget(met, values)
-    return pairs, hot
-
-
-def set_links(docs: DataFrame, nodes: DataFrame, shingle: int) -> list[DataFrame]:
-    """Tables of links (a, b) that connect whatever the links of all pairs do."""
+    met = postings.join(counts.hint("shuffle_merge"), "value")
+    values = met.groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("n_sets", "value"))).alias("values"))
+    values = values.withColumn("least", least(F.col("n")).cast("long")).withColumn(
+        "n_often", F.size(F.filter("values", lambda v: v["n_sets"] > OFTEN)).cast("long"))
+    values = values.withColumn("n_out", F.col("n_often") if whole else F.greatest("n_often", F.col("least") - MEET))
+    # the places of unshared values come after all others
+    values = stored(values.withColumn("kept", F.col("n_often") - F.col("least") + 1), "frequent")
+    read = F.greatest(F.size("values") - F.col("n_out"), F.lit(0)).cast("int")
+    rare = values.select("id", "n", "least", "n_out", "n_often", F.explode(F.slice("values", F.lit(1), read)).alias("v"))
+    pairs = stored(_rare_candidates(rare.select("v.value", "id", "n", "least", "n_out", "n_often"), whole), "met")
+    too_many = stored(values.where("kept > 0").select("id", "n", "n_often", "kept", "values"), "hot")
+    forget(values)
+    return pairs, too_many
+
+
+def long_lists(nodes: DataFrame) -> DataFrame:
+    """(value, id, n, n_often, parts): the long lists to read, and how many values of long lists a node has in each part.
+
+    A value's part is a remainder of its hash.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            frequent = [v.values.to_numpy() for v in batch.column("frequent")]
+            parts = [np.bincount(v % PARTS, minlength=PARTS).astype(np.int32) for v in frequent]
+            lists = [v[:k] for v, k in zip(frequent, batch.column("kept").to_pylist())]
+            ends = pa.array(np.arange(len(parts) + 1, dtype=np.int32) * PARTS)
+            counts = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(parts) if parts else [], pa.int32()))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("id", "n", "n_often")), counts, _lists(lists)],
+                names=["id", "n", "n_often", "parts", "lists"])
+
+    frequent = F.transform(F.filter("values", lambda v: v["n_sets"] > OFTEN), lambda v: v["value"])
+    read = nodes.select("id", "n", "n_often", "kept", frequent.alias("frequent")).mapInArrow(
+        run, "id long, n long, n_often long, parts array<int>, lists array<long>")
+    return read.select(F.explode("lists").alias("value"), "id", "n", "n_often", "parts")
+
+
+def set_labels(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
+    """(id, component) of every node that is linked, as the links of all pairs connect them."""
     def listed(of: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
         postings = of.select("id", "n", F.explode(F.slice("sketch", 1, n)).alias("value"))
         return _meetings(postings, lambda x: shared(x, n))
 
     def only(of: DataFrame, ids: DataFrame) -> DataFrame:
-        return of.join(ids.select("id").distinct().hint("shuffle_merge"), "id", "left_semi")
+        return of.join(ids.select("id").hint("shuffle_merge"), "id", "left_semi")
 
     first, frequent = listed(nodes, LISTED)
     second, still = listed(only(nodes, frequent), KEPT)
@@ -262,29 +307,40 @@ def set_links(docs: DataFrame, nodes: DataFrame, shingle: int) -> list[DataFrame
     sets = stored(full_sets(docs, only(nodes.select("id", "set_key", "text_key"), needed), shingle), "sets")
     # what is too frequent in sketches meets by whole sets, for which the bound is certain
     whole = only(sets, still).select("id", F.size("elements").cast("long").alias("n"), F.explode("elements").alias("value"))
-    third, hot = _meetings(whole, lambda n: F.ceil(n * 4 / 5), whole=True)
-    near = stored(near.union(by_sketch(third, nodes)).distinct(), "near")
-    forget(third, still)
-
-    # each set with the least it has met; then what is still apart
-    links = [stored(by_sets(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), sets), "links")]
-    links.append(stored(by_sets(_apart(near, _labels(links)), sets), "links"))
-    forget(near)
+    third, left = _meetings(whole, lambda n: F.ceil(n * 4 / 5), whole=True)
+    hot = stored(long_lists(left), "lists")
+    links = stored(by_sets(near.union(third).distinct(), sets), "links")
+    forget(near, third, still, left)
+    labels = stored(components(links, tasks=_tasks(links)).withColumnRenamed("node", "id"), "joined")
+    forget(links)
     if hot.limit(1).count():
-        links += _hot_links(hot, nodes, sets, links)
+        ids = hot.select("id").distinct()
+        large = stored(only(nodes.select("id", "n", "sketch"), ids), "nodes")
+        hot_sets = stored(only(sets, ids), "sets")
+        labels = _hot_labels(hot, large, hot_sets, labels)
+        forget(large, hot_sets)
     forget(hot, sets)
-    return links
+    return labels
+
+
+def _overlap(a_parts: Column, b_parts: Column) -> Column:
+    """No more values than that are in both: of each part, as many as the set with fewer has."""
+    return F.aggregate(F.zip_with(a_parts, b_parts, lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
 
 
-def _hot_links(hot: DataFrame, nodes: DataFrame, sets: DataFrame, known: list[DataFrame]) -> list[DataFrame]:
-    """More links, so that all nodes of long lists are connected that should be.
+def _hot_labels(hot: DataFrame, nodes: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
+    """The labels (id, component) when all nodes of long lists are connected that should be.
 
     Pairs that share a short list are known already; others have only values of
-    long lists in common.
+    long lists in common. Copies of one text lack some of its values, and mostly
+    not the same ones, so a pair lacks about as many as both together: the counts
+    by parts of the values show it, and rule out copies that are near, but not
+    near enough.
     """
-    links: list[DataFrame] = []
+    # a turn has no more pairs than there are rows of lists
+    tasks = _tasks(hot)
     for turn in range(STARS):
-        labelled = _labelled(hot, _labels([*known, *links]))
+        labelled = _labelled(hot, labels).coalesce(tasks)
         # the centre of a list is one of its largest component: at first the same one in lists of the same sets
         chance = F.xxhash64("id") if turn == 0 else F.xxhash64(F.lit(turn), "value", "id")
         order = F.struct(chance.alias("order"), F.col("id"), F.col("n"), F.col("n_often"), F.col("label"))
@@ -293,17 +349,33 @@ def _hot_links(hot: DataFrame, nodes: DataFrame, sets: DataFrame, known: list[Da
             "value", F.col("top.centre.id").alias("a"), *(F.col(f"top.centre.{c}").alias(f"a_{c}") for c in ("n", "n_often", "label")))
         stars = labelled.join(centres.hint("shuffle_merge"), "value").where(
             (F.col("label") != F.col("a_label")) & _fit(F.col("n"), F.col("a_n"), F.least("n_often", "a_n_often")))
-        links.append(stored(by_sets(by_sketch(stars.select("a", F.col("id").alias("b")).distinct(), nodes), sets), "links"))
-        if not links[-1].limit(1).count():
+        stars = stars.select("a", F.col("id").alias("b")).coalesce(tasks).distinct().coalesce(tasks)
+        links = stored(by_sets(by_sketch(stars, nodes, tasks), sets, tasks), "links")
+        found = links.limit(1).count()
+        if found:
+            labels = _joined(labels, links)
+        forget(links)
+        if not found:
             break
-    labelled = stored(_labelled(hot, _labels([*known, *links])), "labelled")
-    left, right = (labelled.select("value", *(F.col(c).alias(f"{x}_{c}") for c in ("id", "n", "n_often", "label"))) for x in "ab")
+    labelled = stored(_labelled(hot, labels).coalesce(tasks), "labelled")
+    largest = labelled.groupBy("value", "label").agg(F.count(F.lit(1)).alias("size")).groupBy("value").agg(
+        F.max(F.struct("size", "label")).alias("largest")).select("value", "largest.label")
+    # of two components one is not the largest of the list
+    left, right = (labelled.select("value", *(F.col(c).alias(f"{x}_{c}") for c in ("id", "n", "n_often", "label", "parts")))
+                   for x in "ab")
+    largest = largest.withColumnRenamed("label", "top").hint("shuffle_merge")
+    left = left.join(largest, "value").where("a_label <> top")
     across = left.join(right.hint("shuffle_merge"), "value").where(
-        (F.col("a_label") < F.col("b_label")) & _fit(F.col("a_n"), F.col("b_n"), F.least("a_n_often", "b_n_often")))
-    across = across.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
-    links.append(stored(by_sets(by_sketch(across, nodes), sets), "links"))
-    forget(labelled)
-    return links
+        (F.col("a_label") != F.col("b_label")) & ((F.col("b_label") == F.col("top")) | (F.col("a_label") < F.col("b_label")))
+        & _fit(F.col("a_n"), F.col("b_n"), F.least("a_n_often", "b_n_often"))
+        & _fit(F.col("a_n"), F.col("b_n"), _overlap(F.col("a_parts"), F.col("b_parts"))))
+    across = stored(across.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct(), "across")
+    tasks = _tasks(across)
+    links = stored(by_sets(by_sketch(across, nodes, tasks), sets, tasks), "links")
+    if links.limit(1).count():
+        labels = _joined(labels, links)
+    forget(labelled, across, links)
+    return labels
 
 
 def near_duplicate_sets(docs: DataFrame, shingle: int = 2) -> DataFrame:
@@ -323,11 +395,11 @@ def near_duplicate_sets(docs: DataFrame, shingle: int = 2) -> DataFrame:
     nodes = stored(distinct.withColumn("id", F.monotonically_increasing_id()), "nodes")
     keyed = stored(sketched.select("doc_id", "set_key", "n"), "keyed")
     forget(sketched)
-    links = set_links(docs, nodes, shingle)
-    named = _labelled(nodes.select("id", "set_key"), _labels(links))
+    labels = set_labels(docs, nodes, shingle)
+    named = _labelled(nodes.select("id", "set_key"), labels)
     least = keyed.groupBy("set_key").agg(F.min("doc_id").alias("least"))
     named = stored(named.join(least, "set_key"), "named")
-    forget(nodes, *links)
+    forget(nodes, labels)
     smallest = named.groupBy("label").agg(F.min("least").alias("smallest"))
     classes = named.join(smallest, "label").select("set_key", "smallest")
     return keyed.join(classes.hint("shuffle_merge"), "set_key", "left").select(

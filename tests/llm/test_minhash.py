@@ -59,6 +59,43 @@ def test_large_groups_use_the_long_lists(spark, monkeypatch):
         brute.similar_sets(list(enumerate(texts))))
 
 
+def test_copies_not_near_enough_are_ruled_out_by_parts(spark, monkeypatch):
+    """Copies that lack different words of one text, too many for a link, are not compared with all others."""
+    compared = []
+    by_sketch = minhash.by_sketch
+    monkeypatch.setattr(minhash, "OFTEN", 4)
+    monkeypatch.setattr(minhash, "by_sketch", lambda pairs, *more: compared.append(pairs.count()) or by_sketch(pairs, *more))
+    draw = random.Random(3)
+    base = brute.prose(31, 400).split()[:300]
+    texts = []
+    for edits in [2] * 40 + [14] * 40:
+        copy = list(base)
+        for place in draw.sample(range(1, 299, 2), edits):
+            copy[place] = f"w{draw.randrange(10**6)}"
+        texts.append(" ".join(copy))
+    assert answers(minhash.near_duplicate_sets(frame(spark, texts)).collect()) == answers(
+        brute.similar_sets(list(enumerate(texts))))
+    assert sum(compared) < 400
+
+
+def test_texts_with_two_fifths_in_common_are_listed_once(spark, monkeypatch):
+    """A passage in more texts than a short list has makes none of them meet again by more values."""
+    left = []
+    meetings = minhash._meetings
+
+    def counted(*args, **more):
+        out = meetings(*args, **more)
+        left.append(out[1].select("id").distinct().count())
+        return out
+
+    monkeypatch.setattr(minhash, "_meetings", counted)
+    passage = brute.prose(41, 400).split()[:240]
+    texts = [" ".join(passage + [f"w{t}x{k}" for k in range(400)]) for t in range(minhash.OFTEN + 8)]
+    got = minhash.near_duplicate_sets(frame(spark, texts)).collect()
+    assert all(r["kept"] for r in got) and len(got) == len(texts)
+    assert left[0] <= 2
+
+
 @pytest.mark.parametrize("listed", [minhash.LISTED, minhash.KEPT])
 def test_shared_is_a_lower_bound(spark, listed):
     """No partner at 0.8 or more has fewer listed values in common, even if it lacks the least ones."""
