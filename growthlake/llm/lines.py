@@ -15,7 +15,9 @@ copies share one for certain, and a bounded edit distance verifies.
   one that makes ``edits + 1`` of them apart: the edits leave one of these, and
   the near copy, whose own go up to a later or the same hash, has it too. The
   length of a gram follows ranges of the lines' length; a line near the end of
-  its range has keys for the next one also.
+  its range has keys for the next one also. So it is with a gram's place, which
+  the edits shift by no more places than there are: lines that have a passage
+  in common, but at another place, don't meet.
 * A key of more than ``OFTEN`` lines (of a passage in many of them) yields no
   pairs. Its lines get keys of a second kind: a line in ``edits + 6`` parts
   without ``edits`` of them, so that lines which have only a passage in common,
@@ -60,10 +62,15 @@ GRAMS_FROM = 64
 GRAM = 16
 RANGE = 16
 JOINT_RANGE = 8
+# a gram's place, too, is told apart by so many characters
+PLACES = 16
 # keys of more lines than this don't pair them up: a line would meet about as many others as it has joint keys
 OFTEN = 128
 LANES = 16
-# characters that are hashed at a time
+# grams of a line that are looked at first
+FEW = 16
+# about so many characters are hashed at a time, or those of a longer line, if not more than PIECE
+BATCH = 1 << 16
 PIECE = 1 << 20
 LAST_ID = (1 << 63) - 1
 
@@ -141,13 +148,20 @@ def _key(n: int, segment: int, part: str) -> int:
     return xxhash.xxh3_64_intdigest(f"{n}:{segment}:{part}".encode("utf-8", "surrogatepass")) >> 2
 
 
+@lru_cache(maxsize=1 << 10)
+def _cuts(n: int, edits: int) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, int]]]:
+    """(segment, start, stop) of a line of n characters; (length, segment, start, stop) of what it probes."""
+    short = max(SHORTEST * edits, 1)
+    return (
+        [(k, at, at + size) for k, (at, size) in enumerate(segments(n, edits)) if n >= short],
+        [(length, k, at, at + size) for length in range(max(n - edits, short), n + 1) for k, at, size in probes(n, length, edits)])
+
+
 def short_keys(line: str, edits: int) -> list[int]:
     """Keys of a line by segments; the lowest bit is set on those that it only probes."""
-    n, short = len(line), max(SHORTEST * edits, 1)
-    own = {_key(n, k, line[at:at + size]) for k, (at, size) in enumerate(segments(n, edits)) if n >= short}
-    asked = {
-        _key(length, k, line[at:at + size]) for length in range(max(n - edits, short), n + 1)
-        for k, at, size in probes(n, length, edits)} - own
+    own, asked = _cuts(n := len(line), edits)
+    own = {_key(n, k, line[at:stop]) for k, at, stop in own}
+    asked = {_key(length, k, line[at:stop]) for length, k, at, stop in asked} - own
     return [k * 2 for k in own] + [k * 2 + 1 for k in asked]
 
 
@@ -181,7 +195,6 @@ def _scattered(x: np.ndarray) -> np.ndarray:
 
 
 BASE = 0x9E3779B97F4A7C15
-USED = np.uint64((1 << 64) - 1)
 
 
 @lru_cache(maxsize=4)
@@ -191,47 +204,71 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def gram_keys(codes: np.ndarray, n: np.ndarray, edits: int) -> tuple[np.ndarray, np.ndarray]:
-    """(number of the line, key) by grams; ``codes`` are the characters of lines of ``n`` characters, one after another."""
-    starts = np.cumsum(n) - n
+def _least(line: np.ndarray, at: np.ndarray, hashes: np.ndarray, n: int, size: int, edits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of ``n`` lines whose grams come by (line, hash): the hash with which ``edits + 1`` are apart; if so many are."""
+    first = np.searchsorted(line, np.arange(n + 1))
+    count = np.diff(first)
+    chosen, n_chosen, last = np.full((edits + 1, n), -(1 << 60)), np.zeros(n, np.int64), np.zeros(n, np.uint64)
+    now, rank = np.flatnonzero(count), 0
+    while len(now):
+        spots = first[now] + rank
+        apart = (np.abs(chosen[:, now] - at[spots]) >= size).all(axis=0)
+        found, spots = now[apart], spots[apart]
+        chosen[n_chosen[found], found] = at[spots]
+        last[found] = hashes[spots]
+        n_chosen[found] += 1
+        rank += 1
+        now = now[(n_chosen[now] <= edits) & (count[now] > rank)]
+    return last, n_chosen > edits
+
+
+def gram_keys(codes: np.ndarray, n: np.ndarray, ahead: int, edits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the line, key) by grams, for the range of lengths that ``ahead`` more characters are in.
+
+    ``codes`` are the characters of lines of ``n`` characters, one after another, the longer lines last.
+    """
+    part = (n + ahead) // RANGE
+    starts = np.concatenate([[0], np.cumsum(n)])
     # a gram's hash is a difference of running sums, moved back to the start
-    sums = np.concatenate([[np.uint64(0)], np.cumsum((codes + np.uint64(1)) * _powers(BASE, max(PIECE, len(codes)))[:len(codes)])])
-    back = _powers(pow(BASE, -1, 1 << 64), max(PIECE, len(codes)))
-    lines, keys = [], []
-    for ahead in sorted({0, edits}):
-        part = (n + ahead) // RANGE
-        who = np.flatnonzero((part * RANGE >= GRAMS_FROM) & ((part != n // RANGE) | (ahead == 0)))
-        if not len(who):
-            continue
-        part = part[who]
-        # the shortest line with keys of this range, which lacks ``edits`` characters, still has room for all
-        size = np.minimum(GRAM, part * RANGE // (2 * edits + 1))
-        count = n[who] - size + 1
-        ends = np.cumsum(count)
-        at = np.arange(ends[-1]) - np.repeat(ends - count, count)
-        place = at + np.repeat(starts[who], count)
-        left = np.minimum(_scattered((sums[place + np.repeat(size, count)] - sums[place]) * back[place]), USED - np.uint64(1))
-        chosen = np.full((edits + 1, len(who)), -(1 << 60))
-        n_chosen = np.zeros(len(who), np.int64)
-        now = np.arange(len(who))
-        while len(now):
-            first = np.cumsum(count) - count
-            least = np.minimum.reduceat(left, first)
-            lines.append(who[now])
-            keys.append(_scattered(least + part[now].astype(np.uint64) * np.uint64(BASE)))
-            spots = np.flatnonzero(left == np.repeat(least, count))
-            left[spots] = USED
-            line = now[np.searchsorted(first, spots, "right") - 1]
-            apart = (np.abs(chosen[:, line] - at[spots]) >= size[line]).all(axis=0)
-            found, spot = np.unique(line[apart], return_index=True)
-            chosen[n_chosen[found], found] = at[spots][apart][spot]
-            n_chosen[found] += 1
-            # a line that repeats itself may run out of grams: then it has given them all
-            stay = (n_chosen[now] <= edits) & (np.minimum.reduceat(left, first) < USED)
-            kept = np.repeat(stay, count)
-            left, at, count, now = left[kept], at[kept], count[stay], now[stay]
-    if not lines:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    most = max(PIECE, BATCH, len(codes))
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(codes * _powers(BASE, most)[:len(codes)])])
+    back = _powers(pow(BASE, -1, 1 << 64), most)
+    # the shortest line with keys of this range, which lacks ``edits`` characters, still has room for all
+    sizes = np.where(part * RANGE >= GRAMS_FROM, np.minimum(GRAM, part * RANGE // (2 * edits + 1)), 0)
+    lines, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for size in np.unique(sizes[sizes > 0]).tolist():
+        low, high = np.searchsorted(sizes, [size, size + 1])
+        begin, stop = starts[low], starts[high] + 1 - size
+        hashes = (sums[begin + size:stop + size] - sums[begin:stop]) * back[begin:stop]
+        # few grams of a line have the least hashes; a line in which they lie too close has all its grams looked at
+        share = FEW / (n[low] - size + 1)
+        spots = begin + (np.flatnonzero(hashes < np.uint64(int(share * (1 << 64)))) if share < 1 else np.arange(stop - begin))
+        line = np.searchsorted(starts, spots, "right") - 1
+        while True:
+            fits = spots + size <= starts[line + 1]
+            line, spots = line[fits], spots[fits]
+            at, value = spots - starts[line], hashes[spots - begin]
+            order = np.lexsort((value, line))
+            line, at, value = line[order], at[order], value[order]
+            last, done = _least(line - low, at, value, high - low, size, edits)
+            if share >= 1:
+                # a line that repeats itself may run out of grams: then it gives them all
+                last[~done] = (1 << 64) - 1
+                done[:] = True
+            given = done[line - low] & (value <= last[line - low])
+            line, at, value = line[given], at[given], value[given]
+            for shift in {0, edits}:
+                # a copy has the gram at most ``edits`` places off
+                place = (at + shift) // PLACES
+                far = np.flatnonzero(place != at // PLACES) if shift else slice(None)
+                where = (part[line[far]] | place[far] << 32).astype(np.uint64)
+                lines.append(line[far])
+                keys.append(_scattered(_scattered(value[far]) + where * np.uint64(BASE)))
+            if done.all():
+                break
+            left, share = low + np.flatnonzero(~done), 1
+            line = np.repeat(left, n[left])
+            spots = np.arange(len(line)) + np.repeat(starts[left] - np.cumsum(n[left]) + n[left], n[left])
     return np.concatenate(lines), (np.concatenate(keys) >> np.uint64(1) << np.uint64(1)).view(np.int64)
 
 
@@ -241,39 +278,45 @@ def _codes(text: str) -> np.ndarray:
 
 def _counts(codes: np.ndarray, n: np.ndarray) -> np.ndarray:
     """How often characters of each of 16 kinds are in each line."""
-    kind = ((codes * np.uint64(BASE)) >> np.uint64(60)).astype(np.int64)
-    return np.bincount(np.repeat(np.arange(len(n)) * LANES, n) + kind, minlength=len(n) * LANES).reshape(-1, LANES)
+    kind = codes * np.uint64(BASE)
+    kind >>= np.uint64(60)
+    kind |= np.repeat(np.arange(len(n), dtype=np.uint64) * np.uint64(LANES), n)
+    return np.bincount(kind.view(np.int64), minlength=len(n) * LANES).reshape(-1, LANES)
 
 
 def _described(lines: list[str], edits: int) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """Length, counts of characters (modulo 16, in one number) and keys of lines; about ``PIECE`` characters at a time."""
+    """Length, counts of characters (modulo 16, in one number) and keys of lines; about ``BATCH`` characters at a time."""
     n = np.fromiter(map(len, lines), np.int64, len(lines))
     counts, owners, keys = np.zeros((len(lines), LANES), np.int64), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    start = 0
-    while start < len(lines):
-        if n[start] >= PIECE:
-            for at in range(0, n[start], PIECE):
-                part = _codes(lines[start][at:at + PIECE])
-                counts[start] += _counts(part, np.array([len(part)]))[0]
-            start += 1
-            continue
-        stop, size = start, 0
-        while stop < len(lines) and n[stop] < PIECE and (stop == start or size + n[stop] <= PIECE):
-            stop, size = stop + 1, size + n[stop]
-        codes = _codes("".join(lines[start:stop]))
-        counts[start:stop] = _counts(codes, n[start:stop])
-        line, key = gram_keys(codes, n[start:stop], edits)
-        owners.append(line + start)
-        keys.append(key)
-        start = stop
+    for i in np.flatnonzero(n >= PIECE):
+        for at in range(0, n[i], PIECE):
+            part = _codes(lines[i][at:at + PIECE])
+            counts[i] += _counts(part, np.array([len(part)]))[0]
+    for ahead in sorted({0, edits}):
+        # a line near the end of its range of lengths has keys for the next one also
+        who = np.flatnonzero((n < PIECE) & (((n + ahead) // RANGE != n // RANGE) | (ahead == 0)))
+        who = who[np.argsort(n[who], kind="stable")]
+        ends, start = np.cumsum(n[who]), 0
+        while start < len(who):
+            stop = max(start + 1, int(np.searchsorted(ends, ends[start] - n[who[start]] + BATCH, "right")))
+            batch = who[start:stop]
+            codes = _codes("".join([lines[i] for i in batch.tolist()]))
+            if not ahead:
+                counts[batch] = _counts(codes, n[batch])
+            line, key = gram_keys(codes, n[batch], ahead, edits)
+            owners.append(batch[line])
+            keys.append(key)
+            start = stop
     # lines too long for grams at once have segments, too, and so has what may be a copy of one
     more = [(i, k) for i in np.flatnonzero((n < GRAMS_FROM) | (n + edits >= PIECE)) for k in short_keys(lines[i], edits)]
     more = np.array(more, np.int64).reshape(-1, 2)
     line, key = np.concatenate([*owners, more[:, 0]]), np.concatenate([*keys, more[:, 1]])
-    ends = np.concatenate([[0], np.cumsum(np.bincount(line, minlength=len(lines)))]).astype(np.int32)
+    order = np.lexsort((key, line))
+    line, key = line[order], key[order]
+    once = np.concatenate([[True], (line[1:] != line[:-1]) | (key[1:] != key[:-1])])[:len(line)]
+    ends = np.concatenate([[0], np.cumsum(np.bincount(line[once], minlength=len(lines)))]).astype(np.int32)
     packed = (counts % 16).astype(np.uint64) << (np.arange(LANES, dtype=np.uint64) * np.uint64(4))
-    of_line = pa.ListArray.from_arrays(pa.array(ends), pa.array(key[np.argsort(line, kind="stable")]))
-    return n, np.bitwise_or.reduce(packed, axis=1).view(np.int64), of_line
+    return n, np.bitwise_or.reduce(packed, axis=1).view(np.int64), pa.ListArray.from_arrays(pa.array(ends), pa.array(key[once]))
 
 
 def _documents(batches: Iterator[pa.RecordBatch], edits: int) -> Iterator[pa.RecordBatch]:
@@ -312,10 +355,16 @@ def _joint(batches: Iterator[pa.RecordBatch], edits: int) -> Iterator[pa.RecordB
 
 def _possible(edits: int) -> str:
     """Whether lengths and counts of characters of lines a and b are as near as edits leave them."""
-    lanes = (f"(shiftright(a_counts, {4 * k}) & 15) - (shiftright(b_counts, {4 * k}) & 15)" for k in range(LANES))
-    apart = " + ".join(f"least(({x}) & 15, -({x}) & 15)" for x in lanes)
-    # an edit takes one character and gives one at most
-    return f"abs(a_size - b_size) <= {edits} AND {apart} <= {2 * edits}"
+    # a byte for every other count: a difference modulo 16, then the lesser of it and its negative; in few operations,
+    # as they are what a join spends its time on
+    def apart(shift: int) -> str:
+        a, b = (f"(shiftrightunsigned({x}_counts, {shift}) & {0x0F0F0F0F0F0F0F0F})" for x in "ab")
+        less = f"((({a} | {0x1010101010101010}) - {b}) & {0x0F0F0F0F0F0F0F0F})"
+        large = f"(shiftright({less}, 3) & {0x0101010101010101})"
+        return f"(({less} ^ (shiftleft({large}, 4) - {large})) + {large})"
+
+    # the bytes' sum is what 255 leaves; an edit takes one character and gives one at most
+    return f"abs(a_size - b_size) <= {edits} AND ({apart(0)} + {apart(4)}) % 255 <= {2 * edits}"
 
 
 def _verified(batches: Iterator[pa.RecordBatch], edits: int) -> Iterator[pa.RecordBatch]:
@@ -362,6 +411,7 @@ def line_classes(lines: DataFrame, texts: Callable[[DataFrame], DataFrame], edit
     links = verified(pairs)
     if hot.limit(1).count():
         of_hot = needed.join(hot, "id", "left_semi").mapInArrow(lambda b: _joint(b, edits), "id long, key long")
+        of_hot = stored(of_hot, "joint_keys")
         joint = stored(_shared(of_hot).join(known, "id"), "joint")
         leaders = joint.groupBy("key").agg(F.min(F.struct("id", "size", "counts")).alias("first")).select("key", "first.*")
         links = links.union(verified(_pairs(leaders, joint, "a <> b", edits)))
@@ -369,7 +419,7 @@ def line_classes(lines: DataFrame, texts: Callable[[DataFrame], DataFrame], edit
         labelled = stored(joint.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).drop(
             "component"), "labelled")
         links = links.union(verified(_pairs(labelled.where("index"), labelled, "a_label <> b_label", edits)))
-        forget(joint, labelled)
+        forget(of_hot, joint, labelled)
     forget(met, pairs, needed)
     return components(links).withColumnRenamed("node", "id")
 

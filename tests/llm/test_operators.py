@@ -421,6 +421,54 @@ def test_very_long_lines_are_described_in_pieces(monkeypatch):
         assert any(x >> 1 in probed and not (x & 1 and probed[x >> 1]) for x in one)
 
 
+def test_a_passage_at_many_places_does_not_pair_lines_up():
+    rng = random.Random(12)
+    draw = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    most = 0
+    for _ in range(20):
+        passage, many = draw(80), []
+        for _ in range(300):
+            at, n = rng.randint(0, 300), rng.randint(400, 415)
+            many.append("x" + draw(at) + passage + draw(n - 82 - at) + "x")
+        keys = lines._described(many, 2)[2]
+        most = max(most, *Counter(keys.flatten().to_pylist()).values())
+        # copies still share a key, wherever the edits move it
+        near = lines._described([_edited(rng, x, 2, "xyz") for x in many], 2)[2]
+        assert all(set(mine) & set(its) for mine, its in zip(keys.to_pylist(), near.to_pylist()))
+    assert most <= lines.OFTEN
+
+
+def test_lines_that_repeat_themselves_give_all_their_grams():
+    rng = random.Random(13)
+    for unit in ("a", "ab", "abc def ", "-" * 30 + "|"):
+        for n in (64, 95, 200, 3000):
+            one = (unit * n)[:n]
+            keys = lines._described([one, *(_edited(rng, one, 2, "xyz") for _ in range(20))], 2)[2].to_pylist()
+            assert all(set(keys[0]) & set(other) for other in keys[1:])
+            assert all(len(set(k)) == len(k) for k in keys)
+
+
+def test_pair_filter_holds_lengths_and_counts_against_the_edits(spark):
+    rng = random.Random(14)
+    pairs = []
+    for _ in range(3000):
+        a = [rng.randrange(16) for _ in range(16)]
+        b = list(a)
+        for _ in range(rng.randint(0, 6)):
+            at = rng.randrange(16)
+            b[at] = (b[at] + rng.choice((-2, -1, 1, 2))) % 16
+        pairs.append((a, b, rng.randint(100, 103), 100))
+    packed = lambda x: int(np.uint64(sum(v << 4 * k for k, v in enumerate(x))).view(np.int64))
+    given = spark.createDataFrame(
+        [(k, packed(a), packed(b), m, n) for k, (a, b, m, n) in enumerate(pairs)],
+        "k int, a_counts long, b_counts long, a_size int, b_size int")
+    for edits in (1, 2, 3):
+        expected = {
+            k for k, (a, b, m, n) in enumerate(pairs)
+            if abs(m - n) <= edits and sum(min((x - y) % 16, (y - x) % 16) for x, y in zip(a, b)) <= 2 * edits}
+        assert {r.k for r in given.where(lines._possible(edits)).collect()} == expected and expected
+
+
 def test_copies_with_many_changes_do_not_pair_up(spark, monkeypatch):
     rng = random.Random(9)
     words = ["".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(50)]
